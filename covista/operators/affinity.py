@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from covista.functions import half_life_weight
 from covista.functions.columns import DEFAULT_HALF_LIFE
-from covista.operators.counts import distinct_pairs
 from covista.plans import fan_out_join
 
 
@@ -62,13 +61,12 @@ def score_popularity(a: DataFrame, s: DataFrame, items: DataFrame | None = None)
     return _with_unscored(totals, items)
 
 
-def count_score_popularity(a: DataFrame, df: DataFrame, items: DataFrame | None = None) -> DataFrame:
-    """Column sums of Y when S = C counts the viewers of ``df``, without building C.
+def count_score_popularity(a: DataFrame, pairs: DataFrame, items: DataFrame | None = None) -> DataFrame:
+    """Column sums of Y when S = C counts the common viewers in ``pairs``, without building C.
 
     C = B'B for the user-item incidence B, so the sums are two joins along B: the weight of
     a history is the summed weight of its items, an item gets the weights of its viewers.
     """
-    pairs = distinct_pairs(df)
     weight = a.groupBy("item_id").agg(F.sum("affinity").alias("_w"))
     by_user = pairs.join(weight, "item_id").groupBy("user_id").agg(F.sum("_w").alias("_h"))
     totals = pairs.join(by_user, "user_id").groupBy("item_id").agg(F.sum("_h").alias("popularity"))
@@ -97,6 +95,6 @@ def user_score_stats(scores: DataFrame, item_count: Column | int) -> DataFrame:
         F.greatest(F.max("score"), F.lit(0.0)).alias("max_score"))
 
 
-def unseen_scored(scores: DataFrame, df: DataFrame) -> DataFrame:
+def unseen_scored(scores: DataFrame, pairs: DataFrame) -> DataFrame:
     """(user_id, item_id, score) with a non-zero score for items the user never viewed."""
-    return scores.where(F.col("score") != 0).join(distinct_pairs(df), ["user_id", "item_id"], "left_anti")
+    return scores.where(F.col("score") != 0).join(pairs, ["user_id", "item_id"], "left_anti")

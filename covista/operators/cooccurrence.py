@@ -6,61 +6,64 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from covista.functions import similarity
-from covista.operators.counts import distinct_pairs, viewers_per_item
-from covista.plans import fan_out_join, spread
+from covista.operators.counts import viewers_per_item
+from covista.plans import fan_out_join, spread, stored
 
 HISTORY_BLOCK = 1024
 
 
-def _history_blocks(pairs: DataFrame, block: int) -> DataFrame:
-    """(user_id, part, parts, items): every history in arrays of about ``block`` items."""
-    long = (pairs.groupBy("user_id").agg(F.count("*").alias("n")).where(F.col("n") > block)
-            .select("user_id", F.ceil(F.col("n") / block).cast("int").alias("parts")))
-    parts = F.coalesce("parts", F.lit(1))
-    cut = pairs.join(long, "user_id", "left").select(
-        "user_id", "item_id", parts.alias("parts"), F.pmod(F.xxhash64("item_id"), parts).cast("int").alias("part"))
-    # a fixed partition number: what follows is quadratic in the array length, so the few
-    # bytes of the arrays say nothing about the work and partitions must not be merged
-    return (cut.repartition(spread(pairs), "user_id", "part")
-            .groupBy("user_id", "part", "parts").agg(F.collect_list("item_id").alias("items")))
+def _pairs_inside(blocks: DataFrame) -> DataFrame:
+    return (blocks.select("items", F.explode("items").alias("a"))
+            .select("a", F.explode("items").alias("b")).where(F.col("a") < F.col("b"))
+            .select(F.col("a").alias("item_id"), F.col("b").alias("other_id")))
 
 
-def cooccurrence(df: DataFrame, history_block: int = HISTORY_BLOCK, both_orders: bool = True,
-                 diagonal: bool = True) -> DataFrame:
-    """(item_id, other_id, both): users who viewed both items.
-
-    Pairs are never shuffled: each is counted in the task that makes it and only partial
-    counts move. Each unordered pair is made once and mirrored after counting; the diagonal is
-    the viewer count. A long history is cut in blocks, and its block pairs are separate
-    units of work, so one user with very many items is shared among tasks.
-    """
-    pairs = distinct_pairs(df)
-    blocks = _history_blocks(pairs, history_block)
-    inside = (blocks.select("items", F.explode("items").alias("a"))
-              .select("a", F.explode("items").alias("b")).where(F.col("a") < F.col("b"))
-              .select(F.col("a").alias("item_id"), F.col("b").alias("other_id")))
-
-    long = blocks.where(F.col("parts") > 1)
-    low = long.where(F.col("part") < F.col("parts") - 1).select(
+def _pairs_across(blocks: DataFrame) -> DataFrame:
+    """Pairs between different blocks of one history; every block pair is its own unit of work."""
+    low = blocks.where(F.col("part") < F.col("parts") - 1).select(
         "user_id", F.col("part").alias("lo"),
         F.explode(F.sequence(F.col("part") + 1, F.col("parts") - 1)).alias("hi"), F.col("items").alias("left"))
-    high = long.where(F.col("part") > 0).select(
+    high = blocks.where(F.col("part") > 0).select(
         "user_id", F.explode(F.sequence(F.lit(0), F.col("part") - 1)).alias("lo"),
         F.col("part").alias("hi"), F.col("items").alias("right"))
-    tasks, key = spread(df), ["user_id", "lo", "hi"]
-    across = (low.repartition(tasks, *key).join(high.repartition(tasks, *key), key)
-              .select("right", F.explode("left").alias("a")).select("a", F.explode("right").alias("b"))
-              .select(F.least("a", "b").alias("item_id"), F.greatest("a", "b").alias("other_id")))
+    tasks, key = spread(blocks), ["user_id", "lo", "hi"]
+    return (low.repartition(tasks, *key).join(high.repartition(tasks, *key), key)
+            .select("right", F.explode("left").alias("a")).select("a", F.explode("right").alias("b"))
+            .select(F.least("a", "b").alias("item_id"), F.greatest("a", "b").alias("other_id")))
+
 
-    cells = inside.unionAll(across).groupBy("item_id", "other_id").agg(F.count("*").alias("both"))
+def cooccurrence(pairs: DataFrame, history_block: int = HISTORY_BLOCK, both_orders: bool = True,
+                 diagonal: bool = True) -> DataFrame:
+    """(item_id, other_id, both): users who viewed both items, from distinct ``pairs``.
+
+    Item pairs are never shuffled: each is counted in the task that makes it and only partial
+    counts move. Each unordered pair is made once and mirrored after counting; the diagonal is
+    the viewer count. Histories over ``history_block`` items are cut in blocks, and their block
+    pairs are spread over tasks, so one user with very many items is no hot task.
+    """
+    long = stored(pairs.groupBy("user_id").agg(F.count("*").alias("n")).where(F.col("n") > history_block)
+                  .select("user_id", F.ceil(F.col("n") / history_block).cast("int").alias("parts")), "long-histories")
+    any_long = not long.isEmpty()
+    short = pairs.join(long, "user_id", "left_anti") if any_long else pairs
+    # a fixed partition number: what follows is quadratic in the array length, so the few
+    # bytes of the arrays say nothing about the work and partitions must not be merged
+    made = _pairs_inside(short.repartition(spread(pairs), "user_id").groupBy("user_id")
+                         .agg(F.collect_list("item_id").alias("items")))
+    if any_long:
+        cut = pairs.join(long, "user_id").withColumn("part", F.pmod(F.xxhash64("item_id"), F.col("parts")).cast("int"))
+        blocks = stored(cut.groupBy("user_id", "part", "parts").agg(F.collect_list("item_id").alias("items")),
+                        "history-blocks").repartition(spread(pairs), "user_id", "part")
+        made = made.unionAll(_pairs_inside(blocks)).unionAll(_pairs_across(blocks))
+
+    cells = made.groupBy("item_id", "other_id").agg(F.count("*").alias("both"))
     if both_orders:
         orders = F.array(F.struct(F.col("item_id").alias("i"), F.col("other_id").alias("j")),
                          F.struct(F.col("other_id").alias("i"), F.col("item_id").alias("j")))
         cells = (cells.select(F.explode(orders).alias("p"), "both")
                  .select(F.col("p.i").alias("item_id"), F.col("p.j").alias("other_id"), "both"))
     if diagonal:
-        own = viewers_per_item(df).select("item_id", F.col("item_id").alias("other_id"),
-                                          F.col("viewers").alias("both"))
+        own = viewers_per_item(pairs).select("item_id", F.col("item_id").alias("other_id"),
+                                             F.col("viewers").alias("both"))
         cells = cells.unionAll(own)
     return cells
 
@@ -89,25 +92,23 @@ def cooccurrence_table(cells: DataFrame, items: list[int]) -> DataFrame:
     return wide.na.fill(0)
 
 
-def pairs_per_item(df: DataFrame) -> DataFrame:
+def pairs_per_item(pairs: DataFrame) -> DataFrame:
     """(item_id, pairs): row sums of C. The row of an item adds up the history sizes of its
     viewers, so C itself is not built."""
-    pairs = distinct_pairs(df)
     sizes = pairs.groupBy("user_id").agg(F.count("*").alias("_n"))
     return pairs.join(sizes, "user_id").groupBy("item_id").agg(F.sum("_n").alias("pairs"))
 
 
-def most_connected(df: DataFrame) -> DataFrame:
+def most_connected(pairs: DataFrame) -> DataFrame:
     """The item with the largest row sum of C, lowest id on ties."""
     best = F.min(F.struct((-F.col("pairs")).alias("v"), F.col("item_id").alias("i"))).alias("best")
-    return pairs_per_item(df).agg(best).select(F.col("best.i").alias("item_id"), (-F.col("best.v")).alias("pairs"))
+    return pairs_per_item(pairs).agg(best).select(F.col("best.i").alias("item_id"), (-F.col("best.v")).alias("pairs"))
 
 
-def pair_audit(df: DataFrame, audit: DataFrame) -> DataFrame:
+def pair_audit(pairs: DataFrame, audit: DataFrame) -> DataFrame:
     """(item_id, other_id, viewers_a, viewers_b, viewers_both) for given item pairs, counted
-    from the events themselves."""
-    pairs = distinct_pairs(df)
-    own = viewers_per_item(df)
+    from the viewers themselves."""
+    own = viewers_per_item(pairs)
     wanted = audit.select("item_id", "other_id").distinct()
     first = fan_out_join(pairs, wanted, ["item_id"], ["user_id"])
     second = pairs.select("user_id", F.col("item_id").alias("other_id"))
@@ -121,18 +122,17 @@ def pair_audit(df: DataFrame, audit: DataFrame) -> DataFrame:
                     *[F.coalesce(c, F.lit(0)).alias(c) for c in ("viewers_a", "viewers_b", "viewers_both")]))
 
 
-def consistency_check(df: DataFrame, cells: DataFrame) -> DataFrame:
+def consistency_check(pairs: DataFrame, cells: DataFrame) -> DataFrame:
     """One row: cells, cells that differ from a recount, asymmetric cells, wrong diagonals.
 
-    The recount joins the events with themselves instead of using history blocks.
+    The recount joins the pairs with themselves instead of using history blocks.
     """
-    pairs = distinct_pairs(df)
     other = pairs.select("user_id", F.col("item_id").alias("other_id"))
     recount = (fan_out_join(pairs, other, ["user_id"], ["item_id"])
                .groupBy("item_id", "other_id").agg(F.count("*").alias("again")))
     mirror = cells.select(F.col("item_id").alias("other_id"), F.col("other_id").alias("item_id"),
                           F.col("both").alias("mirrored"))
-    own = viewers_per_item(df)
+    own = viewers_per_item(pairs)
     joined = (cells.join(recount, ["item_id", "other_id"], "full")
               .join(mirror, ["item_id", "other_id"], "full").join(own, "item_id", "left"))
     on_diagonal = F.col("item_id") == F.col("other_id")

@@ -12,6 +12,8 @@ LIST_ROWS = 100_000
 
 
 def distinct_pairs(df: DataFrame) -> DataFrame:
+    """(user_id, item_id), each once. The functions that take ``pairs`` expect this frame;
+    store it (``covista.plans.stored``) when several of them are to use it."""
     return df.select("user_id", "item_id").distinct()
 
 
@@ -19,13 +21,12 @@ def views_per_item(df: DataFrame) -> DataFrame:
     return df.groupBy("item_id").agg(F.count("*").alias("views"))
 
 
-def viewers_per_item(df: DataFrame) -> DataFrame:
+def viewers_per_item(pairs: DataFrame) -> DataFrame:
     """Distinct viewers of every item."""
-    return distinct_pairs(df).groupBy("item_id").agg(F.count("*").alias("viewers"))
+    return pairs.groupBy("item_id").agg(F.count("*").alias("viewers"))
 
 
-def _lists(df: DataFrame, key: str, member: str, name: str, list_rows: int) -> DataFrame:
-    pairs = distinct_pairs(df)
+def _lists(pairs: DataFrame, key: str, member: str, name: str, list_rows: int) -> DataFrame:
     sizes = pairs.groupBy(key).agg(F.count("*").alias("_n"))
     parts = F.ceil(F.col("_n") / F.lit(list_rows)).cast("int")
     return (pairs.join(sizes, key)
@@ -33,18 +34,18 @@ def _lists(df: DataFrame, key: str, member: str, name: str, list_rows: int) -> D
             .groupBy(key, "part").agg(F.array_sort(F.collect_list(member)).alias(name)))
 
 
-def viewer_sets(df: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame:
+def viewer_sets(pairs: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame:
     """(item_id, part, viewers): sorted distinct viewers.
 
     An item with more than ``list_rows`` viewers gets several parts of about that size, so
     no single array grows with the data.
     """
-    return _lists(df, "item_id", "user_id", "viewers", list_rows)
+    return _lists(pairs, "item_id", "user_id", "viewers", list_rows)
 
 
-def histories(df: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame:
+def histories(pairs: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame:
     """(user_id, part, items): sorted distinct items, in parts like ``viewer_sets``."""
-    return _lists(df, "user_id", "item_id", "items", list_rows)
+    return _lists(pairs, "user_id", "item_id", "items", list_rows)
 
 
 def history_rows(lists: DataFrame) -> DataFrame:
@@ -56,13 +57,13 @@ def viewers_of_any(df: DataFrame) -> DataFrame:
     return df.select("user_id").distinct()
 
 
-def non_viewers(df: DataFrame, items: DataFrame) -> DataFrame:
+def non_viewers(pairs: DataFrame, items: DataFrame) -> DataFrame:
     """(item_id, non_viewers): users with a history who did not view the item.
 
     A count, from the number of users and of viewers; the pairs themselves are users x items.
     """
-    users = df.agg(F.countDistinct("user_id").alias("n")).scalar()
-    return (items.join(viewers_per_item(df), "item_id", "left")
+    users = pairs.agg(F.countDistinct("user_id").alias("n")).scalar()
+    return (items.join(viewers_per_item(pairs), "item_id", "left")
             .select("item_id", (users - F.coalesce("viewers", F.lit(0))).alias("non_viewers")))
 
 
@@ -72,9 +73,9 @@ def users_without(df: DataFrame, item_id: int) -> DataFrame:
     return viewers_of_any(df).join(viewed, "user_id", "left_anti")
 
 
-def interactions_used(df: DataFrame) -> DataFrame:
+def interactions_used(pairs: DataFrame) -> DataFrame:
     """One row: the number of distinct (user, item) pairs."""
-    return distinct_pairs(df).agg(F.count("*").alias("pairs"))
+    return pairs.agg(F.count("*").alias("pairs"))
 
 
 def item_ranking(views: DataFrame, ascending: bool = False) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from covista.functions import scaled_miss
 from covista.operators.affinity import user_score_stats
 from covista.operators.factors import items_for_some_users
+from covista.plans import stored
 from covista.sources.tables import slices
 
 
@@ -57,13 +58,14 @@ def squared_miss(test: DataFrame, scores: DataFrame, item_count: Column | int, u
 
     ``scores`` need to cover the users of ``test``. Means run over all items.
     """
+    scores = stored(scores.select("user_id", "item_id", "score"), "scores")  # read for the means and for the test rows
     rows = test.groupBy("user_id", "item_id").agg(F.count("*").alias("n"))
     rows = (rows.join(users.select("user_id").distinct().withColumn("_u", F.lit(1)), "user_id", "left")
             .join(items.select("item_id").distinct().withColumn("_i", F.lit(1)), "item_id", "left"))
     stats = user_score_stats(scores, item_count)
     known = F.col("_u").isNotNull() & F.col("_i").isNotNull()
     score = F.coalesce("score", F.lit(0.0))
-    joined = (rows.join(scores.select("user_id", "item_id", "score"), ["user_id", "item_id"], "left")
+    joined = (rows.join(scores, ["user_id", "item_id"], "left")
               .join(stats, "user_id", "left")
               .select("n", known.alias("known"), score.alias("score"),
                       F.coalesce("mean_score", F.lit(0.0)).alias("mean"), F.coalesce("max_score", F.lit(0.0)).alias("top")))

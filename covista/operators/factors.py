@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from covista.operators.catalogue import append_index
 from covista.operators.recommend import flatten
 from covista.operators.vectors import similar_by_distance
-from covista.plans import fan_out_join, shared_dir, top_k
+from covista.plans import fan_out_join, shared_dir, stored, top_k
 from covista.sources.tables import latest_interactions
 
 INT_MAX = 2**31 - 1
@@ -140,4 +140,5 @@ def similar_by_two_hops(model: ALSModel, n_users: int = 10, n_items: int = 100,
         first = users_for_all_items(model, n_users)
     else:
         first = users_for_some_items(model, seeds, n_users)
+    first = stored(first, "first-hop")
     return two_hop(first, items_for_some_users(model, first.select("user_id"), n_items))

@@ -58,65 +58,62 @@ def recommend(scores: DataFrame, keys: DataFrame, key: str, candidate: str, k: i
     banned = None if exclude is None else exclude.select(F.col("item_id").alias("candidate")).distinct()
     if banned is not None:
         found = found.join(banned, "candidate", "left_anti")
-
+    # one entry per candidate, ordered as the list is: best rounded score first, then id
+    entry = F.struct((-F.round("score", 9)).alias("order"), "candidate", "score")
     order = [F.desc(F.round("score", 9)), F.asc("candidate")]
     wanted = keys.select(F.col(key).alias("key")).distinct()
-    if metadata is not None and (include or enhance):
+    with_rules = metadata is not None and (include or enhance)
+    if with_rules:
         rules = item_rules(metadata, include, enhance, bias)
         if banned is not None:
             rules = rules.join(banned, "candidate", "left_anti")
         found = (found.join(rules, "candidate")
-                 .select("key", "candidate", (F.col("score") + F.col("boost")).alias("score"), "boost"))
-        best = top_k(found, ["key"], order, k)
-        if enhance:
-            best = best.unionByName(_boosted_unscored(found, wanted, rules, k, bias, drop_self, order))
-            best = top_k(best.drop("rank"), ["key"], order, k)
+                 .select("key", "candidate", (F.col("score") + F.col("boost")).alias("score"),
+                         (F.col("boost") != 0).alias("boosted")))
     else:
-        best = top_k(found, ["key"], order, k)
+        found = found.withColumn("boosted", F.lit(False))
+    # k boosted and k other candidates per key hold the k best of all
+    best = top_k(found, ["key", "boosted"], order, k)
+    packed = best.groupBy("key").agg(
+        F.collect_list(F.when(F.col("boosted"), entry)).alias("boosted"),
+        F.collect_list(F.when(~F.col("boosted"), entry)).alias("other"))
+    none = F.array().cast("array<struct<order:double,candidate:bigint,score:double>>")
+    lists = wanted.join(packed, "key", "left").select(
+        "key", F.coalesce("boosted", none).alias("boosted"), F.coalesce("other", none).alias("other"))
+    apart = (lambda i: i != F.col("key")) if drop_self else (lambda i: F.lit(True))
+
+    listed = F.concat("boosted", "other")
+    if with_rules and enhance:
+        # up to k scored boosted items and the key itself can be skipped before k are found
+        lists = lists.withColumn("pool", as_array(
+            rules.where(F.col("boost") != 0), "candidate", [F.asc("candidate")], 2 * k + 1))
+        have = F.transform("boosted", lambda e: e["candidate"])
+        unscored = F.slice(F.filter("pool", lambda i: ~F.array_contains(have, i) & apart(i)), F.lit(1),
+                           F.lit(k) - F.size("boosted"))
+        listed = F.concat(listed, F.transform(unscored, lambda i: F.struct(
+            F.lit(-float(bias)).alias("order"), i.alias("candidate"), F.lit(float(bias)).alias("score"))))
+    lists = lists.select("key", F.slice(F.array_sort(listed), 1, k).alias("list"))
 
-    entry = F.struct("rank", "candidate", "score")
-    lists = wanted.join(
-        best.groupBy("key").agg(F.array_sort(F.collect_list(entry)).alias("list")), "key", "left")
-    lists = lists.withColumn("list", F.coalesce("list", F.array().cast(
-        "array<struct<rank:int,candidate:bigint,score:double>>")))
     pool = popular if banned is None else popular.join(
         banned.withColumnRenamed("candidate", "item_id"), "item_id", "left_anti")
-    # at most k listed items and the key itself can be skipped
-    fill = as_array(pool, "item_id", [F.desc(F.round("popularity", 9)), F.asc("item_id")], k + 1)
-    lists = lists.withColumn("fill", fill)
+    # at most k - 1 listed items and the key itself can be skipped
+    lists = lists.withColumn("fill", as_array(
+        pool, "item_id", [F.desc(F.round("popularity", 9)), F.asc("item_id")], k + 1))
     taken = F.transform("list", lambda e: e["candidate"])
-    free = F.filter("fill", lambda i: ~F.array_contains(taken, i) & ((i != F.col("key")) if drop_self else F.lit(True)))
-    missing = F.lit(k) - F.size("list")
-    extra = F.transform(F.slice(free, F.lit(1), missing), lambda i: F.struct(
-        i.cast("long").alias("candidate"), F.lit(None).cast("double").alias("score"),
-        F.lit("popular").alias("source")))
+    free = F.filter("fill", lambda i: ~F.array_contains(taken, i) & apart(i))
+    extra = F.transform(F.slice(free, F.lit(1), F.lit(k) - F.size("list")), lambda i: F.struct(
+        i.cast("long").alias("candidate"), F.lit(None).cast("double").alias("score"), F.lit("popular").alias("source")))
     own = F.transform("list", lambda e: F.struct(
         e["candidate"].alias("candidate"), e["score"].alias("score"), F.lit("scored").alias("source")))
     return (lists.select("key", F.posexplode(F.concat(own, extra)).alias("place", "e"))
-            .select(F.col("key").alias(key), (F.col("place") + 1).alias("rank"),
-                    F.col("e.candidate").alias(candidate), F.col("e.score").alias(score), F.col("e.source").alias("source")))
-
-
-def _boosted_unscored(found: DataFrame, wanted: DataFrame, rules: DataFrame, k: int, bias: float,
-                      drop_self: bool, order) -> DataFrame:
-    boosted = top_k(found.where(F.col("boost") != 0), ["key"], order, k)
-    have = boosted.groupBy("key").agg(F.collect_list("candidate").alias("have"))
-    # up to k - 1 scored ones and the key itself can be skipped before k are found
-    first = as_array(rules.where(F.col("boost") != 0), "candidate", [F.asc("candidate")], 2 * k + 1)
-    have_ids = F.coalesce("have", F.array().cast("array<bigint>"))
-    free = F.filter("first", lambda i: ~F.array_contains(have_ids, i)
-                    & ((i != F.col("key")) if drop_self else F.lit(True)))
-    # a key with k boosted scored items has no place left for unscored ones
-    return (wanted.join(have, "key", "left").withColumn("first", first)
-            .where(F.size(have_ids) < k)
-            .select("key", F.explode(F.slice(free, F.lit(1), F.lit(k))).alias("candidate"))
-            .select("key", "candidate", F.lit(float(bias)).alias("score"),
-                    F.lit(float(bias)).alias("boost"), F.lit(0).alias("rank")))
+            .select(F.col("key").alias(key), (F.col("place") + 1).alias("rank"), F.col("e.candidate").alias(candidate),
+                    F.col("e.score").alias(score), F.col("e.source").alias("source")))
 
 
 def items_for_users(scores: DataFrame, users: DataFrame, k: int, popular: DataFrame, seen: DataFrame | None = None,
                     **rules) -> DataFrame:
-    """Recommendations per user. Items already viewed stay in, unless ``seen`` is given."""
+    """Recommendations per user. Items already viewed stay in, unless ``seen`` is given; places
+    left free are filled with popular items in either case."""
     if seen is not None:
         scores = scores.join(seen.select("user_id", "item_id").distinct(), ["user_id", "item_id"], "left_anti")
     return recommend(scores, users, "user_id", "item_id", k, popular, **rules)

@@ -10,9 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from covista.functions import bounded_prediction, euclidean, move_towards
-from covista.operators.counts import distinct_pairs
 from covista.operators.vectors import similar_by_distance
-from covista.plans import fan_out_join, search, top_k
+from covista.plans import fan_out_join, search, stored, top_k
 
 ALPHA = 0.6
 
@@ -37,9 +36,9 @@ def _summed(weights: DataFrame, items: DataFrame, name: str, mean: bool = False)
     return joined.groupBy("user_id").agg(vector_to_array(value).alias(name))
 
 
-def user_means(df: DataFrame, items: DataFrame) -> DataFrame:
+def user_means(pairs: DataFrame, items: DataFrame) -> DataFrame:
     """(user_id, vector): mean vector of the distinct items each user viewed."""
-    return _summed(distinct_pairs(df), items, "vector", mean=True)
+    return _summed(pairs, items, "vector", mean=True)
 
 
 def relocated_users(df: DataFrame, items: DataFrame, alpha: float = ALPHA, users: DataFrame | None = None) -> DataFrame:
@@ -60,25 +59,25 @@ def relocated_users(df: DataFrame, items: DataFrame, alpha: float = ALPHA, users
         deepest = 0
     else:
         deepest = math.ceil(1075 * math.log(2) / -math.log(stay)) + 1
-    people = (events if users is None else users.select("user_id").unionByName(events.select("user_id"))).select(
-        "user_id").distinct()
-    lengths = events.groupBy("user_id").agg(F.count("*").alias("n"))
+    out = events.groupBy("user_id").agg(F.count("*").alias("n"))
+    if users is not None:
+        out = users.select("user_id").distinct().join(out, "user_id", "full")
     origin = F.transform("mean", lambda m: m * F.pow(F.lit(stay), F.coalesce("n", F.lit(0))))
-    out = people.join(lengths, "user_id", "left").withColumn("mean", mean_vector(items).scalar())
+    out = out.withColumn("mean", mean_vector(items).scalar())
     if deepest:
         newest = top_k(events, ["user_id"], [F.desc("event_time"), F.desc("item_id")], deepest, rank="back")
         weights = (newest.withColumn("weight", F.lit(alpha) * F.pow(F.lit(stay), F.col("back") - 1))
                    .groupBy("user_id", "item_id").agg(F.sum("weight").alias("weight")))
-        out = out.join(_summed(weights, items, "moved"), "user_id", "left")
+        out = out.join(_summed(stored(weights, "weights"), items, "moved"), "user_id", "left")
     else:
         out = out.withColumn("moved", F.lit(None).cast("array<double>"))
     moved = F.zip_with(origin, "moved", lambda a, b: a + b)
     return out.select("user_id", F.when(F.col("moved").isNull(), origin).otherwise(moved).alias("vector"))
 
 
-def relocated_in_batch(df: DataFrame, items: DataFrame, alpha: float = ALPHA) -> DataFrame:
+def relocated_in_batch(pairs: DataFrame, items: DataFrame, alpha: float = ALPHA) -> DataFrame:
     """(user_id, vector): one step from the item mean towards the mean of the viewed items."""
-    means = user_means(df, items).withColumn("mean", mean_vector(items).scalar())
+    means = user_means(pairs, items).withColumn("mean", mean_vector(items).scalar())
     return means.select("user_id", move_towards(F.col("mean"), F.col("vector"), alpha).alias("vector"))
 
 

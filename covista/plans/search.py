@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from covista.plans.ranking import top_k
+from covista.plans.shared import stored
 
 FEW_SEEDS = 64
 MAX_PIVOTS = 512
@@ -111,10 +112,9 @@ def _scan(seed_rows, items, k, radius, metric, exclude_self):
     return items.mapInArrow(scan, HITS)
 
 
-def _assign(items, pivots, parts=None):
-    """Add the nearest pivot, the distance to it and (given the cell sizes) the block."""
+def _assign(items, pivots):
+    """Add the nearest pivot, the distance to it and the length of the vector."""
     read = _reader("item_id")
-    parts = None if parts is None else np.asarray(parts)
 
     def assign(batches):
         import numpy as np
@@ -124,22 +124,15 @@ def _assign(items, pivots, parts=None):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids, matrix = read(batch)
-            square = (matrix**2).sum(1)[:, None] + norms[None, :] - 2 * matrix @ pivots.T
-            cell = square.argmin(1)
+            _, matrix = read(batch)
+            cell = (norms[None, :] - 2 * matrix @ pivots.T).argmin(1)
             gap = np.sqrt(((matrix - pivots[cell]) ** 2).sum(1))
-            block = np.zeros(len(ids), dtype=np.int32)
-            if parts is not None:
-                # Fibonacci hash of the id, so that blocks of a cell are even
-                mixed = (ids.astype(np.uint64) * np.uint64(11400714819323198485)) >> np.uint64(33)
-                block = (mixed % parts[cell].astype(np.uint64)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("item_id"), batch.column("vector"), pa.array(cell.astype(np.int32)),
-                 pa.array(gap), pa.array(np.sqrt((matrix**2).sum(1))), pa.array(block)],
-                ["item_id", "vector", "cell", "gap", "norm", "block"])
+                 pa.array(gap), pa.array(np.sqrt((matrix**2).sum(1)))],
+                ["item_id", "vector", "cell", "gap", "norm"])
 
-    return items.mapInArrow(
-        assign, "item_id long, vector array<double>, cell int, gap double, norm double, block int")
+    return items.mapInArrow(assign, "item_id long, vector array<double>, cell int, gap double, norm double")
 
 
 def _probe(seeds, pivots, cells, need, radius, metric):
@@ -202,7 +195,8 @@ def _by_cells(seeds, items, k, radius, metric, exclude_self, block_values, cell_
     pivots = np.array([r["vector"] for r in picked], dtype=float)
     block_rows = max(1, block_values // pivots.shape[1])
 
-    stats = (_assign(items, pivots).groupBy("cell")
+    placed = stored(_assign(items, pivots), "placed-vectors")
+    stats = (placed.groupBy("cell")
              .agg(F.count("*").alias("n"), F.max("gap").alias("gap"), F.max("norm").alias("norm"))
              .collect())  # one row per pivot
     cells = {name: np.zeros(len(pivots)) for name in ("count", "reach", "norm")}
@@ -213,20 +207,22 @@ def _by_cells(seeds, items, k, radius, metric, exclude_self, block_values, cell_
     parts = np.maximum(1, np.ceil(cells["count"] / block_rows)).astype(int)
 
     need = None if k is None else k + int(exclude_self)
-    probes = (_probe(seeds, pivots, cells, need, radius, metric)
-              .select("seed_id", "vector", F.explode("cells").alias("cell")))
-    visits = {r["cell"]: r["n"] for r in
-              probes.groupBy("cell").agg(F.count("*").alias("n")).collect()}  # one row per pivot
-    groups = np.array([max(1, -(-visits.get(c, 0) // block_rows)) for c in range(len(pivots))])
+    probes = stored(_probe(seeds, pivots, cells, need, radius, metric), "probes")
+    visits = {r["cell"]: r["n"] for r in probes.select(F.explode("cells").alias("cell"))
+              .groupBy("cell").agg(F.count("*").alias("n")).collect()}  # one row per pivot
+    groups = np.array([-(-visits.get(c, 0) // block_rows) for c in range(len(pivots))])
 
     def lookup(values):
         return F.element_at(F.array(*[F.lit(int(v)) for v in values]), F.col("cell") + 1)
 
-    placed_items = (_assign(items, pivots, parts)
-                    .select("item_id", "vector", "cell", "block",
-                            F.explode(F.sequence(F.lit(0), lookup(groups) - 1)).alias("group")))
-    placed_seeds = (probes
-                    .withColumn("block", F.explode(F.sequence(F.lit(0), lookup(parts) - 1)))
+    def upto(count):
+        return F.sequence(F.lit(0), count - 1)
+
+    placed_items = (placed.where(lookup(groups) > 0)
+                    .withColumn("block", F.pmod(F.xxhash64("item_id"), lookup(parts)).cast("int"))
+                    .select("item_id", "vector", "cell", "block", F.explode(upto(lookup(groups))).alias("group")))
+    placed_seeds = (probes.select("seed_id", "vector", F.explode("cells").alias("cell"))
+                    .withColumn("block", F.explode(upto(lookup(parts))))
                     .withColumn("group", F.pmod(F.xxhash64("seed_id"), lookup(groups)).cast("int")))
     block = _block_search(k, radius, metric, exclude_self)
     read_items, read_seeds = _reader("item_id"), _reader("seed_id")

@@ -17,8 +17,8 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFr
     """Keys with more rows than one task should take, with the number of parts to cut them in.
 
     A key is hot when it has over ``hot_rows`` rows and over 1/(4P) of the table, P being the
-    shuffle partitions. Fewer than 4P keys can pass the second test, so the result may be
-    broadcast whatever the size of the table.
+    shuffle partitions. Fewer than 4P keys can pass the second test, so the list may be
+    fetched and broadcast whatever the size of the table.
     """
     counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
     share = counts.agg((F.coalesce(F.sum("_rows"), F.lit(0)) / (4 * spread(df))).alias("s")).scalar()
@@ -31,11 +31,18 @@ def fan_out_join(left: DataFrame, right: DataFrame, keys: list[str], spread_by:
                  hot_rows: int = HOT_ROWS) -> DataFrame:
     """Inner join for keys that match many rows on both sides.
 
-    Rows of a hot key on the left are cut in parts by a hash of ``spread_by``; the right rows
-    of that key are repeated once per part. Other keys have one part. Results are those of
-    the plain join.
+    The rows per key of the left side are counted first (one aggregation). Rows of a hot key
+    on the left are cut in parts by a hash of ``spread_by``; the right rows of that key are
+    repeated once per part. Results are those of the plain join.
     """
-    hot = F.broadcast(hot_keys(left, keys, hot_rows))
+    # a fixed partition number: the inputs are small next to what the join gives, so
+    # merging partitions by input size would leave too few tasks
+    tasks = spread(left)
+    hot = hot_keys(left, keys, hot_rows)
+    found = hot.collect()  # fewer than 4P rows
+    if not found:
+        return left.repartition(tasks, *keys).join(right.repartition(tasks, *keys), keys)
+    hot = F.broadcast(left.sparkSession.createDataFrame(found, hot.schema))
     parts = F.coalesce("_parts", F.lit(1))
     cut = (left.join(hot, keys, "left")
            .withColumn("_part", F.pmod(F.xxhash64(*spread_by), parts).cast("int"))
@@ -43,9 +50,6 @@ def fan_out_join(left: DataFrame, right: DataFrame, keys: list[str], spread_by:
     repeated = (right.join(hot, keys, "left")
                 .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
                 .drop("_parts"))
-    # a fixed partition number: the inputs are small next to what the join gives, so
-    # merging partitions by input size would leave too few tasks
-    tasks = spread(left)
     return (cut.repartition(tasks, *keys, "_part")
             .join(repeated.repartition(tasks, *keys, "_part"), [*keys, "_part"])
             .drop("_part"))

@@ -9,6 +9,7 @@ from covista.operators import affinity as aff
 from covista.operators import cooccurrence as ops
 from covista.operators import counts
 from covista.operators.recommend import ranked
+from covista.plans import stored
 from suite.registry import query
 from suite.tables import (
     CELLS,
@@ -31,12 +32,12 @@ VIEW_CELLS = (VIEWS, VIEW_PAIRS, CELLS)
 @query(with_sql(*PURCHASE_CELLS) + "SELECT item_id, other_id, n AS both FROM cells WHERE item_id <= other_id")
 def cooccurrence(t: Tables):
     """The upper half with the diagonal; the matrix is symmetric."""
-    return ops.cooccurrence(t.purchases, both_orders=False)
+    return ops.cooccurrence(t.purchase_pairs, both_orders=False)
 
 
 @query(with_sql(*VIEW_CELLS) + "SELECT item_id, other_id, n AS both FROM cells")
 def cooccurrence_of_views(t: Tables):
-    return ops.cooccurrence(t.views)
+    return ops.cooccurrence(t.view_pairs)
 
 
 def _metric_sql(expression: str) -> str:
@@ -50,8 +51,9 @@ SELECT item_id, rank, other_id, round(similarity, 9) AS similarity FROM numbered
 
 
 def _most_similar(t: Tables, metric: str):
-    cells = ops.cooccurrence(t.purchases, diagonal=False)
-    s = ops.item_similarity(cells, metric, counts.viewers_per_item(t.purchases))
+    pairs = t.purchase_pairs
+    cells = ops.cooccurrence(pairs, diagonal=False)
+    s = ops.item_similarity(cells, metric, counts.viewers_per_item(pairs))
     return ranked(s, "item_id", "other_id", 10, "similarity").select(
         "item_id", F.col("rank").cast("long").alias("rank"), "other_id", F.round("similarity", 9).alias("similarity"))
 
@@ -77,26 +79,26 @@ def cooccurrence_table(t: Tables):
     """One column for each of the five most viewed items."""
     views = t.views
     best = [r["item_id"] for r in counts.popular(views, 5).collect()]
-    wide = ops.cooccurrence_table(ops.cooccurrence(views), best)
+    wide = ops.cooccurrence_table(ops.cooccurrence(t.view_pairs), best)
     return wide.select("item_id", *[F.col(f"`{b}`").alias(f"top_{i + 1}") for i, b in enumerate(best)])
 
 
 @query(with_sql(PURCHASES, PURCHASE_PAIRS) + """
 SELECT a.item_id, count(*) AS pairs FROM pairs a JOIN pairs b ON a.user_id = b.user_id GROUP BY 1""")
 def history_self_join(t: Tables):
-    return ops.pairs_per_item(t.purchases)
+    return ops.pairs_per_item(t.purchase_pairs)
 
 
 @query(with_sql(*PURCHASE_CELLS) + """
 SELECT item_id, CAST(sum(n) AS BIGINT) AS pairs FROM cells GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1""")
 def most_connected_item(t: Tables):
-    return ops.most_connected(t.purchases)
+    return ops.most_connected(t.purchase_pairs)
 
 
 @query(with_sql(*PURCHASE_CELLS) + """
 SELECT item_id, other_id, n AS both FROM cells WHERE item_id < other_id ORDER BY 3 DESC, 1, 2 LIMIT 50""")
 def strongest_pairs(t: Tables):
-    cells = ops.cooccurrence(t.purchases, both_orders=False, diagonal=False)
+    cells = ops.cooccurrence(t.purchase_pairs, both_orders=False, diagonal=False)
     return cells.orderBy(F.desc("both"), "item_id", "other_id").limit(50)
 
 
@@ -107,15 +109,16 @@ SELECT x.item_id, x.other_id, a.viewers AS viewers_a, b.viewers AS viewers_b, x.
 FROM best x JOIN own a ON a.item_id = x.item_id JOIN own b ON b.item_id = x.other_id WHERE rn = 1""")
 def pair_audit(t: Tables):
     """Every item with the item it is most often viewed with."""
-    views = t.views
-    cells = ops.cooccurrence(views, diagonal=False)
-    return ops.pair_audit(views, ranked(cells, "item_id", "other_id", 1, score="both"))
+    pairs = t.view_pairs
+    cells = ops.cooccurrence(pairs, diagonal=False)
+    return ops.pair_audit(pairs, ranked(cells, "item_id", "other_id", 1, score="both"))
 
 
 @query(with_sql(*PURCHASE_CELLS) + """
 SELECT count(*) AS cells, 0::BIGINT AS mismatches, 0::BIGINT AS asymmetric, 0::BIGINT AS wrong_diagonal FROM cells""")
 def cooccurrence_check(t: Tables):
-    return ops.consistency_check(t.purchases, ops.cooccurrence(t.purchases))
+    pairs = t.purchase_pairs
+    return ops.consistency_check(pairs, stored(ops.cooccurrence(pairs), "cells"))
 
 
 @query(with_sql(VIEWS) + f"""
@@ -140,11 +143,12 @@ def plain_affinity(t: Tables):
 
 
 def _affinity(t: Tables):
-    return aff.affinity(t.views, half_life=HALF_LIFE)
+    return stored(aff.affinity(t.views, half_life=HALF_LIFE), "affinity")
 
 
 def _similarity(t: Tables, metric: str = "counts"):
-    return ops.item_similarity(ops.cooccurrence(t.views), metric, counts.viewers_per_item(t.views))
+    pairs = t.view_pairs
+    return ops.item_similarity(ops.cooccurrence(pairs), metric, counts.viewers_per_item(pairs))
 
 
 SCORED = (VIEWS, VIEW_PAIRS, CELLS, affinity_sql(), SCORES)
@@ -159,7 +163,7 @@ def predicted_scores(t: Tables):
 SELECT p.user_id, p.item_id, round(coalesce(score, 0.0), 6) AS score
 FROM pairs p LEFT JOIN scores s ON s.user_id = p.user_id AND s.item_id = p.item_id""")
 def score_lookup(t: Tables):
-    return aff.score_lookup(_affinity(t), _similarity(t), t.views).withColumn("score", F.round("score", 6))
+    return aff.score_lookup(_affinity(t), _similarity(t), t.view_pairs).withColumn("score", F.round("score", 6))
 
 
 @query(with_sql(*SCORED) + """
@@ -167,7 +171,7 @@ SELECT p_partkey AS item_id, round(coalesce(sum(score), 0.0), 6) AS popularity
 FROM part LEFT JOIN scores ON item_id = p_partkey GROUP BY 1""")
 def score_popularity(t: Tables):
     items = t.read("part").select(F.col("p_partkey").alias("item_id"))
-    return aff.count_score_popularity(_affinity(t), t.views, items).withColumn("popularity", F.round("popularity", 6))
+    return aff.count_score_popularity(_affinity(t), t.view_pairs, items).withColumn("popularity", F.round("popularity", 6))
 
 
 @query(with_sql(VIEWS, VIEW_PAIRS, CELLS, OWN, affinity_sql()) + """
@@ -184,7 +188,7 @@ SELECT item_id, round(sum(score), 6) AS popularity FROM scores WHERE item_id NOT
 GROUP BY 1 ORDER BY round(sum(score), 9) DESC, item_id LIMIT 10""")
 def popular_by_score(t: Tables):
     banned = t.read("part").where(F.col("p_type") == "ECONOMY").select(F.col("p_partkey").alias("item_id"))
-    totals = aff.count_score_popularity(_affinity(t), t.views)
+    totals = aff.count_score_popularity(_affinity(t), t.view_pairs)
     return aff.popular_by_score(totals, 10, banned).withColumn("popularity", F.round("popularity", 6))
 
 
@@ -203,4 +207,4 @@ SELECT s.user_id, s.item_id, round(score, 6) AS score FROM scores s
 WHERE score <> 0 AND NOT EXISTS (SELECT 1 FROM pairs p WHERE p.user_id = s.user_id AND p.item_id = s.item_id)""")
 def unseen_but_scored(t: Tables):
     scores = aff.predicted_scores(_affinity(t), _similarity(t))
-    return aff.unseen_scored(scores, t.views).withColumn("score", F.round("score", 6))
+    return aff.unseen_scored(scores, t.view_pairs).withColumn("score", F.round("score", 6))

@@ -24,7 +24,7 @@ def item_views(t: Tables):
 SELECT item_id, 0 AS part, array_to_string(list(user_id ORDER BY user_id), ',') AS viewers FROM pairs GROUP BY 1""")
 def viewer_lists(t: Tables):
     path = t.scratch("viewers")
-    ops.viewer_sets(t.purchases).write.json(path)
+    ops.viewer_sets(t.purchase_pairs).write.json(path)
     stored = t.spark.read.schema("item_id long, part int, viewers array<long>").json(path)
     return stored.withColumn("viewers", F.array_join("viewers", ","))
 
@@ -32,17 +32,17 @@ def viewer_lists(t: Tables):
 @query(with_sql(PURCHASES, PURCHASE_PAIRS) + """
 SELECT user_id, 0 AS part, array_to_string(list(item_id ORDER BY item_id), ',') AS items FROM pairs GROUP BY 1""")
 def user_histories(t: Tables):
-    return ops.histories(t.purchases).withColumn("items", F.array_join("items", ","))
+    return ops.histories(t.purchase_pairs).withColumn("items", F.array_join("items", ","))
 
 
 @query(with_sql(PURCHASES, PURCHASE_PAIRS) + "SELECT user_id, item_id FROM pairs")
 def history_events(t: Tables):
-    return ops.history_rows(ops.histories(t.purchases))
+    return ops.history_rows(ops.histories(t.purchase_pairs))
 
 
 @query(with_sql(PURCHASES, PURCHASE_PAIRS) + "SELECT count(*) AS pairs FROM pairs")
 def interactions_used(t: Tables):
-    return ops.interactions_used(t.purchases)
+    return ops.interactions_used(ops.distinct_pairs(t.purchases))
 
 
 @query(with_sql(VIEWS) + "SELECT DISTINCT user_id FROM views")
@@ -54,7 +54,7 @@ def viewers_of_any(t: Tables):
 SELECT p_partkey AS item_id, (SELECT count(DISTINCT user_id) FROM pairs) - count(user_id) AS non_viewers
 FROM part LEFT JOIN pairs ON item_id = p_partkey GROUP BY 1""")
 def non_viewers(t: Tables):
-    return ops.non_viewers(t.purchases, t.read("part").select(F.col("p_partkey").alias("item_id")))
+    return ops.non_viewers(t.purchase_pairs, t.read("part").select(F.col("p_partkey").alias("item_id")))
 
 
 @query(with_sql(VIEWS) + """

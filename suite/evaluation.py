@@ -8,7 +8,9 @@ from covista.operators import affinity as aff
 from covista.operators import cooccurrence as cooc
 from covista.operators import evaluate as ops
 from covista.operators import factors, space
+from covista.operators.counts import distinct_pairs
 from covista.operators.recommend import ranked
+from covista.plans import stored
 from suite.registry import query
 from suite.tables import ALPHA, CELLS, HALF_LIFE, VECTORS, VIEWS, Tables, affinity_sql, with_sql
 from suite.vectors import DIMS, MEAN, MOVED
@@ -28,8 +30,8 @@ def _sides(t: Tables):
 
 
 def _trained(train, users):
-    a = aff.affinity(train, half_life=HALF_LIFE)
-    s = cooc.item_similarity(cooc.cooccurrence(train))
+    a = stored(aff.affinity(train, half_life=HALF_LIFE), "affinity")
+    s = cooc.item_similarity(cooc.cooccurrence(stored(distinct_pairs(train), "train-pairs")))
     return aff.predicted_scores(a, s, users)
 
 

@@ -8,6 +8,7 @@ from covista.operators import affinity as aff
 from covista.operators import catalogue, counts, recommend
 from covista.operators import cooccurrence as cooc
 from covista.operators.vectors import rated_titles
+from covista.plans import stored
 from suite.cooccurrence import SCORED
 from suite.registry import query
 from suite.tables import CELLS, HALF_LIFE, METADATA, PURCHASES, VIEW_PAIRS, VIEWS, Tables, affinity_sql, with_sql
@@ -62,12 +63,12 @@ FIXED = (*SCORED, POPULAR, METADATA, ITEMS)
 
 class _Model:
     def __init__(self, t: Tables):
-        self.views = t.views
-        self.affinity = aff.affinity(self.views, half_life=HALF_LIFE)
-        self.similarity = cooc.item_similarity(cooc.cooccurrence(self.views))
-        self.popular = aff.count_score_popularity(self.affinity, self.views)
-        self.users = self.views.select("user_id").distinct()
-        self.items = self.views.select("item_id").distinct()
+        self.pairs = t.view_pairs
+        self.affinity = stored(aff.affinity(t.views, half_life=HALF_LIFE), "affinity")
+        self.similarity = cooc.item_similarity(cooc.cooccurrence(self.pairs))
+        self.popular = aff.count_score_popularity(self.affinity, self.pairs)
+        self.users = self.pairs.select("user_id").distinct()
+        self.items = self.pairs.select("item_id").distinct()
 
     @property
     def scores(self):
@@ -141,7 +142,7 @@ def items_for_users_ruled(t: Tables):
 SELECT user_id, rank, item_id, round(score, 6) AS score FROM numbered WHERE rank <= {K}""")
 def unseen_items_for_users(t: Tables):
     m = _Model(t)
-    out = recommend.ranked(aff.unseen_scored(m.scores, m.views), "user_id", "item_id", K)
+    out = recommend.ranked(aff.unseen_scored(m.scores, m.pairs), "user_id", "item_id", K)
     return _rounded(out, "score")
 
 
@@ -180,7 +181,7 @@ def best_rated_titles(t: Tables):
 SELECT x.item_id, rank, x.other_id, title, p_type AS genre, p_brand AS provider
 FROM numbered x LEFT JOIN metadata m ON m.item_id = x.other_id WHERE rank <= 10""")
 def described_lists(t: Tables):
-    cells = cooc.cooccurrence(t.views, diagonal=False)
+    cells = cooc.cooccurrence(t.view_pairs, diagonal=False)
     best = recommend.ranked(cells, "item_id", "other_id", K, "both")
     meta = t.metadata.select(F.col("item_id").alias("other_id"), "title", F.col("filters")[0].alias("genre"),
                              F.col("filters")[1].alias("provider"))

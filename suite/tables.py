@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covista.plans import scratch_path
+from covista.operators.counts import distinct_pairs
+from covista.plans import scratch_path, stored
 from covista.sources import interactions, read_table
 
 ALPHA = 0.6
@@ -43,6 +44,14 @@ class Tables:
         return interactions(rows, "o_custkey", "l_partkey", "o_orderdate", keep=[
             F.col("l_quantity").alias("rating"), "l_orderkey", "l_linenumber"])
 
+    @property
+    def view_pairs(self) -> DataFrame:
+        return stored(distinct_pairs(self.views), "view-pairs")
+
+    @property
+    def purchase_pairs(self) -> DataFrame:
+        return stored(distinct_pairs(self.purchases), "purchase-pairs")
+
     @property
     def raw_movies(self) -> DataFrame:
         """Parts as a raw catalogue: "name (year)", some without a year, some starting with it."""

@@ -17,6 +17,7 @@ from covista.functions import (
 from covista.operators import space, vectors
 from covista.operators.factors import cluster_sizes, first_cluster_mates, two_hop
 from covista.operators.recommend import ranked
+from covista.plans import stored
 from suite.registry import query
 from suite.tables import ALPHA, PURCHASES, VECTORS, VIEWS, Tables, with_sql
 
@@ -40,7 +41,7 @@ USERS = (VIEWS, VECTORS, DIMS, MEAN, MOVED)
 
 
 def _users(t: Tables):
-    return space.relocated_users(t.views, t.vectors, ALPHA)
+    return stored(space.relocated_users(t.views, t.vectors, ALPHA), "people")
 
 
 def _long_rank(df):
@@ -90,7 +91,7 @@ def mean_vector(t: Tables):
 @query(with_sql(VIEWS, VECTORS, DIMS, "pairs AS (SELECT DISTINCT user_id, item_id FROM views)") + """
 SELECT user_id, pos, round(avg(v), 6) AS value FROM pairs JOIN dims USING (item_id) GROUP BY 1, 2""")
 def user_mean_vectors(t: Tables):
-    return _components(space.user_means(t.views, t.vectors), "user_id")
+    return _components(space.user_means(t.view_pairs, t.vectors), "user_id")
 
 
 @query(with_sql(VIEWS, VECTORS, DIMS, MEAN) + """
@@ -108,7 +109,7 @@ def relocated_users(t: Tables):
 SELECT user_id, d.pos, round(max(m) + {ALPHA}::DOUBLE * (avg(v) - max(m)), 6) AS value
 FROM pairs JOIN dims d USING (item_id) JOIN mean_at m ON m.pos = d.pos GROUP BY 1, 2""")
 def relocated_in_batch(t: Tables):
-    return _components(space.relocated_in_batch(t.views, t.vectors, ALPHA), "user_id")
+    return _components(space.relocated_in_batch(t.view_pairs, t.vectors, ALPHA), "user_id")
 
 
 @query(with_sql(*USERS) + """
