@@ -21,6 +21,7 @@ from covista.functions.columns import (  # noqa: F401
     move_towards,
     preference,
     scaled_miss,
+    settled,
     similarity,
     squared_distance,
     stamp,

@@ -89,6 +89,14 @@ def list_position(values: Column, value: Column) -> Column:
     return F.array_position(values, value)
 
 
+# --- scores ---------------------------------------------------------------
+
+def settled(score: Column, digits: int = 9) -> Column:
+    """Score to a fixed number of digits, so that sums made in another order rank alike.
+    Plain double arithmetic: ``round`` goes through decimals, which a sort key cannot afford."""
+    return F.rint(score * F.lit(10.0**digits)) / F.lit(10.0**digits)
+
+
 # --- ratings and co-occurrence ------------------------------------------------------
 
 def implicit_rating() -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from covista.functions import half_life_weight
+from covista.functions import half_life_weight, settled
 from covista.functions.columns import DEFAULT_HALF_LIFE
 from covista.plans import fan_out_join
 
@@ -84,7 +84,7 @@ def popular_by_score(popularity: DataFrame, n: int, exclude: DataFrame | None =
     """The n items with the largest summed score; fewer when fewer exist."""
     if exclude is not None:
         popularity = popularity.join(exclude.select("item_id"), "item_id", "left_anti")
-    return popularity.orderBy(F.desc(F.round("popularity", 9)), "item_id").limit(n)
+    return popularity.orderBy(F.desc(settled(F.col("popularity"))), "item_id").limit(n)
 
 
 def user_score_stats(scores: DataFrame, item_count: Column | int) -> DataFrame:

@@ -57,10 +57,7 @@ def cooccurrence(pairs: DataFrame, history_block: int = HISTORY_BLOCK, both_orde
 
     cells = made.groupBy("item_id", "other_id").agg(F.count("*").alias("both"))
     if both_orders:
-        orders = F.array(F.struct(F.col("item_id").alias("i"), F.col("other_id").alias("j")),
-                         F.struct(F.col("other_id").alias("i"), F.col("item_id").alias("j")))
-        cells = (cells.select(F.explode(orders).alias("p"), "both")
-                 .select(F.col("p.i").alias("item_id"), F.col("p.j").alias("other_id"), "both"))
+        cells = mirrored(cells)
     if diagonal:
         own = viewers_per_item(pairs).select("item_id", F.col("item_id").alias("other_id"),
                                              F.col("viewers").alias("both"))
@@ -68,6 +65,15 @@ def cooccurrence(pairs: DataFrame, history_block: int = HISTORY_BLOCK, both_orde
     return cells
 
 
+def mirrored(cells: DataFrame) -> DataFrame:
+    """Every (item_id, other_id, value) row in both orders."""
+    value = cells.columns[-1]
+    orders = F.array(F.struct(F.col("item_id").alias("i"), F.col("other_id").alias("j")),
+                     F.struct(F.col("other_id").alias("i"), F.col("item_id").alias("j")))
+    return (cells.select(F.explode(orders).alias("p"), value)
+            .select(F.col("p.i").alias("item_id"), F.col("p.j").alias("other_id"), value))
+
+
 def item_similarity(cells: DataFrame, metric: str = "counts", viewers: DataFrame | None = None) -> DataFrame:
     """(item_id, other_id, similarity) from co-occurrence cells.
 
@@ -125,23 +131,30 @@ def pair_audit(pairs: DataFrame, audit: DataFrame) -> DataFrame:
 def consistency_check(pairs: DataFrame, cells: DataFrame) -> DataFrame:
     """One row: cells, cells that differ from a recount, asymmetric cells, wrong diagonals.
 
-    The recount joins the pairs with themselves instead of using history blocks.
+    The recount joins the pairs with themselves instead of using histories. Both counts of a
+    pair of items, in both orders, meet in one aggregation keyed by the unordered pair.
     """
     other = pairs.select("user_id", F.col("item_id").alias("other_id"))
-    recount = (fan_out_join(pairs, other, ["user_id"], ["item_id"])
-               .groupBy("item_id", "other_id").agg(F.count("*").alias("again")))
-    mirror = cells.select(F.col("item_id").alias("other_id"), F.col("other_id").alias("item_id"),
-                          F.col("both").alias("mirrored"))
-    own = viewers_per_item(pairs)
-    joined = (cells.join(recount, ["item_id", "other_id"], "full")
-              .join(mirror, ["item_id", "other_id"], "full").join(own, "item_id", "left"))
-    on_diagonal = F.col("item_id") == F.col("other_id")
-
-    def wrong(test: Column) -> Column:
-        return F.coalesce(F.sum(F.when(test, 1).otherwise(0)), F.lit(0)).cast("long")
-
-    return joined.agg(
-        F.count("both").alias("cells"),
-        wrong(~F.col("both").eqNullSafe(F.col("again"))).alias("mismatches"),
-        wrong(~F.col("both").eqNullSafe(F.col("mirrored"))).alias("asymmetric"),
-        wrong(on_diagonal & ~F.col("both").eqNullSafe(F.col("viewers"))).alias("wrong_diagonal"))
+    recount = (fan_out_join(pairs, other, ["user_id"], ["item_id"]).where(F.col("item_id") <= F.col("other_id"))
+               .groupBy("item_id", "other_id").agg(F.count("*").alias("n")))
+    own = viewers_per_item(pairs).select("item_id", F.col("item_id").alias("other_id"), F.col("viewers").alias("n"))
+    low, high = F.least("item_id", "other_id").alias("low"), F.greatest("item_id", "other_id").alias("high")
+    order = F.when(F.col("item_id") <= F.col("other_id"), "up").otherwise("down")
+    rows = (cells.select(low, high, order.alias("source"), F.col("both").alias("n"))
+            .unionAll(recount.select(low, high, F.lit("again"), "n"))
+            .unionAll(own.select(low, high, F.lit("viewers"), "n")))
+    sides = rows.groupBy("low", "high").agg(*[
+        F.max(F.when(F.col("source") == name, F.col("n"))).alias(name) for name in ("up", "down", "again", "viewers")])
+    apart = F.col("low") != F.col("high")
+
+    def differs(a: str, b: str, where: Column) -> Column:
+        return (~F.col(a).eqNullSafe(F.col(b)) & where).cast("long")
+
+    def total(value: Column) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0))
+
+    return sides.agg(
+        (F.count("up") + F.count("down")).alias("cells"),
+        total(differs("up", "again", F.lit(True)) + differs("down", "again", apart)).alias("mismatches"),
+        total(2 * differs("up", "down", apart)).alias("asymmetric"),
+        total(differs("up", "viewers", ~apart)).alias("wrong_diagonal"))

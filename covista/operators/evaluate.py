@@ -10,7 +10,7 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from covista.functions import scaled_miss
+from covista.functions import scaled_miss, settled
 from covista.operators.affinity import user_score_stats
 from covista.operators.factors import items_for_some_users
 from covista.plans import stored
@@ -69,7 +69,7 @@ def squared_miss(test: DataFrame, scores: DataFrame, item_count: Column | int, u
               .join(stats, "user_id", "left")
               .select("n", known.alias("known"), score.alias("score"),
                       F.coalesce("mean_score", F.lit(0.0)).alias("mean"), F.coalesce("max_score", F.lit(0.0)).alias("top")))
-    below = F.col("known") & (F.round("score", 9) < F.round("mean", 9))
+    below = F.col("known") & (settled(F.col("score")) < settled(F.col("mean")))
     miss = scaled_miss(F.col("score"), F.col("top"))
 
     def total(value):

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from covista.functions import settled
 from covista.functions.columns import DEFAULT_BOOST
 from covista.plans import as_array, top_k
 
@@ -33,7 +34,7 @@ def item_rules(metadata: DataFrame, include: Sequence[str] = (), enhance: Sequen
 def ranked(scores: DataFrame, key: str, candidate: str, k: int, score: str = "score") -> DataFrame:
     """(key, rank, candidate, score): the k best non-zero scores per key, ties by id."""
     return (top_k(scores.where(F.col(score) != 0).select(key, candidate, score), [key],
-                  [F.desc(F.round(score, 9)), F.asc(candidate)], k)
+                  [F.desc(settled(F.col(score))), F.asc(candidate)], k)
             .select(key, "rank", candidate, score))
 
 
@@ -59,8 +60,8 @@ def recommend(scores: DataFrame, keys: DataFrame, key: str, candidate: str, k: i
     if banned is not None:
         found = found.join(banned, "candidate", "left_anti")
     # one entry per candidate, ordered as the list is: best rounded score first, then id
-    entry = F.struct((-F.round("score", 9)).alias("order"), "candidate", "score")
-    order = [F.desc(F.round("score", 9)), F.asc("candidate")]
+    entry = F.struct((-settled(F.col("score"))).alias("order"), "candidate", "score")
+    order = [F.desc(settled(F.col("score"))), F.asc("candidate")]
     wanted = keys.select(F.col(key).alias("key")).distinct()
     with_rules = metadata is not None and (include or enhance)
     if with_rules:
@@ -98,7 +99,7 @@ def recommend(scores: DataFrame, keys: DataFrame, key: str, candidate: str, k: i
         banned.withColumnRenamed("candidate", "item_id"), "item_id", "left_anti")
     # at most k - 1 listed items and the key itself can be skipped
     lists = lists.withColumn("fill", as_array(
-        pool, "item_id", [F.desc(F.round("popularity", 9)), F.asc("item_id")], k + 1))
+        pool, "item_id", [F.desc(settled(F.col("popularity"))), F.asc("item_id")], k + 1))
     taken = F.transform("list", lambda e: e["candidate"])
     free = F.filter("fill", lambda i: ~F.array_contains(taken, i) & apart(i))
     extra = F.transform(F.slice(free, F.lit(1), F.lit(k) - F.size("list")), lambda i: F.struct(

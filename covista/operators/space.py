@@ -9,7 +9,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covista.functions import bounded_prediction, euclidean, move_towards
+from covista.functions import bounded_prediction, euclidean, move_towards, settled
 from covista.operators.vectors import similar_by_distance
 from covista.plans import fan_out_join, search, stored, top_k
 
@@ -110,7 +110,7 @@ def predictions(test: DataFrame, users: DataFrame, items: DataFrame, radius: flo
     where = items.select("item_id", F.col("vector").alias("_v"))
     rows = fan_out_join(test.select("user_id", "item_id"), users.select("user_id", "vector"), ["user_id"], ["item_id"])
     rows = rows.join(where, "item_id").withColumn("distance", euclidean(F.col("vector"), F.col("_v")))
-    return rows.select("user_id", "item_id", "distance", bounded_prediction(F.round("distance", 9), radius).alias("predicted"))
+    return rows.select("user_id", "item_id", "distance", bounded_prediction(settled(F.col("distance")), radius).alias("predicted"))
 
 
 def prediction_error(test: DataFrame, users: DataFrame, items: DataFrame, radius: float) -> DataFrame:

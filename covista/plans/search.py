@@ -13,6 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from covista.functions import settled
 from covista.plans.ranking import top_k
 from covista.plans.shared import stored
 
@@ -277,4 +278,4 @@ def search(seeds: DataFrame, items: DataFrame, k: int | None = None, radius: flo
         hits = _by_cells(seeds, items, k, radius, inner, exclude_self, block_values, cell_rows)
     if k is None:
         return hits
-    return top_k(hits, ["seed_id"], [F.round("cost", 9), F.col("item_id")], k)
+    return top_k(hits, ["seed_id"], [settled(F.col("cost")), F.col("item_id")], k)

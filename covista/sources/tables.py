@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from covista.plans import first_rows, top_k
+from covista.plans import first_rows, stored, top_k
 
 INTERACTION = T.StructType([
     T.StructField("user_id", T.LongType()),
@@ -72,8 +72,12 @@ def latest_interactions(df: DataFrame, n: int, ties: Sequence[str] = ("user_id",
 
 def slices(df: DataFrame, lengths: Sequence[int], ties: Sequence[str] = ("user_id", "item_id"),
            time: str = "event_time") -> dict[int, DataFrame]:
-    """The oldest n rows for every n, as growing data sets for timing."""
-    return {n: first_rows(df, time, n, list(ties), newest=False) for n in lengths}
+    """The oldest n rows for every n, as growing data sets for timing.
+
+    Each slice starts the next longer one, so the longest is read from the source and stored.
+    """
+    longest = stored(first_rows(df, time, max(lengths), list(ties), newest=False), "longest-slice")
+    return {n: longest.orderBy(time, *ties).limit(n) for n in lengths}
 
 
 def id_frame(spark: SparkSession, ids: Sequence[int], name: str) -> DataFrame:
