@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from covista.functions import bounded_prediction, euclidean, move_towards, settled
 from covista.operators.vectors import similar_by_distance
-from covista.plans import fan_out_join, search, stored, top_k
+from covista.plans import search, top_k
 
 ALPHA = 0.6
 
@@ -30,7 +30,9 @@ def placed_users(users: DataFrame, items: DataFrame) -> DataFrame:
 def _summed(weights: DataFrame, items: DataFrame, name: str, mean: bool = False) -> DataFrame:
     """Weighted sum (or plain mean) of the vectors of a user's items."""
     vectors = items.where(F.col("vector").isNotNull()).select("item_id", "vector")
-    joined = fan_out_join(weights, vectors, ["item_id"], ["user_id"])
+    # one vector per item: a plain lookup, which adaptive execution broadcasts when the
+    # catalogue is small and splits where an item is hot
+    joined = weights.join(vectors, "item_id")
     column = array_to_vector(F.col("vector"))
     value = Summarizer.mean(column) if mean else Summarizer.sum(column, F.col("weight"))
     return joined.groupBy("user_id").agg(vector_to_array(value).alias(name))
@@ -68,7 +70,7 @@ def relocated_users(df: DataFrame, items: DataFrame, alpha: float = ALPHA, users
         newest = top_k(events, ["user_id"], [F.desc("event_time"), F.desc("item_id")], deepest, rank="back")
         weights = (newest.withColumn("weight", F.lit(alpha) * F.pow(F.lit(stay), F.col("back") - 1))
                    .groupBy("user_id", "item_id").agg(F.sum("weight").alias("weight")))
-        out = out.join(_summed(stored(weights, "weights"), items, "moved"), "user_id", "left")
+        out = out.join(_summed(weights, items, "moved"), "user_id", "left")
     else:
         out = out.withColumn("moved", F.lit(None).cast("array<double>"))
     moved = F.zip_with(origin, "moved", lambda a, b: a + b)
@@ -108,7 +110,7 @@ def nearest_items_to_items(items: DataFrame, n: int, seeds: DataFrame | None = N
 def predictions(test: DataFrame, users: DataFrame, items: DataFrame, radius: float) -> DataFrame:
     """(user_id, item_id, distance, predicted): 1 where the item lies within ``radius``."""
     where = items.select("item_id", F.col("vector").alias("_v"))
-    rows = fan_out_join(test.select("user_id", "item_id"), users.select("user_id", "vector"), ["user_id"], ["item_id"])
+    rows = test.select("user_id", "item_id").join(users.select("user_id", "vector"), "user_id")
     rows = rows.join(where, "item_id").withColumn("distance", euclidean(F.col("vector"), F.col("_v")))
     return rows.select("user_id", "item_id", "distance", bounded_prediction(settled(F.col("distance")), radius).alias("predicted"))
 
