@@ -27,6 +27,13 @@ def new_ids(df: DataFrame, index: DataFrame, column: str) -> DataFrame:
     return df.select(F.col(column).alias("id")).distinct().join(index, "id", "left_anti")
 
 
+def id_check(df: DataFrame, index: DataFrame, column: str) -> DataFrame:
+    """One row: distinct ids of the batch that are new, and those ignored as already indexed."""
+    ids = df.select(F.col(column).alias("id")).distinct()
+    marked = ids.join(index.select("id", F.lit(1).alias("_old")), "id", "left")
+    return marked.agg((F.count("*") - F.count("_old")).alias("new"), F.count("_old").alias("ignored"))
+
+
 def append_index(index: DataFrame, ids: DataFrame) -> DataFrame:
     """Index with the new ids numbered on, in id order."""
     start = index.agg(F.coalesce(F.max("idx") + 1, F.lit(0)).alias("n")).scalar()

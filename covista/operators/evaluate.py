@@ -16,6 +16,12 @@ from covista.operators.factors import items_for_some_users
 from covista.plans import stored
 from covista.sources.tables import slices
 
+# Fixed values of the tuning grid.
+GRID_LENGTHS = (100, 1000, 5000, 10000, 25000, 50000)
+GRID_RANKS = (5, 20, 40, 100)
+GRID_ITERATIONS = (3, 5, 10, 15)
+GRID_REGS = (0.01,)
+
 
 def random_split(df: DataFrame, test: float = 0.2, seed: int | None = None) -> tuple[DataFrame, DataFrame]:
     train, held = df.randomSplit([1 - test, test], seed)
@@ -90,9 +96,8 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return row.select(F.inline(cells))
 
 
-def tuning_grid(df: DataFrame, lengths: Sequence[int] = (100, 1000, 5000, 10000, 25000, 50000),
-                ranks: Sequence[int] = (5, 20, 40, 100), iterations: Sequence[int] = (3, 5, 10, 15),
-                regs: Sequence[float] = (0.01,), ties=("user_id", "item_id")) -> DataFrame:
+def tuning_grid(df: DataFrame, lengths: Sequence[int] = GRID_LENGTHS, ranks: Sequence[int] = GRID_RANKS,
+                iterations: Sequence[int] = GRID_ITERATIONS, regs: Sequence[float] = GRID_REGS, ties=("user_id", "item_id")) -> DataFrame:
     """(rank, max_iter, reg_param, length, train_times): seconds per fit over growing slices.
 
     The loop runs over parameter settings only; every fit is a Spark job.

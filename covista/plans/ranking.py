@@ -28,7 +28,8 @@ def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int, rank: str
 
 
 def first_rows(df: DataFrame, time: str, n: int, ties: list[str], newest: bool = True) -> DataFrame:
-    """The n newest (or oldest) rows by ``time``, ties by the columns ``ties``.
+    """The n newest (or oldest) rows by ``time``, ties by the columns ``ties``. Rows without a
+    time are neither.
 
     Rows are counted per day first; the day in which the n-th row falls bounds the second
     scan, so the sort sees about n rows and not one heap of n rows per input partition.

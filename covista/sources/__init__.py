@@ -20,6 +20,7 @@ from covista.sources.tables import (  # noqa: F401
     read_csv,
     read_ids,
     read_table,
+    reuse,
     slices,
     update_rows,
     write_ids,

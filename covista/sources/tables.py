@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from covista.plans import first_rows, stored, top_k
+from covista.plans import first_rows, stored
 
 INTERACTION = T.StructType([
     T.StructField("user_id", T.LongType()),
@@ -145,12 +145,3 @@ def write_ids(index: DataFrame, path: str, fmt: str = "json", mode: str = "error
 
 def read_ids(spark: SparkSession, path: str, fmt: str = "json", schema: T.StructType = ID_INDEX) -> DataFrame:
     return spark.read.schema(schema).format(fmt).load(path)
-
-
-def newest_of(df: DataFrame, keys: Sequence[str], time: str, k: int) -> DataFrame:
-    """The k newest rows of every key."""
-    return top_k(df, list(keys), [F.desc(time)], k)
-
-
-def map_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
-    return df.select(*[F.col(old).alias(new) for old, new in names.items()])

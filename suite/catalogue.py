@@ -249,6 +249,13 @@ def new_users(t: Tables):
     return ops.new_ids(t.purchases, _early_index(t, "user_id"), "user_id")
 
 
+@query(with_sql(PURCHASES, f"early AS ({EARLY_USERS})", "ids AS (SELECT DISTINCT user_id AS id FROM purchases)") + """
+SELECT count(*) FILTER (id NOT IN (SELECT id FROM early)) AS new,
+       count(*) FILTER (id IN (SELECT id FROM early)) AS ignored FROM ids""")
+def user_id_check(t: Tables):
+    return ops.id_check(t.purchases, _early_index(t, "user_id"), "user_id")
+
+
 @query(with_sql(PURCHASES, METADATA, f"early AS ({EARLY_ITEMS})", """fresh AS (
   SELECT DISTINCT item_id AS id FROM purchases WHERE item_id NOT IN (SELECT id FROM early))""", """tally AS (
   SELECT (SELECT count(*) FROM early) AS b,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from covista.functions import confidence, list_position, preference
 from covista.operators import counts as ops
 from suite.registry import query
-from suite.tables import PURCHASE_PAIRS, PURCHASES, VIEW_PAIRS, VIEWS, Tables, with_sql
+from suite.tables import PURCHASE_PAIRS, PURCHASES, VIEWS, Tables, with_sql
 
 BATCH = 5000
 TIES = ("user_id", "item_id", "l_orderkey", "l_linenumber")

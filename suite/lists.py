@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from covista.operators import affinity as aff
-from covista.operators import catalogue, counts, recommend
+from covista.operators import catalogue, recommend
 from covista.operators import cooccurrence as cooc
 from covista.operators.vectors import rated_titles
 from covista.plans import stored

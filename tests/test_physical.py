@@ -14,13 +14,6 @@ def plan(spark, name):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - {n for n in entry.queries() if n.startswith("als_")} - {"tuning_grid"}))
-def test_no_cross_join_and_no_row_udf(spark, name):
-    text = plan(spark, name)
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    assert "BatchEvalPython" not in text
-
-
 def test_filters_and_columns_reach_the_scan(spark):
     text = plan(spark, "interaction_scan")
     assert "EqualTo(event_type,view)" in text

@@ -5,6 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from covista import jobs
 from covista.operators import factors
 from covista.operators.evaluate import correlations, hit_ratio, split_by_key
 from covista.plans import scratch_path
@@ -14,6 +15,7 @@ from covista.sources import (
     index_rows,
     latest_version,
     load_latest_model,
+    reuse,
     one_per_key,
     save_model,
     update_rows,
@@ -97,3 +99,24 @@ def test_evaluation(spark):
     assert train.count() + held.count() == 5000 and 850 < held.count() < 1150
     pearson = correlations(spark.range(10).select("id", (-F.col("id")).alias("m")), ["id", "m"]).collect()
     assert {(r.left, r.right): round(r.pearson, 9) for r in pearson}["id", "m"] == -1
+
+
+def test_jobs(spark, views):
+    root, out = scratch_path(spark, "models"), scratch_path(spark, "lists")
+    jobs.train(views, root, batch_size=400, max_iter=2, rank=4, seed=1)
+    jobs.write_items_for_users(spark, root, f"{out}/users", 3)
+    assert spark.read.parquet(f"{out}/users").count() == 20 * 3
+    jobs.write_items_for_items(spark, root, f"{out}/items", 4)
+    near = spark.read.parquet(f"{out}/items")
+    assert near.count() == 31 * 4 and near.where("item_id = other_id").isEmpty()
+    jobs.write_ranking(views, f"{out}/ranking")
+    assert spark.read.parquet(f"{out}/ranking").agg({"ranking": "min"}).first()[0] == 1
+    assert jobs.top_popular(views, 2).count() == 2
+    jobs.write_cold_start(spark.range(18, 23).withColumnRenamed("id", "user_id"), views, f"{out}/cold", 2)
+    assert rows(spark.read.parquet(f"{out}/cold").select("user_id").distinct()) == [(20,), (21,), (22,)]
+
+
+def test_reuse(views):
+    kept = reuse(views)
+    assert kept.count() == 400 and kept.storageLevel.useMemory
+    kept.unpersist()
