@@ -97,6 +97,17 @@ def _reader(id_column, vector_column="vector"):
     return read
 
 
+def _pieces(rows=2048):
+    """Function batches -> smaller non-empty batches, which bound the matrices made from them."""
+
+    def pieces(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                yield batch.slice(at, rows)
+
+    return pieces
+
+
 def _scan(seed_rows, items, k, radius, metric, exclude_self):
     """Seeds as constants of the tasks, one pass over the catalogue."""
     seed_ids = np.array([r["seed_id"] for r in seed_rows], dtype=np.int64)
@@ -107,24 +118,21 @@ def _scan(seed_rows, items, k, radius, metric, exclude_self):
     def scan(batches):
         for batch in batches:
             if batch.num_rows:
-                ids, matrix = read(batch)
-                yield from block(seed_ids, seeds, ids, matrix).to_batches()
+                yield from block(seed_ids, seeds, *read(batch)).to_batches()
 
     return items.mapInArrow(scan, HITS)
 
 
 def _assign(items, pivots):
     """Add the nearest pivot, the distance to it and the length of the vector."""
-    read = _reader("item_id")
+    read, pieces = _reader("item_id"), _pieces()
 
     def assign(batches):
         import numpy as np
         import pyarrow as pa
 
         norms = (pivots**2).sum(1)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in pieces(batches):
             _, matrix = read(batch)
             cell = (norms[None, :] - 2 * matrix @ pivots.T).argmin(1)
             gap = np.sqrt(((matrix - pivots[cell]) ** 2).sum(1))
@@ -138,7 +146,7 @@ def _assign(items, pivots):
 
 def _probe(seeds, pivots, cells, need, radius, metric):
     """Add to every seed the list of cells that may hold one of its results."""
-    read = _reader("seed_id")
+    read, pieces = _reader("seed_id"), _pieces()
     count, reach, longest = cells["count"], cells["reach"], cells["norm"]
 
     def probe(batches):
@@ -146,9 +154,7 @@ def _probe(seeds, pivots, cells, need, radius, metric):
         import pyarrow as pa
 
         norms = (pivots**2).sum(1)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in pieces(batches):
             _, matrix = read(batch)
             length2 = (matrix**2).sum(1)[:, None]
             product = matrix @ pivots.T

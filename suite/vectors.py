@@ -264,7 +264,7 @@ SELECT u.item_id, i.item_id AS other_id, round(sum(u.rating * i.rating), 6) AS s
 FROM u JOIN i ON u.user_id = i.user_id WHERE u.rank <= 10 AND i.rank <= 20 GROUP BY 1, 2""")
 def two_hop_items(t: Tables):
     """Two hops over stored lists: best users of an item, then their best items."""
-    rated = t.purchases.groupBy("user_id", "item_id").agg(F.sum("rating").alias("rating"))
+    rated = stored(t.purchases.groupBy("user_id", "item_id").agg(F.sum("rating").alias("rating")), "rated")
     users = ranked(rated, "item_id", "user_id", 10, "rating")
     items = ranked(rated, "user_id", "item_id", 20, "rating")
     return two_hop(users, items).withColumn("score", F.round("score", 6))
