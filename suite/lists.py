@@ -27,7 +27,7 @@ def _quoted(values):
 
 def _lists_sql(key: str, candidate: str, base: str, rules: str = "", boost: str = "0.0", banned: str = "",
                drop_self: bool = False, value: str = "score") -> str:
-    """Reference lists over every key x item, including items that scored 0."""
+    """The expected lists over every key x item, including items that scored 0."""
     own = "AND k.key <> i.item_id" if drop_self else ""
     join = "JOIN metadata m ON m.item_id = i.item_id" if rules or boost != "0.0" else ""
     ban = f"AND i.item_id NOT IN ({banned})" if banned else ""
