@@ -1,4 +1,4 @@
 from covista.plans.ranking import as_array, first_rows, top_k, with_ordinal  # noqa: F401
 from covista.plans.search import search  # noqa: F401
-from covista.plans.shared import scratch_path, shared_dir, stored  # noqa: F401
+from covista.plans.shared import Workspace, remove_path, scratch_path, shared_dir, stored  # noqa: F401
 from covista.plans.skew import fan_out_join, spread  # noqa: F401

@@ -30,6 +30,36 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+class Workspace:
+    """Intermediate tables of one computation, in the shared folder.
+
+    ``store`` writes a frame and reads it back, ``drop`` deletes it as soon as everything made
+    from it is itself stored, so that a long computation holds a few steps on disk, not all.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def store(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch_path(self.spark, label)
+        df.write.option("compression", "zstd").parquet(path)
+        back = self.spark.read.schema(df.schema).parquet(path)
+        self._paths[id(back)] = (back, path)
+        return back
+
+    def drop(self, *frames: DataFrame) -> None:
+        for df in frames:
+            _, path = self._paths.pop(id(df))
+            remove_path(self.spark, path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Spark's own file systems."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The frame written once to the shared folder and read back.
 
