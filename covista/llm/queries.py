@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covista.llm import bpe, quality_rules, secret_scans
+from covista.llm import bpe, quality_rules, secret_scans, simhash
 from covista.plans import Workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,11 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return token_digests(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
 
 
+@query
+def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"), words=3, distance=3)
+
+
 @query
 def op10_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
