@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covista.llm import bpe, quality_rules, secret_scans, simhash
+from covista.llm import bpe, quality_rules, secret_scans, simhash, substrings
 from covista.plans import Workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,11 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judged(counted).drop("lang", "source")
 
 
+@query
+def op4_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.without_repeats(table(spark, folder, "documents").select("doc_id", "text"), size=35)
+
+
 def rank_file() -> dict[str, str]:
     import public_tokenizers
 
