@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covista.llm import bpe, quality_rules, secret_scans, simhash, substrings
+from covista.llm import bpe, decontaminate, quality_classifier, quality_rules, secret_scans, simhash, substrings
 from covista.plans import Workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,18 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return token_digests(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
 
 
+@query
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.leaks(docs, table(spark, folder, "benchmark"))
+
+
+@query
+def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source", "lang")
+    return quality_classifier.scored(docs, table(spark, folder, "labels")).drop("text", "source", "lang")
+
+
 @query
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"), words=3, distance=3)
