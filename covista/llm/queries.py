@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covista.llm import bpe, decontaminate, quality_classifier, quality_rules, secret_scans, simhash, substrings
+from covista.llm import (bpe, decontaminate, licences, quality_classifier, quality_rules, secret_scans, simhash, substrings,
+                         toxicity)
 from covista.plans import Workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +24,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.best_licence(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 @query
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
@@ -69,6 +75,15 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"), words=3, distance=3)
 
 
+@query
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    weights = toxicity.train(docs, table(spark, folder, "labels"))
+    return toxicity.scored(docs, weights).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 @query
 def op10_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
