@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covista.llm import (bpe, decontaminate, licences, quality_classifier, quality_rules, secret_scans, simhash, substrings,
-                         toxicity)
+                         toxicity, warc)
 from covista.plans import Workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,11 @@ def op1_licences(spark: SparkSession, folder: str) -> DataFrame:
     return licences.best_licence(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+@query
+def op2_warc_segments(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.stored_and_read(table(spark, folder, "pages"))
+
+
 @query
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
