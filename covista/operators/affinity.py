@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from covista.functions import half_life_weight, settled
 from covista.functions.columns import DEFAULT_HALF_LIFE
-from covista.plans import fan_out_join
+from covista.plans import WORK_ROWS, fan_out_join
 
 
 def affinity(df: DataFrame, t0: Column | float | None = None, half_life: float = DEFAULT_HALF_LIFE,
@@ -27,22 +27,22 @@ def affinity(df: DataFrame, t0: Column | float | None = None, half_life: float =
 
 
 def predicted_scores(a: DataFrame, s: DataFrame, users: DataFrame | None = None,
-                     hot_rows: int = 100_000) -> DataFrame:
+                     work_rows: int = WORK_ROWS) -> DataFrame:
     """(user_id, item_id, score): Y = A S, optionally for some users only."""
     if users is not None:
         a = a.join(users.select("user_id").distinct(), "user_id", "left_semi")
     left = a.select("user_id", F.col("item_id").alias("_via"), "affinity")
     right = s.select(F.col("item_id").alias("_via"), F.col("other_id").alias("item_id"), "similarity")
-    return (fan_out_join(left, right, ["_via"], ["user_id"], hot_rows)
+    return (fan_out_join(left, right, ["_via"], ["user_id"], work_rows)
             .groupBy("user_id", "item_id")
             .agg(F.sum(F.col("affinity") * F.col("similarity")).alias("score")))
 
 
-def score_lookup(a: DataFrame, s: DataFrame, wanted: DataFrame, hot_rows: int = 100_000) -> DataFrame:
+def score_lookup(a: DataFrame, s: DataFrame, wanted: DataFrame, work_rows: int = WORK_ROWS) -> DataFrame:
     """(user_id, item_id, score) for given pairs only; 0 where nothing was scored."""
     pairs = wanted.select("user_id", "item_id").distinct()
     steps = fan_out_join(a.select("user_id", F.col("item_id").alias("_via"), "affinity"), pairs,
-                         ["user_id"], ["_via"], hot_rows)
+                         ["user_id"], ["_via"], work_rows)
     links = s.select(F.col("item_id").alias("_via"), F.col("other_id").alias("item_id"), "similarity")
     found = (steps.join(links, ["_via", "item_id"]).groupBy("user_id", "item_id")
              .agg(F.sum(F.col("affinity") * F.col("similarity")).alias("score")))

@@ -82,11 +82,11 @@ def item_ranking(views: DataFrame, ascending: bool = False) -> DataFrame:
     """(item_id, views, ranking): dense rank of the view count, 1 = most viewed.
 
     Only the distinct counts are ranked in one task. Positive integers that sum to E views
-    have at most sqrt(2E) distinct values, which also bounds the broadcast.
+    have at most sqrt(2E) distinct values.
     """
     order = F.asc("views") if ascending else F.desc("views")
     levels = views.select("views").distinct().withColumn("ranking", F.row_number().over(Window.orderBy(order)))
-    return views.join(F.broadcast(levels), "views").select("item_id", "views", "ranking")
+    return views.join(levels, "views").select("item_id", "views", "ranking")
 
 
 def update_ranking(df: DataFrame, batch_size: int, ties=("user_id", "item_id")) -> DataFrame:
@@ -108,7 +108,7 @@ def popular(df: DataFrame, n: int, batch_size: int | None = None, ties=("user_id
 def cold_start(users: DataFrame, df: DataFrame, n: int, batch_size: int | None = None,
                ties=("user_id", "item_id")) -> DataFrame:
     """(user_id, rank, item_id): the popular items for users without any event."""
-    newcomers = users.select("user_id").distinct().join(df.select("user_id"), "user_id", "left_anti")
+    newcomers = users.select("user_id").distinct().join(df.select("user_id").distinct(), "user_id", "left_anti")
     best = popular(df, n, batch_size, ties)
     ids = as_array(best, "item_id", [F.desc("views"), F.asc("item_id")], n)
     return (newcomers.select("user_id", F.posexplode(ids).alias("place", "item_id"))

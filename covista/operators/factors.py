@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from covista.operators.catalogue import append_index
 from covista.operators.recommend import flatten
 from covista.operators.vectors import similar_by_distance
-from covista.plans import fan_out_join, shared_dir, stored, top_k
+from covista.plans import WORK_ROWS, fan_out_join, shared_dir, stored, top_k
 from covista.sources.tables import latest_interactions
 
 INT_MAX = 2**31 - 1
@@ -33,11 +33,59 @@ def with_int_ids(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
     return numbered, index
 
 
+def _numbered(df: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Ids that MLlib can take, and for each column that had to be numbered the index (id, idx)."""
+    indexes = {}
+    for column in ("user_id", "item_id"):
+        if not fits_int(df, column):
+            df, index = with_int_ids(df, column)
+            indexes[column] = stored(index, f"{column}-index")
+    return df, indexes
+
+
+def indexes_of(model: ALSModel) -> dict[str, DataFrame]:
+    """The indexes of the columns that training numbered; none if all ids fit 32 bits."""
+    return getattr(model, "id_indexes", {})
+
+
+def _own_ids(df: DataFrame, model: ALSModel, **columns: str) -> DataFrame:
+    """Numbers back to ids. ``columns``: column of ``df`` = the training column it stands for."""
+    for column, source in columns.items():
+        if index := indexes_of(model).get(source):
+            df = (df.withColumnRenamed(column, "_n").join(index.select(F.col("id").alias(column), F.col("idx").alias("_i")),
+                                                          F.col("_n") == F.col("_i")).drop("_n", "_i").select(df.columns))
+    return df
+
+
+def _numbers(ids: DataFrame, model: ALSModel, column: str) -> DataFrame:
+    """Distinct ids as the model's numbers."""
+    ids = ids.select(column).distinct()
+    if index := indexes_of(model).get(column):
+        ids = ids.join(index, ids[column] == index["id"]).select(F.col("idx").cast("int").alias(column))
+    return ids
+
+
+def user_factors(model: ALSModel) -> DataFrame:
+    """(id, features) of the users, by their own ids."""
+    return _own_ids(model.userFactors, model, id="user_id")
+
+
+def item_factors(model: ALSModel) -> DataFrame:
+    return _own_ids(model.itemFactors, model, id="item_id")
+
+
 def _als(df: DataFrame, rating: str, **params) -> ALS:
     shared_dir(df.sparkSession)  # long fits cut their lineage in the shared folder
     return ALS(userCol="user_id", itemCol="item_id", ratingCol=rating, checkpointInterval=CHECKPOINT_EVERY, **params)
 
 
+def _fit(rows: DataFrame, rating: str, **params) -> ALSModel:
+    rows, indexes = _numbered(rows)
+    model = _als(rows, rating, **params).fit(rows)
+    model.id_indexes = indexes
+    return model
+
+
 def train_implicit(df: DataFrame, batch_size: int | None = None, max_iter: int = 5, rank: int = 50,
                    reg: float = 0.01, merge: bool = False, seed: int | None = None,
                    ties=("user_id", "item_id")) -> ALSModel:
@@ -53,35 +101,39 @@ def train_implicit(df: DataFrame, batch_size: int | None = None, max_iter: int =
     else:
         rows = df.select("user_id", "item_id", F.lit(1.0).cast("float").alias("view"))
     extra = {} if seed is None else {"seed": seed}
-    return _als(df, "view", implicitPrefs=True, maxIter=max_iter, rank=rank, regParam=reg, **extra).fit(rows)
+    return _fit(rows, "view", implicitPrefs=True, maxIter=max_iter, rank=rank, regParam=reg, **extra)
 
 
 def train_explicit(ratings: DataFrame, rank: int = 20, reg: float = 0.02, seed: int = 54, max_iter: int = 10) -> ALSModel:
-    return _als(ratings, "rating", rank=rank, regParam=reg, seed=seed, maxIter=max_iter).fit(
-        ratings.select("user_id", "item_id", F.col("rating").cast("float").alias("rating")))
+    rows = ratings.select("user_id", "item_id", F.col("rating").cast("float").alias("rating"))
+    return _fit(rows, "rating", rank=rank, regParam=reg, seed=seed, maxIter=max_iter)
+
+
+def _lists(model: ALSModel, found: DataFrame, key: str, other: str) -> DataFrame:
+    return _own_ids(flatten(found, key, other), model, user_id="user_id", item_id="item_id")
 
 
 def items_for_all_users(model: ALSModel, n: int = 20) -> DataFrame:
     """(user_id, item_id, rating, rank)"""
-    return flatten(model.recommendForAllUsers(n), "user_id", "item_id")
+    return _lists(model, model.recommendForAllUsers(n), "user_id", "item_id")
 
 
 def users_for_all_items(model: ALSModel, n: int = 10) -> DataFrame:
     """(item_id, user_id, rating, rank)"""
-    return flatten(model.recommendForAllItems(n), "item_id", "user_id")
+    return _lists(model, model.recommendForAllItems(n), "item_id", "user_id")
 
 
 def items_for_some_users(model: ALSModel, users: DataFrame, n: int) -> DataFrame:
-    return flatten(model.recommendForUserSubset(users.select("user_id").distinct(), n), "user_id", "item_id")
+    return _lists(model, model.recommendForUserSubset(_numbers(users, model, "user_id"), n), "user_id", "item_id")
 
 
 def users_for_some_items(model: ALSModel, items: DataFrame, n: int) -> DataFrame:
-    return flatten(model.recommendForItemSubset(items.select("item_id").distinct(), n), "item_id", "user_id")
+    return _lists(model, model.recommendForItemSubset(_numbers(items, model, "item_id"), n), "item_id", "user_id")
 
 
 def similar_by_factors(model: ALSModel, n: int, seeds: DataFrame | None = None, **tuning) -> DataFrame:
     """Nearest items by factor distance, for all items in one job."""
-    items = model.itemFactors.select(F.col("id").alias("item_id"), F.col("features").alias("vector"))
+    items = item_factors(model).select(F.col("id").alias("item_id"), F.col("features").alias("vector"))
     if seeds is not None:
         seeds = items.join(seeds.select("item_id").distinct(), "item_id", "left_semi")
     return similar_by_distance(items, n, seeds, **tuning)
@@ -123,7 +175,7 @@ def first_cluster_mates(clustered: DataFrame, n: int) -> DataFrame:
             .select("item_id", (F.col("p") + 1).alias("rank"), "other_id"))
 
 
-def two_hop(users_of_items: DataFrame, items_of_users: DataFrame, hot_rows: int = 100_000) -> DataFrame:
+def two_hop(users_of_items: DataFrame, items_of_users: DataFrame, work_rows: int = WORK_ROWS) -> DataFrame:
     """(item_id, other_id, score): for every seed item, sum over its best users of user score
     times the users' item scores.
 
@@ -131,7 +183,7 @@ def two_hop(users_of_items: DataFrame, items_of_users: DataFrame, hot_rows: int
     """
     left = users_of_items.select("item_id", "user_id", F.col("rating").cast("double").alias("_v"))
     right = items_of_users.select("user_id", F.col("item_id").alias("other_id"), F.col("rating").cast("double").alias("_s"))
-    return (fan_out_join(left, right, ["user_id"], ["item_id"], hot_rows)
+    return (fan_out_join(left, right, ["user_id"], ["item_id"], work_rows)
             .groupBy("item_id", "other_id").agg(F.sum(F.col("_v") * F.col("_s")).alias("score")))
 
 

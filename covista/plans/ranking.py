@@ -29,7 +29,7 @@ def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int, rank: str
 
 def first_rows(df: DataFrame, time: str, n: int, ties: list[str], newest: bool = True) -> DataFrame:
     """The n newest (or oldest) rows by ``time``, ties by the columns ``ties``. Rows without a
-    time are neither.
+    time come last.
 
     Rows are counted per day first; the day in which the n-th row falls bounds the second
     scan, so the sort sees about n rows and not one heap of n rows per input partition.
@@ -41,12 +41,13 @@ def first_rows(df: DataFrame, time: str, n: int, ties: list[str], newest: bool =
     needed = days.select("day", "rows", running.alias("total")).where(F.col("total") - F.col("rows") < n)
     moment = F.col(time).cast("timestamp")
     if newest:
-        kept = df.where(moment >= needed.agg(F.min("day").alias("d")).scalar())
-        order = F.desc(time)
+        inside = moment >= needed.agg(F.min("day").alias("d")).scalar()
+        order = F.desc_nulls_last(time)
     else:
-        kept = df.where(moment < needed.agg((F.max("day") + F.expr("INTERVAL 1 DAY")).alias("d")).scalar())
-        order = F.asc(time)
-    return kept.orderBy(order, *ties).limit(n)
+        inside = moment < needed.agg((F.max("day") + F.expr("INTERVAL 1 DAY")).alias("d")).scalar()
+        order = F.asc_nulls_last(time)
+    timed = days.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).scalar()
+    return df.where(inside | (F.col(time).isNull() & (timed < n))).orderBy(order, *ties).limit(n)
 
 
 def as_array(df: DataFrame, column: str, order: list[Column], n: int) -> Column:

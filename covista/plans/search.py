@@ -89,6 +89,10 @@ def _reader(id_column, vector_column="vector"):
         vectors = table.column(vector_column)
         if isinstance(vectors, pa.ChunkedArray):
             vectors = vectors.combine_chunks()
+        sizes = vectors.value_lengths().to_numpy(zero_copy_only=False)
+        if len(sizes) and (odd := sizes != sizes[0]).any():
+            at = int(odd.argmax())
+            raise ValueError(f"{id_column} {table.column(id_column)[at]}: {sizes[at]} components, others have {sizes[0]}")
         flat = vectors.flatten().to_numpy(zero_copy_only=False)
         ids = table.column(id_column).to_numpy(zero_copy_only=False) if isinstance(
             table, pa.RecordBatch) else table.column(id_column).to_numpy()
@@ -97,6 +101,16 @@ def _reader(id_column, vector_column="vector"):
     return read
 
 
+def _matrix(rows, id_column):
+    """The vectors of a few collected rows, after a look at their lengths."""
+    import numpy as np
+
+    for r in rows:
+        if len(r["vector"]) != len(rows[0]["vector"]):
+            raise ValueError(f"{id_column} {r[id_column]}: {len(r['vector'])} components, others have {len(rows[0]['vector'])}")
+    return np.array([r["vector"] for r in rows], dtype=float)
+
+
 def _pieces(rows=2048):
     """Function batches -> smaller non-empty batches, which bound the matrices made from them."""
 
@@ -111,7 +125,7 @@ def _pieces(rows=2048):
 def _scan(seed_rows, items, k, radius, metric, exclude_self):
     """Seeds as constants of the tasks, one pass over the catalogue."""
     seed_ids = np.array([r["seed_id"] for r in seed_rows], dtype=np.int64)
-    seeds = np.array([r["vector"] for r in seed_rows], dtype=float)
+    seeds = _matrix(seed_rows, "seed_id")
     block = _block_search(k, radius, metric, exclude_self)
     read = _reader("item_id")
 
@@ -199,7 +213,7 @@ def _by_cells(seeds, items, k, radius, metric, exclude_self, block_values, cell_
         return seeds.sparkSession.createDataFrame([], HITS)
     n_pivots = min(MAX_PIVOTS, -(-total // cell_rows))
     picked = items.orderBy(F.xxhash64("item_id"), "item_id").limit(n_pivots).collect()  # <= MAX_PIVOTS rows
-    pivots = np.array([r["vector"] for r in picked], dtype=float)
+    pivots = _matrix(picked, "item_id")
     block_rows = max(1, block_values // pivots.shape[1])
 
     placed = stored(_assign(items, pivots), "placed-vectors")

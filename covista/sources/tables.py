@@ -109,9 +109,16 @@ def one_per_key(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str]) ->
     return df.groupBy(*keys).agg(row).select(*keys, "_row.*").select(*df.columns)
 
 
-def update_rows(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+def _latest(new: DataFrame, key: str, newest_by: Sequence[str] | None) -> DataFrame:
+    rest = [c for c in new.columns if c != key]
+    return one_per_key(new, [key], newest_by or rest) if rest else new.distinct()
+
+
+def update_rows(old: DataFrame, new: DataFrame, key: str, newest_by: Sequence[str] | None = None) -> DataFrame:
     """Partial update: fields of ``new`` replace or extend those of ``old``; ids that only
-    ``new`` has are left out, ids that only ``old`` has stay."""
+    ``new`` has are left out, ids that only ``old`` has stay. Of several rows of an id in ``new``
+    the last by ``newest_by`` counts (by all its columns if not given)."""
+    new = _latest(new, key, newest_by)
     fresh = new.select(key, *[F.col(c).alias(f"_new_{c}") for c in new.columns if c != key])
     joined = old.join(fresh, key, "left")
     columns = []
@@ -121,8 +128,10 @@ def update_rows(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return joined.select(*columns)
 
 
-def index_rows(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Whole rows of ``new`` replace or join those of ``old``."""
+def index_rows(old: DataFrame, new: DataFrame, key: str, newest_by: Sequence[str] | None = None) -> DataFrame:
+    """Whole rows of ``new`` replace or join those of ``old``; one row per id of ``new``, as in
+    ``update_rows``."""
+    new = _latest(new, key, newest_by)
     return old.join(new, key, "left_anti").unionByName(new, allowMissingColumns=True)
 
 

@@ -123,7 +123,7 @@ def pearson_matrix(t: Tables):
 @query()
 def tuning_grid(t: Tables):
     ties = ("user_id", "item_id", "l_orderkey", "l_linenumber")
-    return ops.tuning_grid(t.purchases, lengths=(1000, 50000), ranks=(5, 20), iterations=(3, 5), ties=ties)
+    return ops.tuning_grid(t.purchases, ties=ties)
 
 
 @query()

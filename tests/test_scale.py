@@ -31,16 +31,18 @@ def events(spark, skewed):
     return df.select("user_id", "item_id", F.timestamp_seconds("s").alias("event_time"))
 
 
-def test_hot_keys_are_few(spark):
+def test_hot_keys_count_the_rows_of_both_sides(spark):
     df = spark.range(10_000).select((F.col("id") % 1000).alias("k"))
-    assert hot_keys(df, ["k"], 0).count() < 4 * 8
-    assert hot_keys(df.where("k < 5"), ["k"], 3).count() == 5
+    assert hot_keys(df, df, ["k"], 100).count() == 0
+    assert hot_keys(df.where("k < 5"), df, ["k"], 99).count() == 5
+    right = spark.range(4_000).select((F.col("id") % 2).alias("k"))
+    assert [tuple(r) for r in hot_keys(df.where("k = 0"), right, ["k"], 1_000).collect()] == [(0, 1, 20)]
 
 
-@pytest.mark.parametrize("hot_rows", [10, 100_000])
-def test_fan_out_join(events, skewed, hot_rows):
+@pytest.mark.parametrize("work_rows", [10, 100_000])
+def test_fan_out_join(events, skewed, work_rows):
     right = events.select("item_id", F.col("user_id").alias("other"))
-    rows = fan_out_join(events.select("user_id", "item_id"), right, ["item_id"], ["user_id"], hot_rows)
+    rows = fan_out_join(events.select("user_id", "item_id"), right, ["item_id"], ["user_id"], work_rows)
     mine = sorted((r.user_id, r.item_id, r.other) for r in rows.collect())
     by_item = {}
     for u, i, _ in skewed:
@@ -75,10 +77,10 @@ def test_scores_with_hot_item(events):
     pairs = counts.distinct_pairs(events)
     a, s = aff.affinity(events, half_life=3e5), cooc.item_similarity(cooc.cooccurrence(pairs), "jaccard")
     plain = {(r.user_id, r.item_id): r.score for r in aff.predicted_scores(a, s).collect()}
-    salted = {(r.user_id, r.item_id): r.score for r in aff.predicted_scores(a, s, hot_rows=5).collect()}
+    salted = {(r.user_id, r.item_id): r.score for r in aff.predicted_scores(a, s, work_rows=5).collect()}
     assert plain.keys() == salted.keys() and all(salted[k] == pytest.approx(v) for k, v in plain.items())
     wanted = pairs.limit(50)
-    for r in aff.score_lookup(a, s, wanted, hot_rows=5).collect():
+    for r in aff.score_lookup(a, s, wanted, work_rows=5).collect():
         assert r.score == pytest.approx(plain[r.user_id, r.item_id])
 
 
@@ -218,3 +220,28 @@ def test_rules_against_full_rows(spark, events):
         have = {i for i, _ in best} | banned | {key}
         best += [(i, None) for i in most if i not in have][:k - len(best)]
         assert mine[key] == best
+
+
+@pytest.mark.parametrize("sizes", [(2, 3000), (3000, 2), (150, 200)])
+def test_hot_keys_are_cut_on_either_side(spark, sizes):
+    """A key hot on the right only, on the left only, or on both sides: no task makes it alone."""
+    left = spark.range(sizes[0] + 5).selectExpr(f"if(id < {sizes[0]}, 1, id) AS k", "id AS a")
+    right = spark.range(sizes[1] + 5).selectExpr(f"if(id < {sizes[1]}, 1, id) AS k", "id AS b")
+    rows = fan_out_join(left, right, ["k"], ["a"], work_rows=500)
+    assert sorted(map(tuple, rows.select("k", "a", "b").collect())) == sorted(map(tuple, left.join(right, "k").select("k", "a", "b").collect()))
+    shares = [r["n"] for r in rows.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert max(shares) < 0.6 * sum(shares)
+
+
+def test_rows_without_a_time_come_last(spark):
+    df = spark.createDataFrame([(1, None), (2, "2024-01-01 00:00:00"), (3, None)], "id int, t string").selectExpr("id", "CAST(t AS timestamp) AS t")
+    for newest in (True, False):
+        assert [r["id"] for r in first_rows(df, "t", 2, ["id"], newest).collect()] == [2, 1]
+        assert [r["id"] for r in first_rows(df, "t", 1, ["id"], newest).collect()] == [2]
+
+
+def test_vectors_of_unequal_length_are_named(spark):
+    df = spark.createDataFrame([(1, [1.0, 2.0, 3.0]), (7, [1.0, 2.0, 3.0, 4.0, 5.0])], "item_id bigint, vector array<double>")
+    with pytest.raises(Exception, match="components"):
+        from covista.operators.vectors import similar_by_distance
+        similar_by_distance(df.coalesce(1), 1).collect()

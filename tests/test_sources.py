@@ -120,3 +120,12 @@ def test_reuse(views):
     kept = reuse(views)
     assert kept.count() == 400 and kept.storageLevel.useMemory
     kept.unpersist()
+
+
+def test_upserts_take_one_row_per_id(spark):
+    from covista.sources import index_rows, update_rows
+
+    old = spark.createDataFrame([(1, "a", 0), (2, "b", 0)], "id int, name string, version int")
+    new = spark.createDataFrame([(1, "x", 1), (1, "y", 2), (3, "z", 1)], "id int, name string, version int")
+    assert sorted(map(tuple, update_rows(old, new, "id", ["version"]).collect())) == [(1, "y", 2), (2, "b", 0)]
+    assert sorted(map(tuple, index_rows(old, new, "id", ["version"]).collect())) == [(1, "y", 2), (2, "b", 0), (3, "z", 1)]
