@@ -72,10 +72,18 @@ def item_ranking(t: Tables):
 @query(with_sql(PURCHASES, "c AS (SELECT item_id, count(*) AS views FROM purchases GROUP BY 1)") + """
 SELECT item_id, views, dense_rank() OVER (ORDER BY views) AS position FROM c""")
 def ranking_by_position(t: Tables):
-    """Rank as the place of the count in the sorted array of distinct counts."""
-    views = ops.views_per_item(t.purchases)
-    levels = views.select("views").distinct().agg(F.array_sort(F.collect_list("views")).alias("l")).scalar()
-    return views.select("item_id", "views", list_position(levels, F.col("views")).alias("position"))
+    """Rank as the place of the count among the distinct counts, lowest first."""
+    ranked = ops.item_ranking(ops.views_per_item(t.purchases), ascending=True)
+    return ranked.select("item_id", "views", F.col("ranking").cast("long").alias("position"))
+
+
+@query("""SELECT l_returnflag, CASE l_returnflag WHEN 'N' THEN 1 WHEN 'R' THEN 2 WHEN 'A' THEN 3 END::BIGINT AS position, count(*) AS n
+FROM lineitem GROUP BY 1, 2""")
+def flag_positions(t: Tables):
+    """Place in a short list of constants."""
+    order = F.array(F.lit("N"), F.lit("R"), F.lit("A"))
+    return (t.read("lineitem").withColumn("position", list_position(order, F.col("l_returnflag")).cast("long"))
+            .groupBy("l_returnflag", "position").agg(F.count("*").alias("n")))
 
 
 @query(with_sql(PURCHASES, NEWEST, "c AS (SELECT item_id, count(*) AS views FROM batch GROUP BY 1)") + """
@@ -125,6 +133,13 @@ def random_item(t: Tables):
     return ops.random_item(t.purchases, seed=7)
 
 
+@query("SELECT 1::BIGINT AS items, 0::BIGINT AS unknown")
+def random_item_check(t: Tables):
+    known = t.purchases.select("item_id", F.lit(1).alias("known")).distinct()
+    return (ops.random_item(t.purchases, seed=7).join(known, "item_id", "left")
+            .agg(F.count("*").alias("items"), F.count_if(F.col("known").isNull()).alias("unknown")))
+
+
 @query(with_sql(PURCHASES, "c AS (SELECT user_id, item_id, count(*) AS r FROM purchases GROUP BY 1, 2)") + """
 SELECT user_id, item_id, CAST(r > 0 AS INTEGER) AS p, 1.0::DOUBLE + 40.0::DOUBLE * r AS c FROM c""")
 def preference_confidence(t: Tables):

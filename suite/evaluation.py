@@ -49,6 +49,16 @@ def random_split(t: Tables):
     return train.withColumn("side", F.lit("train")).unionAll(test.withColumn("side", F.lit("test")))
 
 
+@query(with_sql(VIEWS) + "SELECT count(*) AS views, 0::BIGINT AS twice, 0::BIGINT AS lost, true AS fair FROM views")
+def random_split_check(t: Tables):
+    """Both sides together are the table, no event is on both, and about a fifth is held out."""
+    sides = random_split(t).groupBy("event_id").agg(F.count("*").alias("n"), F.count_if(F.col("side") == "test").alias("held"))
+    whole = t.views.select("event_id").join(sides, "event_id", "left")
+    share = F.sum("held") / F.count("*")
+    return whole.agg(F.count("*").alias("views"), F.count_if(F.col("n") > 1).alias("twice"), F.count_if(F.col("n").isNull()).alias("lost"),
+                     share.between(0.1, 0.3).alias("fair"))
+
+
 @query(with_sql(*TRAINED) + """
 SELECT DISTINCT h.user_id, h.item_id FROM held h JOIN recs r ON r.user_id = h.user_id AND r.item_id = h.item_id""")
 def recommended_and_viewed(t: Tables):

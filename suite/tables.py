@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,11 +46,11 @@ class Tables:
         return interactions(rows, "o_custkey", "l_partkey", "o_orderdate", keep=[
             F.col("l_quantity").alias("rating"), "l_orderkey", "l_linenumber"])
 
-    @property
+    @cached_property
     def view_pairs(self) -> DataFrame:
         return stored(distinct_pairs(self.views), "view-pairs")
 
-    @property
+    @cached_property
     def purchase_pairs(self) -> DataFrame:
         return stored(distinct_pairs(self.purchases), "purchase-pairs")
 
