@@ -74,6 +74,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     """Weights of the classifier from at most ``sample`` labelled rows."""
     known = labels.where(F.col(label).isin(0, 1)).select(F.col(key).alias("_key"), F.col(label).alias("_label"))
     chosen = known.orderBy(F.xxhash64("_key"), "_key", "_label").limit(sample)
+    chosen = F.broadcast(chosen)  # at most ``sample`` ids and labels
     rows = (docs.join(chosen, docs[key] == chosen["_key"]).select(measured(F.col(text)).alias("m"), "_label")
             .select(*[F.col(f"m.{c}") for c in MEASURES], "_label").toPandas())
     return fit(rows[list(MEASURES)].to_numpy(dtype=float).reshape(-1, len(MEASURES)), rows["_label"].to_numpy(dtype=float))

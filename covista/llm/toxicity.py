@@ -69,6 +69,7 @@ def swapped(text: str | None) -> list[tuple[set[str], set[str]]]:
 def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> DataFrame:
     """(id, text, label) of the labelled rows whose crc32 of the id, mod 4, is not 2."""
     known = labels.where(F.col(label).isin(0, 1) & ~held_out(F.col(key))).select(F.col(key).alias("_key"), F.col(label).alias("label"))
+    docs = docs.where(~held_out(F.col(key)))
     return docs.join(known, docs[key] == known["_key"]).select(F.col("_key").alias("id"), F.col(text).alias("text"), "label")
 
 
