@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from covista.operators import counts, factors
-from covista.sources import load_latest_model, save_model, write_table
+from covista.operators import affinity, cooccurrence, counts, factors, recommend
+from covista.sources import export_factors, load_latest_model, save_model, upsert, write_table
 
 BATCH, POPULAR_BATCH, LIST = 100, 10_000, 20
 
@@ -38,3 +38,28 @@ def top_popular(df: DataFrame, n: int = LIST) -> DataFrame:
 def write_cold_start(users: DataFrame, df: DataFrame, path: str, n: int = LIST, **options) -> None:
     """The popular list for every user without a history."""
     write_table(counts.cold_start(users, df, n, POPULAR_BATCH), path, **options)
+
+
+def export_both_factors(ratings: DataFrame, users_root: str, items_root: str, **fit) -> None:
+    """Fit on ratings and write the factors of users and items into their tables."""
+    model = factors.train_explicit(ratings, **fit)
+    for table, root in ((factors.user_factors(model), users_root), (factors.item_factors(model), items_root)):
+        upsert(ratings.sparkSession, root, export_factors(table, model.uid), "id")
+
+
+def fit_similarity(df: DataFrame, root: str, metric: str = "counts") -> None:
+    """Count pairs of items once and keep pairs, similarity and affinity under ``root``; lists read them."""
+    pairs_root, spark = f"{root.rstrip('/')}/pairs", df.sparkSession
+    write_table(counts.distinct_pairs(df), pairs_root, mode="overwrite")
+    pairs = spark.read.parquet(pairs_root)
+    similarity = cooccurrence.item_similarity(cooccurrence.cooccurrence(pairs), metric, counts.viewers_per_item(pairs))
+    write_table(similarity, f"{root.rstrip('/')}/similarity", mode="overwrite")
+    write_table(affinity.affinity(df), f"{root.rstrip('/')}/affinity", mode="overwrite")
+
+
+def write_similar_lists(spark: SparkSession, root: str, path: str, n: int = LIST, **options) -> None:
+    """(user_id, rank, item_id, ...) of a kept fit for all its users, filled up with popular items."""
+    pairs, similarity, rated = (spark.read.parquet(f"{root.rstrip('/')}/{name}") for name in ("pairs", "similarity", "affinity"))
+    scores = affinity.predicted_scores(rated, similarity)
+    popular = affinity.score_popularity(rated, similarity)
+    write_table(recommend.items_for_users(scores, pairs.select("user_id"), n, popular), path, **options)

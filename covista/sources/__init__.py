@@ -19,10 +19,12 @@ from covista.sources.tables import (  # noqa: F401
     profile,
     read_csv,
     read_ids,
+    read_newest,
     read_table,
     reuse,
     slices,
     update_rows,
+    upsert,
     write_ids,
     write_report,
     write_table,

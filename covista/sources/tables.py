@@ -44,6 +44,9 @@ ID_INDEX = T.StructType([T.StructField("id", T.LongType()), T.StructField("idx",
 
 # --- read ---------------------------------------------------------------
 
+TABLE_PREFIX = "version_"
+
+
 def read_table(spark: SparkSession, fmt: str, path: str | None = None, **options) -> DataFrame:
     """Any Spark data source: a table store by options, or files by path."""
     return spark.read.format(fmt).options(**options).load(path)
@@ -91,10 +94,15 @@ def reuse(df: DataFrame) -> DataFrame:
 
 
 def profile(df: DataFrame) -> DataFrame:
-    """One row: events, users, items, first and last event time."""
-    return df.agg(F.count("*").alias("events"), F.countDistinct("user_id").alias("users"),
-                  F.countDistinct("item_id").alias("items"), F.min("event_time").alias("first_event"),
-                  F.max("event_time").alias("last_event"))
+    """One row: events, users, items, first and last event time.
+
+    Users and items are counted each by a grouping of its own; counting both in one aggregation
+    would send every row three times.
+    """
+    by_user = df.groupBy("user_id").agg(F.count("*").alias("n"), F.min("event_time").alias("a"), F.max("event_time").alias("z"))
+    items = df.groupBy("item_id").agg(F.lit(1).alias("one")).agg(F.count("item_id").alias("items"))
+    return by_user.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("events"), F.count("user_id").alias("users"),
+                       items.scalar().alias("items"), F.min("a").alias("first_event"), F.max("z").alias("last_event"))
 
 
 # --- write --------------------------------------------------------------
@@ -135,6 +143,47 @@ def index_rows(old: DataFrame, new: DataFrame, key: str, newest_by: Sequence[str
     return old.join(new, key, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
+def upsert(spark: SparkSession, root: str, new: DataFrame, key: str, newest_by: Sequence[str] | None = None,
+           partial: bool = False, **options) -> str:
+    """Write ``new`` into the table kept under ``root`` as numbered versions; gives the new version's path.
+
+    The newest complete version is read and the next one written beside it, so readers never see a
+    table half written and nothing is overwritten while it is read. ``partial``: see ``update_rows``.
+    """
+    versions = complete_versions(spark, root, TABLE_PREFIX, "_SUCCESS")
+    number = int(versions[-1].removeprefix(TABLE_PREFIX)) if versions else 0
+    if versions:
+        old = spark.read.parquet(f"{root.rstrip('/')}/{versions[-1]}")
+        rows = update_rows(old, new, key, newest_by) if partial else index_rows(old, new, key, newest_by)
+    else:
+        rows = _latest(new, key, newest_by)
+    path = f"{root.rstrip('/')}/{TABLE_PREFIX}{number + 1:08d}"
+    write_table(rows, path, **options)
+    return path
+
+
+def read_newest(spark: SparkSession, root: str) -> DataFrame:
+    """The newest complete version of an upserted table."""
+    versions = complete_versions(spark, root, TABLE_PREFIX, "_SUCCESS")
+    if not versions:
+        raise FileNotFoundError(f"no table under {root}")
+    return spark.read.parquet(f"{root.rstrip('/')}/{versions[-1]}")
+
+
+def complete_versions(spark: SparkSession, root: str, prefix: str, marker: str) -> list[str]:
+    """Names of the folders under ``root`` that hold the marker, oldest first, on any file system
+    Spark can reach."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = []
+    if fs.exists(path):
+        for entry in fs.listStatus(path):
+            child = entry.getPath()
+            if child.getName().startswith(prefix) and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(child, marker)):
+                names.append(child.getName())
+    return sorted(names)
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists",
                 partition_by: Sequence[str] = (), **options) -> None:
     writer = df.write.format(fmt).mode(mode).options(**options)

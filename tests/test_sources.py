@@ -129,3 +129,34 @@ def test_upserts_take_one_row_per_id(spark):
     new = spark.createDataFrame([(1, "x", 1), (1, "y", 2), (3, "z", 1)], "id int, name string, version int")
     assert sorted(map(tuple, update_rows(old, new, "id", ["version"]).collect())) == [(1, "y", 2), (2, "b", 0)]
     assert sorted(map(tuple, index_rows(old, new, "id", ["version"]).collect())) == [(1, "y", 2), (2, "b", 0), (3, "z", 1)]
+
+
+def test_upserted_versions(spark):
+    from covista.plans import scratch_path
+    from covista.sources import read_newest, upsert
+
+    root = scratch_path(spark, "versions")
+    upsert(spark, root, spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "id int, name string"), "id")
+    assert sorted(map(tuple, read_newest(spark, root).collect())) == [(1, "b"), (2, "c")]
+    upsert(spark, root, spark.createDataFrame([(2, "d"), (3, "e")], "id int, name string"), "id")
+    assert sorted(map(tuple, read_newest(spark, root).collect())) == [(1, "b"), (2, "d"), (3, "e")]
+    upsert(spark, root, spark.createDataFrame([(3, 9), (4, 9)], "id int, n int"), "id", partial=True)
+    assert sorted(map(tuple, read_newest(spark, root).collect())) == [(1, "b", None), (2, "d", None), (3, "e", 9)]
+
+
+def test_kept_fits_and_factor_tables(spark):
+    from covista import jobs
+    from covista.plans import scratch_path
+    from covista.sources import read_newest
+
+    views = spark.createDataFrame([(u, i, f"2024-01-0{1 + (u + i) % 5} 00:00:00") for u in range(12) for i in range(8) if (u * i) % 3 != 1],
+                                  "user_id bigint, item_id bigint, t string").selectExpr("user_id", "item_id", "CAST(t AS timestamp) AS event_time")
+    root = scratch_path(spark, "fit")
+    jobs.fit_similarity(views, root)
+    jobs.write_similar_lists(spark, root, f"{root}/lists", 3)
+    assert {r["rank"] for r in spark.read.parquet(f"{root}/lists").collect()} == {1, 2, 3}
+    ratings = views.selectExpr("user_id + 5000000000 AS user_id", "item_id", "1.0 * (item_id % 5) AS rating")
+    jobs.export_both_factors(ratings, f"{root}/users", f"{root}/items", rank=3, max_iter=2)
+    users, items = (read_newest(spark, f"{root}/{name}") for name in ("users", "items"))
+    assert {r["id"] for r in users.collect()} == {5000000000 + u for u in range(12)}
+    assert all(len(r["model_factor"]) == 3 for r in items.collect())
