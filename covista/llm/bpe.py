@@ -29,7 +29,7 @@ LEAF_BYTES = 24
 LONG_BYTES = 96
 LEAF_WORD = 48
 LEAF_TOKENS = 4096
-# words and pieces remembered by a worker; a full table starts anew
+# words of a generation, and pieces, remembered by a worker
 REMEMBERED = 300_000
 
 
@@ -44,8 +44,8 @@ def unpack(ids: bytes) -> list[int]:
 class Encoder:
     """The monoid of encoded texts for one table of ranks and one pattern.
 
-    ``spaced``: the pattern starts a piece at each single space before another character. Words
-    between spaces can then be encoded, and remembered, one by one.
+    ``spaced``: the pattern starts a piece at each single space before another character, and a space
+    with letters is one piece. Words between spaces can then be encoded, and remembered, one by one.
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, spaced: bool = True):
@@ -53,8 +53,10 @@ class Encoder:
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.find = regex.compile(pattern).findall
         self.spaced = spaced
+        self.packed = {token: rank.to_bytes(4, "little") for token, rank in ranks.items()}
         self.pieces: dict[str, bytes] = {}  # packed tokens
         self.words: dict[str, bytes] = {}  # of a word with a space before it
+        self.older: dict[str, bytes] = {}  # words of the generation before
 
     # texts
 
@@ -84,10 +86,16 @@ class Encoder:
             return [self.split(parts[0]), *[words.get(p) or self.word(p) for p in parts[1:]]]
 
     def word(self, word: str) -> bytes:
-        ids = self.split(f" {word}")
+        """Tokens of a word and the space before it. Of two generations of words the older goes when
+        the younger is full, so that frequent words stay known."""
+        if (ids := self.older.get(word)) is None:
+            if word.isalpha() and len(word) < LEAF_BYTES:
+                ids = self.whole(f" {word}".encode())
+            else:
+                ids = self.split(f" {word}")
         if len(word) <= LEAF_WORD:
             if len(self.words) >= REMEMBERED:
-                self.words.clear()
+                self.words, self.older = {}, self.words
             self.words[word] = ids
         return ids
 
@@ -136,15 +144,20 @@ class Encoder:
         """Packed tokens of a piece: one token if the whole is one, else the folded tree."""
         if (ids := self.pieces.get(piece)) is not None:
             return ids
-        data = piece.encode()
-        rank = self.ranks.get(data)
-        ids = pack(self.fold(data) if rank is None else [rank])
+        ids = self.whole(piece.encode())
         if len(piece) <= LEAF_WORD:
             if len(self.pieces) >= REMEMBERED:
                 self.pieces.clear()
             self.pieces[piece] = ids
         return ids
 
+    def whole(self, data: bytes) -> bytes:
+        if (ids := self.packed.get(data)) is not None:
+            return ids
+        if len(data) <= LEAF_BYTES:
+            return b"".join([self.packed[p] for p in self.merged(data)])
+        return pack(self.fold(data))
+
     def fold(self, data: bytes) -> list[int]:
         if len(data) <= LEAF_BYTES:
             return self.merge(data)
@@ -166,9 +179,13 @@ class Encoder:
             size *= 2
 
     def merge(self, data: bytes) -> list[int]:
-        """Merge the neighbours of lowest rank, leftmost first, until none has a rank."""
+        """Tokens of a string without halving it."""
         if len(data) > LONG_BYTES:
             return self.merge_long(data)
+        return [self.ranks[p] for p in self.merged(data)]
+
+    def merged(self, data: bytes) -> list[bytes]:
+        """Merge the neighbours of lowest rank, leftmost first, until none has a rank."""
         rank, none = self.ranks.get, len(self.ranks)
         parts = [data[i:i + 1] for i in range(len(data))]
         pairs = [rank(data[i:i + 2], none) for i in range(len(data) - 1)]
@@ -177,13 +194,13 @@ class Encoder:
             if best == none:
                 break
             at = pairs.index(best)
-            parts[at] += parts.pop(at + 1)
+            part = parts[at] = parts[at] + parts.pop(at + 1)
             del pairs[at]
             if at < len(pairs):
-                pairs[at] = rank(parts[at] + parts[at + 1], none)
+                pairs[at] = rank(part + parts[at + 1], none)
             if at:
-                pairs[at - 1] = rank(parts[at - 1] + parts[at], none)
-        return [self.ranks[p] for p in parts]
+                pairs[at - 1] = rank(parts[at - 1] + part, none)
+        return parts
 
     def merge_long(self, data: bytes) -> list[int]:
         """The same for long strings, with a heap over a linked list."""
