@@ -3,10 +3,11 @@
 The (23, 12) Golay code is perfect: every 23-bit word lies within 3 bits of exactly one of 4,096
 codewords. A fingerprint is cut in segments of 23, 23 and 18 bits. An entry names a segment by its
 codeword; a probe names it by all codewords within 4 bits, about five, and so meets every entry whose
-segment differs in at most one bit. Three differing bits fall on three segments so that either two
-segments differ by (1 or 0, 0), or each by one. Probes of the first two segments take all pairs of
-codewords, which covers the latter; probes of the other two pairs need one segment unchanged. Pairs that
-meet are verified by their bit distance.
+segment differs in at most one bit. Three differing bits fall on three segments so that either one segment
+is the same and another differs by at most one bit, or all differ by exactly one. For the former, keys are
+a segment's codeword with another segment as it is (six kinds). For the latter they are the codewords of the first
+two segments with the parities of all three, which a probe turns round. Pairs that meet are verified by
+their bit distance.
 
 Equal fingerprints are one node. Fingerprints that meet at one key are cut in blocks whose pairs are
 compared in vectors; a block pair hands on a forest of its links, so dense groups of near copies never
@@ -16,6 +17,7 @@ become lists of all pairs, and no link between components is lost.
 from __future__ import annotations
 
 from functools import lru_cache
+from itertools import combinations, permutations
 
 import numpy as np
 import pandas as pd
@@ -25,11 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from covista.plans import Workspace
+from covista.plans import spread as spread_of
 
 # Generator of the Golay code x^11+x^10+x^6+x^5+x^4+x^2+1; segment starts and widths.
 GENERATOR = 0b110001110101
 SEGMENTS = ((0, 23), (23, 23), (46, 18))
 HASH_SEED = 42
+KIND = 40
 # fingerprints of one key that are compared in one piece
 BLOCK = 2048
 
@@ -84,23 +88,17 @@ def codewords_near() -> tuple[np.ndarray, np.ndarray]:
     for bit in range(12):
         words = np.concatenate([words, words ^ np.uint32(GENERATOR << bit)])
     order = np.arange(len(words), dtype=np.int16)
-    errors = [0] + [sum(1 << b for b in bits) for n in (1, 2, 3) for bits in _choices(n)]
+    errors = [0] + [sum(1 << b for b in bits) for n in (1, 2, 3) for bits in combinations(range(23), n)]
     for e in errors:
         index[words ^ np.uint32(e)] = order
     return index, words
 
 
-def _choices(n: int):
-    from itertools import combinations
-
-    return combinations(range(23), n)
-
-
 def near(words: np.ndarray) -> np.ndarray:
     """Indices of the codewords within 4 bits of each word, repeated ones included: 24 columns."""
     index, _ = codewords_near()
     flips = np.array([0] + [1 << b for b in range(23)], dtype=np.uint32)
-    return np.sort(index[words[:, None] ^ flips[None, :]], axis=1)
+    return np.sort(index[words.astype(np.uint32)[:, None] ^ flips[None, :]], axis=1)
 
 
 def _pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -114,23 +112,22 @@ def _pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 def keys_of(prints: np.ndarray) -> pd.DataFrame:
     """Entries and probes of fingerprints: key, fingerprint, probe."""
     index, _ = codewords_near()
-    parts = [((prints >> np.uint64(at)) & np.uint64((1 << size) - 1)).astype(np.uint32) for at, size in SEGMENTS]
-    own = [index[p][:, None] for p in parts]
+    parts = [((prints >> np.uint64(at)) & np.uint64((1 << size) - 1)).astype(np.int64) for at, size in SEGMENTS]
+    own = [index[p].astype(np.int64) for p in parts]
     close = [near(p) for p in parts]
-    frames = []
-    for pair, (a, b) in enumerate(((0, 1), (0, 2), (1, 2))):
-        lists = [(own[a], own[b], False)]
-        if pair == 0:
-            lists.append((close[a], close[b], True))
-        else:
-            lists += [(close[a], own[b], True), (own[a], close[b], True)]
-        for left, right, probe in lists:
-            row, x, y = _pairs(left, right)
-            if left is own[a] and probe:  # the pair of both own codewords is in the list before
-                row, x, y = (v[y != own[b][row, 0]] for v in (row, x, y))
-            key = (pair << 24) | (x.astype(np.int64) << 12) | y.astype(np.int64)
-            frames.append(pd.DataFrame({"key": key, "print": prints[row].view(np.int64), "probe": probe}))
-    return pd.concat(frames, ignore_index=True)
+    odd = sum((np.bitwise_count(p).astype(np.int64) & 1) << i for i, p in enumerate(parts))
+    row, x, y = _pairs(close[0], close[1])
+    everyone = np.arange(len(prints))
+    made = [(everyone, (own[0] << 15) | (own[1] << 3) | odd, False),
+            (row, (x.astype(np.int64) << 15) | (y.astype(np.int64) << 3) | (odd[row] ^ 7), True)]
+    for kind, (a, b) in enumerate(permutations(range(3), 2), 1):
+        fresh = np.concatenate([np.ones((len(prints), 1), bool), close[a][:, 1:] != close[a][:, :-1]], axis=1)
+        row, at = np.nonzero(fresh)
+        head = kind << KIND
+        made += [(everyone, head | (own[a] << 23) | parts[b], False),
+                 (row, head | (close[a][row, at].astype(np.int64) << 23) | parts[b][row], True)]
+    return pd.concat([pd.DataFrame({"key": key, "print": prints[rows].view(np.int64), "probe": probe})
+                      for rows, key, probe in made], ignore_index=True)
 
 
 def _keyed(batches):
@@ -171,11 +168,13 @@ def links(prints: DataFrame, distance: int = 3) -> DataFrame:
     """
     if not 0 <= distance <= 3:
         raise ValueError("the code covers distances up to 3")
-    keyed = prints.mapInPandas(_keyed, "key bigint, print bigint, probe boolean")
+    # a print makes some sixty keys, so prints are spread first
+    keyed = prints.repartition(spread_of(prints), "print").mapInPandas(_keyed, "key bigint, print bigint, probe boolean")
     spread = F.pmod(F.xxhash64("print"), F.lit(1 << 16))
     sizes = keyed.groupBy("key").agg(F.count_if(~F.col("probe")).alias("entries"), F.count_if("probe").alias("probes"))
-    # a key with one entry and only its own probes links nothing
-    busy = sizes.where((F.col("entries") >= 1) & (F.col("probes") >= 2)).select(
+    # an entry that meets no probe but its own, which only the kinds after the first have, links nothing
+    others = F.col("probes") >= F.when(F.col("key") < 1 << KIND, 1).otherwise(2)
+    busy = sizes.where((F.col("entries") >= 1) & others).select(
         "key", F.ceil(F.col("entries") / BLOCK).cast("int").alias("cuts"), F.ceil(F.col("probes") / BLOCK).cast("int").alias("rows"))
     met = keyed.join(busy, "key")
     cells = met.select("key", "print", "probe", F.explode(F.when(
