@@ -15,33 +15,54 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def query(build: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[build.__name__] = build
-    return build
+def query(sql: str | None = None):
+    """Register a function (session, folder) -> DataFrame under its own name, with equal SQL if there is."""
+
+    def add(build: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[build.__name__] = build
+        if sql:
+            SQL[build.__name__] = sql
+        return build
+
+    return add
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-@query
+@query()
 def op1_licences(spark: SparkSession, folder: str) -> DataFrame:
     return licences.best_licence(table(spark, folder, "documents").select("doc_id", "text"))
 
 
-@query
+@query("""WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages), q AS (
+  SELECT page_id, strlen(html) AS payload_bytes, sha256(html) AS payload_digest,
+         min(page_id) OVER (PARTITION BY html) AS first FROM p), r AS (
+  SELECT *, payload_bytes >= 100 AND page_id > first AS again FROM q)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN first END AS refers_to, CAST(NULL AS VARCHAR) AS fault FROM r""")
 def op2_warc_segments(spark: SparkSession, folder: str) -> DataFrame:
     return warc.stored_and_read(table(spark, folder, "pages"))
 
 
-@query
+@query()
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
     counted = Workspace(spark).store(quality_rules.counts(docs).drop("text"), "quality-counts")
     return quality_rules.judged(counted).drop("lang", "source")
 
 
-@query
+@query(r"""WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents), windows AS (
+  SELECT doc_id, words, unnest(generate_series(1, len(words) - 34)) AS start FROM texts WHERE len(words) >= 35), repeats AS (
+  SELECT doc_id, start, count(*) OVER (PARTITION BY array_to_string(words[start:start + 34], ' ')) AS n FROM windows), gone AS (
+  SELECT DISTINCT doc_id, start + step AS place FROM repeats, generate_series(0, 34) AS s(step) WHERE n > 1), placed AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM texts), kept AS (
+  SELECT p.doc_id, string_agg(word, ' ' ORDER BY p.place) FILTER (g.place IS NULL) AS line, count(g.place) AS n_removed
+  FROM placed p LEFT JOIN gone g ON g.doc_id = p.doc_id AND g.place = p.place GROUP BY 1)
+SELECT t.doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(line, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept k ON k.doc_id = t.doc_id""")
 def op4_substrings(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.without_repeats(table(spark, folder, "documents").select("doc_id", "text"), size=35)
 
@@ -58,29 +79,29 @@ def token_digests(df: DataFrame, *columns: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-@query
+@query()
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return token_digests(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
 
 
-@query
+@query()
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return decontaminate.leaks(docs, table(spark, folder, "benchmark"))
 
 
-@query
+@query()
 def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source", "lang")
     return quality_classifier.scored(docs, table(spark, folder, "labels")).drop("text", "source", "lang")
 
 
-@query
+@query()
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"), words=3, distance=3)
 
 
-@query
+@query()
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     weights = toxicity.train(docs, table(spark, folder, "labels"))
@@ -89,7 +110,7 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
-@query
+@query()
 def op10_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     rules = secret_scans.BASE_RULES + secret_scans.MORE_RULES
