@@ -46,7 +46,55 @@ def op2_warc_segments(spark: SparkSession, folder: str) -> DataFrame:
     return warc.stored_and_read(table(spark, folder, "pages"))
 
 
-@query()
+def _level(name: str, keys: str) -> str:
+    """Quartile buckets of each measure per key."""
+    by = f"PARTITION BY {keys}, measure" if keys else "PARTITION BY measure"
+    keys = f"{keys}, " if keys else ""
+    return f"""{name} AS (
+  SELECT {keys}measure, max(whole) AS n, min(bucket) FILTER (upto * 4 >= whole) AS q1, min(bucket) FILTER (upto * 4 >= whole * 3) AS q3
+  FROM (SELECT {keys}measure, bucket, sum(count(*)) OVER ({by} ORDER BY bucket) AS upto, sum(count(*)) OVER ({by}) AS whole
+        FROM cut GROUP BY {keys}measure, bucket) GROUP BY {keys}measure)"""
+
+
+def _fence(measure: str, sign: str, slack: int) -> str:
+    quarter = "q3" if sign == "+" else "q1"
+    return f"max(CASE WHEN measure = '{measure}' THEN CAST({quarter} {sign} 6.0 * (q3 - q1) {sign} {slack} AS DOUBLE) END)"
+
+
+HIGH = {f.measure: f.slack for f in quality_rules.FENCES}
+QUALITY_SQL = r"""WITH texts AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS x, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+windows AS (SELECT doc_id, words, unnest(generate_series(1, len(words) - 4)) AS i FROM texts WHERE len(words) >= 5),
+repeats AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words[i:i + 4]) AS n FROM windows),
+covers AS (SELECT doc_id, count(DISTINCT i + s) AS n FROM repeats, generate_series(0, 4) AS g(s) WHERE n > 1 GROUP BY 1),
+counts AS (
+  SELECT t.doc_id, lang, source, len(words)::BIGINT AS n_words, coalesce(c.n, 0) AS n_repeat_words,
+         length(regexp_replace(x, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+         length(x) - length(regexp_replace(x, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(lines)::BIGINT AS n_lines,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         length(x) - length(regexp_replace(x, '[!?]', '', 'g')) AS n_shouts
+  FROM texts t LEFT JOIN covers c ON c.doc_id = t.doc_id),
+rates AS (
+  SELECT *, n_symbols * 1000 // greatest(n_words, 1) AS symbol_rate, word_chars * 100 // greatest(n_words, 1) AS word_size,
+         n_dup_lines * 1000 // greatest(n_lines, 1) AS dup_line_rate, n_repeat_words * 1000 // greatest(n_words, 1) AS repeat_rate,
+         n_shouts * 1000 // greatest(n_words, 1) AS shout_rate FROM counts),
+cells AS (""" + " UNION ALL ".join(f"SELECT lang, source, '{m}' AS measure, {m} AS v FROM rates" for m in HIGH) + """),
+cut AS (SELECT lang, source, measure, v - v % (1::BIGINT << greatest(length(bin(v)) - 6, 0)) AS bucket FROM cells),
+""" + ",\n".join((_level("own", "lang, source"), _level("tongue", "lang"), _level("everyone", ""))) + """,
+picked AS (
+  SELECT o.lang, o.source, o.measure, CASE WHEN o.n >= 100 THEN o.q1 WHEN t.n >= 100 THEN t.q1 ELSE e.q1 END AS q1,
+         CASE WHEN o.n >= 100 THEN o.q3 WHEN t.n >= 100 THEN t.q3 ELSE e.q3 END AS q3
+  FROM own o JOIN tongue t ON t.lang IS NOT DISTINCT FROM o.lang AND t.measure = o.measure JOIN everyone e ON e.measure = o.measure),
+limits AS (SELECT lang, source, """ + ", ".join(f"{_fence(m, '+', s)} AS {m}_high" for m, s in HIGH.items()) + f""",
+         {_fence('word_size', '-', HIGH['word_size'])} AS word_size_low FROM picked GROUP BY 1, 2),
+judged AS (SELECT r.*, l.* EXCLUDE (lang, source), n_words < 10 OR n_repeat_words * 100 > n_words * 20 AS base_failed
+  FROM rates r JOIN limits l ON l.lang IS NOT DISTINCT FROM r.lang AND l.source IS NOT DISTINCT FROM r.source)
+SELECT * EXCLUDE (lang, source, {', '.join(HIGH)}), NOT base_failed AND word_size >= word_size_low AND """ + " AND ".join(
+    f"{m} <= {m}_high" for m in HIGH) + " AS kept FROM judged"
+
+
+@query(QUALITY_SQL)
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
     counted = Workspace(spark).store(quality_rules.counts(docs).drop("text"), "quality-counts")
