@@ -124,16 +124,21 @@ def site_priors(scored: DataFrame) -> tuple[DataFrame, float]:
 
 
 def scored(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", text: str = "text", key: str = "doc_id",
-           least: float = LEAST, sample: int = SAMPLE) -> DataFrame:
-    """``docs`` with quality (a probability), site_prior and kept."""
+           least: float = LEAST, sample: int = SAMPLE, columns: list[str] | None = None) -> DataFrame:
+    """``columns`` of ``docs`` (all if not given) with quality (a probability), site_prior and kept.
+
+    Evidence is taken once and stored with the columns, as measuring texts is the costly part.
+    """
     weights = train(docs, labels, key, text, sample=sample)
-    odds = evidence(F.col(text), weights)
     work = Workspace(docs.sparkSession)
-    sites = work.store(docs.select(F.col(host).alias("host"), F.col(path).alias("path"), odds.alias("odds")), "evidence")
-    priors, overall = site_priors(sites)
+    columns = docs.columns if columns is None else columns
+    extra = [c for c in (host, path) if c not in columns]
+    docs = work.store(docs.select(*columns, *extra, evidence(F.col(text), weights).alias("_odds")), "evidence")
+    odds = F.col("_odds")
+    priors, overall = site_priors(docs.select(F.col(host).alias("host"), F.col(path).alias("path"), odds.alias("odds")))
     priors = priors.select(F.col("host").alias("_host"), F.col("path").alias("_path"), F.col("prior").alias("site_prior"))
     docs = docs.drop("quality", "site_prior", "kept")
     total = odds + log_odds(F.col("site_prior")) - float(np.log(overall / (1 - overall)))
     return (docs.join(priors, docs[host].eqNullSafe(priors["_host"]) & docs[path].eqNullSafe(priors["_path"]))
             .withColumn("quality", 1 / (1 + F.exp(-total))).withColumn("kept", F.col("quality") >= least)
-            .drop("_host", "_path"))
+            .drop("_host", "_path", "_odds", *extra))

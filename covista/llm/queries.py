@@ -141,7 +141,7 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source", "lang")
-    return quality_classifier.scored(docs, table(spark, folder, "labels")).drop("text", "source", "lang")
+    return quality_classifier.scored(docs, table(spark, folder, "labels"), columns=["doc_id"])
 
 
 @query()
