@@ -108,8 +108,9 @@ def with_findings(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...], t
              .groupBy(F.col("blob").alias("_blob"))
              .agg(F.sort_array(F.flatten(F.collect_list("part"))).alias(name)))
     kind = found.schema[name].dataType
-    docs = docs.drop(name)
-    return (docs.join(found, blob_of(docs[text]) == found["_blob"], "left").drop("_blob")
+    # the digest is a column of its own, so that texts move only where they are asked for
+    docs = docs.drop(name, "_own_blob").withColumn("_own_blob", blob_of(F.col(text)))
+    return (docs.join(found, docs["_own_blob"] == found["_blob"], "left").drop("_blob", "_own_blob")
             .withColumn(name, F.coalesce(F.col(name), F.array().cast(kind))))
 
 
