@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 K1, B = 1.2, 0.75
-BLOCK = 8
+BLOCK = 4
 # items of one index
 SHARD = 10_000
 # of the items' score against themselves
@@ -126,30 +126,24 @@ class Index:
         return out
 
     def promising(self, words: list[str], starts: np.ndarray, length: int, threshold: float) -> np.ndarray:
-        """Starts of passages in which some block may reach the threshold.
-
-        A word counts each time it occurs, which only raises the bound.
-        """
+        """Starts of passages in which some block may reach the threshold."""
         get = self.number.get
         numbers = np.array([get(w, 0) for w in words], dtype=np.int64)
         at = np.nonzero(numbers)[0]
         if not len(at):
             return starts[:0]
-        terms = numbers[at]
-        sizes = self.start[terms + 1] - self.start[terms]
-        flat = np.repeat(self.start[terms] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-        place, block, bound = np.repeat(at, sizes), self.block[flat], self.bound[flat]
         step = starts[1] - starts[0] if len(starts) > 1 else length
         # a word lies in the passage that starts in its stride and, if that is shorter, in the one before
-        cells = []
-        last = len(starts) - 1
+        last, held = len(starts) - 1, []
         for back in range(-(-length // step)):
-            passage = np.minimum(place // step, last + 1) - back
-            inside = (passage >= 0) & (passage <= last) & (place < passage * step + length)
-            cells.append((passage[inside] * self.n_blocks + block[inside], bound[inside]))
-        key = np.concatenate([c[0] for c in cells])
-        unique, where = np.unique(key, return_inverse=True)
-        total = np.bincount(where, weights=np.concatenate([c[1] for c in cells]))
+            passage = np.minimum(at // step, last + 1) - back
+            inside = (passage >= 0) & (passage <= last) & (at < passage * step + length)
+            held.append(passage[inside] * len(self.start) + numbers[at[inside]])
+        passage, terms = np.divmod(np.unique(np.concatenate(held)), len(self.start))
+        sizes = self.start[terms + 1] - self.start[terms]
+        flat = np.repeat(self.start[terms] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        unique, where = np.unique(np.repeat(passage, sizes) * self.n_blocks + self.block[flat], return_inverse=True)
+        total = np.bincount(where, weights=self.bound[flat])
         found = total + self.rest[unique % self.n_blocks] >= threshold - 1e-9
         return starts[np.unique(unique[found] // self.n_blocks)]
 
