@@ -7,8 +7,9 @@ the threshold are retrieved. Scores never depend on how items are dealt to shard
 are counted over all items.
 
 Before the search proper a bound is taken for whole runs of passages at once: the block maxima of the
-rarer terms of a passage, summed per block of items, plus the most that the common terms could add. Only
-passages with a block above the threshold are searched. A retrieved item counts as leaked if the
+rarer terms of a passage, summed per block of items, plus the most that the common terms could add. Of an
+item that its common terms alone could bring to the threshold, the strongest count as rarer ones, so each
+block above the threshold has a rarer term in the passage. Only passages with such a block are searched. A retrieved item counts as leaked if the
 text around the passage holds enough of the word shingles of its question and of its answer.
 
 Null and empty texts leak nothing; items without words are never found. Repeated items with one id count
@@ -35,8 +36,10 @@ SHARD = 10_000
 # of the items' score against themselves
 THRESHOLD = 0.6
 SHINGLE, OVERLAP = 5, 0.8
-# terms in more than this share of the items are bounded by a constant
+# terms in more than this share of the items are bounded by a constant, unless an item could be found by them alone
 COMMON = 0.05
+# for sums taken in another order
+MARGIN = 1e-6
 
 WORD = re.compile(r"\w+")
 LEAKS = "array<struct<item_id:bigint,score:double,question_overlap:double,answer_overlap:double,at:int>>"
@@ -80,7 +83,7 @@ class Item:
 class Index:
     """Postings by term with block maxima, for items of one shard."""
 
-    def __init__(self, items: list[Item], n_items: int, mean_words: float):
+    def __init__(self, items: list[Item], n_items: int, mean_words: float, threshold: float = THRESHOLD):
         self.items = items
         self.parts = [question_and_answer(x.text) for x in items]
         self.postings: dict[str, list[tuple[int, float]]] = {}
@@ -105,6 +108,7 @@ class Index:
         # rarer terms: block maxima in flat arrays, by number of the term; number 0 is any other word
         frequencies = {w: f for item in items for w, f in item.frequencies.items()}
         rare = [w for w in self.postings if frequencies[w] <= max(2, COMMON * n_items)]
+        rare += self._needed(set(rare), threshold)
         self.number = {w: i for i, w in enumerate(rare, 1)}
         lists = [[]] + [sorted(self.blocks[w].items()) for w in rare]
         self.start = np.cumsum([0] + [len(x) for x in lists])
@@ -118,6 +122,24 @@ class Index:
         self.rest = np.array([rest[b * BLOCK:(b + 1) * BLOCK].max() for b in range(n_blocks)])
         self.n_blocks = n_blocks
 
+    def _needed(self, rare: set[str], threshold: float) -> list[str]:
+        """Common terms without which no item's other common terms reach the threshold."""
+        common: list[list[tuple[float, str]]] = [[] for _ in self.items]
+        for w, p in self.postings.items():
+            if w not in rare:
+                for place, x in p:
+                    common[place].append((x, w))
+        out: dict[str, None] = {}
+        for terms in common:
+            rest = sum(x for x, w in terms if w not in out)
+            for x, w in sorted(terms, reverse=True):
+                if rest < threshold - MARGIN:
+                    break
+                if w not in out:
+                    out[w] = None
+                    rest -= x
+        return list(out)
+
     @staticmethod
     def _maxima(postings: list[tuple[int, float]]) -> dict[int, float]:
         out: dict[int, float] = {}
@@ -127,6 +149,8 @@ class Index:
 
     def promising(self, words: list[str], starts: np.ndarray, length: int, threshold: float) -> np.ndarray:
         """Starts of passages in which some block may reach the threshold."""
+        if self.rest.max(initial=0.0) >= threshold - MARGIN / 2:  # below the threshold of the index
+            return starts
         get = self.number.get
         numbers = np.array([get(w, 0) for w in words], dtype=np.int64)
         at = np.nonzero(numbers)[0]
@@ -204,7 +228,7 @@ class Index:
         return [best[p] for p in sorted(best)]
 
 
-def shards(items: DataFrame, size: int = SHARD):
+def shards(items: DataFrame, size: int = SHARD, threshold: float = THRESHOLD):
     """Indexes over all items, each of about ``size`` items; term frequencies are those of all items."""
 
     @F.arrow_udf("array<string>")
@@ -221,7 +245,7 @@ def shards(items: DataFrame, size: int = SHARD):
                .groupBy("item_id", "text").agg(F.map_from_entries(F.collect_list(F.struct("term", "items"))).alias("f")))
         # bounded by the size of a shard
         found = [Item(r["item_id"], r["text"], r["f"]) for r in own.orderBy("item_id", "text").collect()]
-        yield Index(found, stats["n"], stats["mean"])
+        yield Index(found, stats["n"], stats["mean"], threshold)
 
 
 def finder(sent: Broadcast, threshold: float, overlap: float):
@@ -239,7 +263,7 @@ def with_leaks(docs: DataFrame, items: DataFrame, text: str = "text", name: str
                overlap: float = OVERLAP, shard: int = SHARD) -> DataFrame:
     """``docs`` with an array of the items that a text holds. Texts stay where they are."""
     docs = docs.withColumn(name, F.array().cast(LEAKS))
-    for index in shards(items, shard):
+    for index in shards(items, shard, threshold):
         find = finder(docs.sparkSession.sparkContext.broadcast(index), threshold, overlap)
         docs = docs.withColumn(name, F.concat(F.col(name), find(F.col(text))))
     return docs

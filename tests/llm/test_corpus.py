@@ -165,6 +165,46 @@ def test_leaks_are_found_and_clean_texts_left(spark):
     assert decontaminate.leaks(docs, bench.limit(0)).count() == 0 and decontaminate.leaks(docs.limit(0), bench).count() == 0
 
 
+def with_frequencies(items):
+    df = {}
+    for x in items:
+        for w in set(decontaminate.words_of(x.text)):
+            df[w] = df.get(w, 0) + 1
+    for x in items:
+        x.frequencies = {w: df[w] for w in decontaminate.words_of(x.text)}
+    return items
+
+
+def test_every_block_of_common_terms_is_tried():
+    """Copies under several ids, a third of all items, and items of one template: no rare terms in them."""
+    rng = random.Random(6)
+    items = some_items(rng, 40)
+    copied = f"{prose(rng, 12, 400)}. {prose(rng, 5, 400)}."
+    items += [decontaminate.Item(100 + i, copied, {}) for i in range(20)]
+    items += [decontaminate.Item(200 + i, f"name the colour of stone {'abc'[i % 3]} in hall {'xyz'[i // 3 % 3]}. it is {'de'[i % 2]}.", {}) for i in range(18)]
+    index = decontaminate.Index(with_frequencies(items), len(items), 20.0)
+    texts = [prose(rng, 300, 400) for _ in range(10)]
+    texts += [f"{prose(rng, rng.randint(0, 80), 400)} {x.text} {prose(rng, rng.randint(0, 80), 400)}" for x in items[::3]]
+    texts += [f"{'other ' * rng.randint(0, 80)}{x.text}{' other' * rng.randint(0, 80)}" for x in items[::3]]
+    for threshold in (0.3, 0.6, 0.9):
+        for text in texts:
+            words = decontaminate.words_of(text)
+            starts = np.arange(0, max(1, len(words) - index.longest), index.longest)
+            length = 2 * index.longest
+            want = {s for s in starts.tolist() if index.search(set(words[s:s + length]), threshold)}
+            assert want <= set(index.promising(words, starts, length, threshold).tolist())
+
+
+def test_leaks_of_items_under_several_ids(spark):
+    rng = random.Random(7)
+    items = [(i, f"{prose(rng, 18, 400)}. {prose(rng, 7, 400)}.") for i in range(30)]
+    items += [(100 + i, items[0][1]) for i in range(20)]
+    docs = frame(spark, [prose(rng, 300, 400), f"{'other ' * 60}{items[0][1]}{' other' * 60}"])
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, bench).collect()}
+    assert got == {(1, 0), *((1, 100 + i) for i in range(20))}
+
+
 def test_leak_query(spark):
     items = spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()
     want = set()
