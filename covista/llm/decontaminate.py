@@ -12,8 +12,9 @@ item that its common terms alone could bring to the threshold, the strongest cou
 block above the threshold has a rarer term in the passage. Only passages with such a block are searched. A retrieved item counts as leaked if the
 text around the passage holds enough of the word shingles of its question and of its answer.
 
-Null and empty texts leak nothing; items without words are never found. Repeated items with one id count
-as one item each.
+Null and empty texts leak nothing; items without words are never found. Rows with the same id and text
+count as one item. Texts under several ids are several items in all counts, but have one entry in an index;
+a join gives the other ids.
 """
 
 from __future__ import annotations
@@ -29,9 +30,11 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from covista.plans import fan_out_join, stored
+
 K1, B = 1.2, 0.75
 BLOCK = 4
-# items of one index
+# texts of one index
 SHARD = 10_000
 # of the items' score against themselves
 THRESHOLD = 0.6
@@ -42,7 +45,7 @@ COMMON = 0.05
 MARGIN = 1e-6
 
 WORD = re.compile(r"\w+")
-LEAKS = "array<struct<item_id:bigint,score:double,question_overlap:double,answer_overlap:double,at:int>>"
+LEAKS = "array<struct<entry:binary,item_id:bigint,score:double,question_overlap:double,answer_overlap:double,at:int>>"
 
 
 def words_of(text: str | None) -> list[str]:
@@ -78,6 +81,7 @@ class Item:
     item_id: int
     text: str
     frequencies: dict[str, int]  # items that have the term
+    entry: bytes = b""  # digest of the text
 
 
 class Index:
@@ -223,33 +227,45 @@ class Index:
                 around = words[max(0, start - step):start + length + step]
                 q, a = share(question, around), share(answer, around)
                 if q >= overlap and a >= overlap and (place not in best or score > best[place]["score"]):
-                    best[place] = {"item_id": self.items[place].item_id, "score": round(score, 6),
+                    best[place] = {"entry": self.items[place].entry, "item_id": self.items[place].item_id, "score": round(score, 6),
                                    "question_overlap": q, "answer_overlap": a, "at": start}
         return [best[p] for p in sorted(best)]
 
 
+def distinct_items(items: DataFrame) -> DataFrame:
+    return items.select(F.col("item_id").cast("bigint").alias("item_id"), "text").distinct()
+
+
+def entry_of(text: str):
+    return F.unhex(F.sha2(F.col(text).cast("binary"), 256))
+
+
 def shards(items: DataFrame, size: int = SHARD, threshold: float = THRESHOLD):
-    """Indexes over all items, each of about ``size`` items; term frequencies are those of all items."""
+    """Indexes over all items, each of about ``size`` texts; term frequencies are those of all items. A text
+    under several ids is one entry with the smallest of them."""
 
     @F.arrow_udf("array<string>")
     def terms(texts: pa.Array) -> pa.Array:
         return pa.array((words_of(t.as_py()) for t in texts), pa.list_(pa.string()))
 
-    rows = items.select(F.col("item_id").cast("bigint").alias("item_id"), "text", terms("text").alias("terms")).where(F.size("terms") > 0)
-    stats = rows.agg(F.count("*").alias("n"), F.avg(F.size("terms")).alias("mean")).first()
-    frequencies = (rows.select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(F.count("*").alias("items")))
-    n = -(-stats["n"] // size)
+    texts = distinct_items(items).groupBy("text").agg(F.count("*").alias("copies"), F.min("item_id").alias("item_id"))
+    rows = stored(texts.withColumn("terms", terms("text")).where(F.size("terms") > 0), "items")
+    stats = rows.agg(F.sum("copies").alias("n"), (F.sum(F.col("copies") * F.size("terms")) / F.sum("copies")).alias("mean"),
+                     F.count("*").alias("texts")).first()
+    frequencies = rows.select(F.explode(F.array_distinct("terms")).alias("term"), "copies").groupBy("term").agg(F.sum("copies").alias("items"))
+    n = -(-stats["texts"] // size)
     for k in range(n):
         mine = rows.where(F.pmod(F.xxhash64("text"), F.lit(n)) == k)
         own = (mine.select("item_id", "text", F.explode(F.array_distinct("terms")).alias("term")).join(frequencies, "term")
-               .groupBy("item_id", "text").agg(F.map_from_entries(F.collect_list(F.struct("term", "items"))).alias("f")))
+               .groupBy("item_id", "text").agg(F.map_from_entries(F.collect_list(F.struct("term", "items"))).alias("f"))
+               .withColumn("entry", entry_of("text")))
         # bounded by the size of a shard
-        found = [Item(r["item_id"], r["text"], r["f"]) for r in own.orderBy("item_id", "text").collect()]
+        found = [Item(r["item_id"], r["text"], r["f"], bytes(r["entry"])) for r in own.orderBy("item_id", "text").collect()]
         yield Index(found, stats["n"], stats["mean"], threshold)
 
 
 def finder(sent: Broadcast, threshold: float, overlap: float):
-    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("question_overlap", pa.float64()),
+    kind = pa.list_(pa.struct([("entry", pa.binary()), ("item_id", pa.int64()), ("score", pa.float64()), ("question_overlap", pa.float64()),
                                ("answer_overlap", pa.float64()), ("at", pa.int32())]))
 
     @F.arrow_udf(LEAKS)
@@ -261,7 +277,8 @@ def finder(sent: Broadcast, threshold: float, overlap: float):
 
 def with_leaks(docs: DataFrame, items: DataFrame, text: str = "text", name: str = "leaks", threshold: float = THRESHOLD,
                overlap: float = OVERLAP, shard: int = SHARD) -> DataFrame:
-    """``docs`` with an array of the items that a text holds. Texts stay where they are."""
+    """``docs`` with an array of the items that a text holds, of items with one text the one with the smallest
+    id. Texts stay where they are."""
     docs = docs.withColumn(name, F.array().cast(LEAKS))
     for index in shards(items, shard, threshold):
         find = finder(docs.sparkSession.sparkContext.broadcast(index), threshold, overlap)
@@ -271,5 +288,7 @@ def with_leaks(docs: DataFrame, items: DataFrame, text: str = "text", name: str
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", **how) -> DataFrame:
     """A row per text and leaked item."""
-    return (with_leaks(docs, items, **how).select(key, F.explode("leaks").alias("leak"))
-            .select(key, "leak.item_id", "leak.score", "leak.question_overlap", "leak.answer_overlap", "leak.at"))
+    found = with_leaks(docs, items, **how).select(key, F.explode("leaks").alias("leak")).select(key, "leak.*").drop("item_id")
+    ids = distinct_items(items).where(F.col("text").isNotNull()).select(entry_of("text").alias("entry"), "item_id")
+    return (fan_out_join(stored(found, "leaks"), stored(ids, "ids"), ["entry"], [key, "at"])
+            .select(key, "item_id", "score", "question_overlap", "answer_overlap", "at"))

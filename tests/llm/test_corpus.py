@@ -205,6 +205,22 @@ def test_leaks_of_items_under_several_ids(spark):
     assert got == {(1, 0), *((1, 100 + i) for i in range(20))}
 
 
+def test_leaks_of_repeated_items(spark):
+    """Rows twice, one text under several ids (one null), one id with several texts."""
+    rng = random.Random(8)
+    a, b, c = (f"{prose(rng, 18, 400)}. {prose(rng, 7, 400)}." for _ in range(3))
+    items = [(1, a), (1, a), (2, a), (None, a), (3, b), (3, c), (3, c), (9, None), (9, None), (8, "")]
+    docs = frame(spark, [f"{prose(rng, 30, 400)} {a}", f"{b} {c}", prose(rng, 50, 400), None, a])
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    for shard in (1000, 1):
+        got = sorted((r["doc_id"], r["item_id"] or 0) for r in decontaminate.leaks(docs, bench, shard=shard).collect())
+        assert got == [(0, 0), (0, 1), (0, 2), (1, 3), (1, 3), (4, 0), (4, 1), (4, 2)]
+        held = decontaminate.with_leaks(docs, bench, shard=shard).orderBy("doc_id").collect()
+        assert [len(r["leaks"]) for r in held] == [1, 2, 0, 0, 1]
+    sizes = [len(x.items) for x in decontaminate.shards(spark.createDataFrame([(i, a) for i in range(50)], "item_id bigint, text string"), 10)]
+    assert sizes == [1]
+
+
 def test_leak_query(spark):
     items = spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()
     want = set()
