@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -31,6 +32,8 @@ LEAF_WORD = 48
 LEAF_TOKENS = 4096
 # words of a generation, and pieces, remembered by a worker
 REMEMBERED = 300_000
+# a space before white space, with which it makes one piece (every character of the pattern's \s and a few more)
+SEAM = re.compile(r" \s")
 
 
 def pack(ids) -> bytes:
@@ -44,7 +47,7 @@ def unpack(ids: bytes) -> list[int]:
 class Encoder:
     """The monoid of encoded texts for one table of ranks and one pattern.
 
-    ``spaced``: the pattern starts a piece at each single space before another character, and a space
+    ``spaced``: the pattern starts a piece at each space before a character that is no white space, and a space
     with letters is one piece. Words between spaces can then be encoded, and remembered, one by one.
     """
 
@@ -69,15 +72,21 @@ class Encoder:
         if len(text) > LEAF_CHARS:
             middle = len(text) // 2
             return self.join(self.tree(text[:middle]), self.tree(text[middle:]))
-        if self.spaced and "" not in (parts := text.split(" ")):
+        if parts := self.apart(text):
             parts = parts[:1] + [f" {p}" for p in parts[1:]]
         else:
             parts = self.find(text)
         return parts, self.leaf(text)
 
+    def apart(self, text: str) -> list[str] | None:
+        """What lies between the spaces of a text, if a piece starts at each of them."""
+        if not self.spaced or SEAM.search(text) or "" in (parts := text.split(" ")):
+            return None
+        return parts
+
     def leaf(self, text: str) -> list[bytes]:
         """Tokens of the parts that ``tree`` cuts a short text into."""
-        if not self.spaced or "" in (parts := text.split(" ")):
+        if not (parts := self.apart(text)):
             return [self.piece(p) for p in self.find(text)]
         words = self.words
         try:

@@ -44,6 +44,23 @@ def test_bpe_trees_on_small_leaves(library, monkeypatch):
         assert tool.decode(ids) == text.encode()
 
 
+def test_bpe_of_spaces_beside_other_white_space(library, monkeypatch):
+    tool = bpe.encoder(**rank_file())
+    assert bpe.unpack(tool.encode("a \u00a0 \u00a0 b")) == library.encode_ordinary("a \u00a0 \u00a0 b") == [64, 11504, 275]
+    # whatever the pattern counts as white space is found by SEAM
+    assert not [c for c in map(chr, range(0x110000)) if bpe.regex.match(r"\s", c) and not bpe.SEAM.match(f" {c}")]
+    rng = random.Random(9)
+    alphabet = [" ", " ", " ", "\u00a0", "\u00a0", "\n", "\t", "\u2003", "\u3000", "\x85", "\x1c", "a", "the", "1", "!", "'s", "é"]
+    for leaf in (5, bpe.LEAF_CHARS):
+        monkeypatch.setattr(bpe, "LEAF_CHARS", leaf)
+        for _ in range(4000):
+            text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 24)))
+            tool.pieces.clear(), tool.words.clear(), tool.older.clear()
+            ids = bpe.unpack(tool.encode(text))
+            assert ids == library.encode_ordinary(text), text
+            assert tool.decode(ids) == text.encode()
+
+
 @pytest.mark.parametrize("text", ["a" * 40000, "é" * 9000, "ab1" * 9000, " " * 20000 + "x", "word " * 20000])
 def test_bpe_of_long_texts(library, text):
     assert bpe.unpack(bpe.encoder(**rank_file()).encode(text)) == library.encode_ordinary(text)
