@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from suite import factors
 from tests.oracle import connection, difference
 
 FOLDER = "/root/testdata/sf0.001"
@@ -32,5 +33,18 @@ def test_gives_rows(spark, name):
     assert built(spark, name).count() > 0
 
 
+def test_long_ids_are_fitted_with_all_factors(spark, monkeypatch):
+    ranks, train = [], factors.ops.train_implicit
+
+    def fit(df, **how):
+        model = train(df, **how)
+        ranks.append(model.rank)
+        return model
+
+    monkeypatch.setattr(factors.ops, "train_implicit", fit)
+    entry.queries()["als_lists_of_long_ids"](spark, FOLDER)
+    assert ranks == [50]
+
+
 def test_flagship(spark):
     assert entry.entry(spark).count() > 0
