@@ -1,9 +1,11 @@
 """Licence scans: the Dice coefficient of word bigrams against templates.
 
 A text is normalised (lower case, words of letters and digits; versions keep their parts as words) and
-compared as a whole, by paragraphs (blocks between blank lines) and by lines. The coefficient of two sets of
-sizes a and b is at most 2 min(a, b) / (a + b), so only templates within [t/(2-t), (2-t)/t] of a unit's
-size can reach the threshold t; the rest are not looked at, nor are templates without a common bigram.
+compared as a whole, by paragraphs (blocks between blank lines), by lines, and by every run of words, also
+across lines and paragraphs. The coefficient of two sets of sizes a and b is at most 2 min(a, b) / (a + b), so
+only templates within [t/(2-t), (2-t)/t] of a unit's size can reach the threshold t, and only if the text holds
+t/(2-t) of their bigrams; no other text or template is looked at further. The best run starts and ends at
+bigrams of the template that occur in it once, which bounds the search by words times template size.
 
 Null and empty texts have no licence. Among equal coefficients the template named first wins.
 """
@@ -85,6 +87,7 @@ class Templates:
         made = [(len(g), i, name, g) for i, (name, text) in enumerate(templates.items()) if (g := bigrams(text))]
         self.order = sorted(made)
         self.sizes = [m[0] for m in self.order]
+        self.place = {m[2]: place for place, m in enumerate(self.order)}
         self.of: dict[tuple[str, str], list[int]] = {}
         for place, m in enumerate(self.order):
             for g in m[3]:
@@ -112,9 +115,37 @@ class Templates:
             return None
         return top[2], top[0]
 
-    def scan(self, text: str | None) -> list[dict]:
-        """Licensed units: the whole text, else its paragraphs, else their lines. Places are code points."""
-        text = text or ""
+    def able(self, own: frozenset) -> list[int]:
+        """Templates of which some part of a text with these bigrams may be similar enough."""
+        common = Counter(p for g in self.of.keys() & own for p in self.of[g])
+        return sorted(p for p, n in common.items() if n >= self.range(self.sizes[p])[0])
+
+    def runs(self, grams: list[tuple[str, str]], p: int) -> list[tuple[float, int, int, int]]:
+        """(dice, common bigrams, first, last bigram) of the runs of a text that are like a template, the
+        best of those that overlap."""
+        size, _, _, wanted = self.order[p]
+        most, found = self.range(size)[1], []
+        for a in (i for i, g in enumerate(grams) if g in wanted):
+            own, common, best = set(), 0, (0.0, 0, a, a)
+            for i in range(a, len(grams)):
+                g = grams[i]
+                if g in own:
+                    if g == grams[a]:  # the same set without the first
+                        break
+                    continue
+                own.add(g)
+                if len(own) > most:
+                    break
+                if g in wanted:
+                    common += 1
+                    if (dice := 2 * common / (len(own) + size)) > best[0]:
+                        best = (dice, common, a, i)
+            if best[0] >= self.threshold - 1e-12:
+                found.append(best)
+        return apart(sorted(found, key=lambda x: (-x[0], x[2])), lambda x: (x[2], x[3] + 1))
+
+    def units(self, text: str) -> list[dict]:
+        """The whole text, else its paragraphs, else their lines."""
         if found := self.best(text):
             return [{"licence": found[0], "dice": found[1], "unit": "text", "start": 0, "end": len(text)}]
         out, paragraphs = [], [m.span() for m in re.finditer(r"[^\n]+(?:\n[^\n]+)*", text)]
@@ -127,6 +158,51 @@ class Templates:
                     out.append({"licence": found[0], "dice": found[1], "unit": "line", "start": start + m.start(), "end": start + m.end()})
         return out
 
+    def scan(self, text: str | None) -> list[dict]:
+        """Licensed units: the whole text, else paragraphs, lines and runs of words. Of those that overlap the
+        one with most bigrams of its template stands, a unit before a run. Places are code points."""
+        text = text or ""
+        low, places = lowered(text)
+        found = [(m.group(), m.start(), m.end()) for m in WORD.finditer(low)]
+        grams = [(x[0], y[0]) for x, y in zip(found, found[1:])]
+        if not (able := self.able(frozenset(grams))):
+            return []
+        units = self.units(text)
+        if units and units[0]["unit"] == "text":
+            return units
+        made = []
+        for u in units:
+            p = self.place[u["licence"]]
+            made.append((-len(bigrams(text[u["start"]:u["end"]]) & self.order[p][3]), 0, -u["dice"], self.order[p][1], u))
+        for p in able:
+            for dice, common, a, b in self.runs(grams, p):
+                start, end = found[a][1], found[b + 1][2]
+                run = {"licence": self.order[p][2], "dice": dice, "unit": "run", "start": places[start] if places else start,
+                       "end": places[end - 1] + 1 if places else end}
+                made.append((-common, 1, -dice, self.order[p][1], run))
+        chosen = apart([x[-1] for x in sorted(made, key=lambda x: (*x[:4], x[4]["start"]))], lambda u: (u["start"], u["end"]))
+        return sorted(chosen, key=lambda u: u["start"])
+
+
+def apart(ranked: list, span) -> list:
+    """What overlaps nothing before it in the list."""
+    taken, out = [], []
+    for x in ranked:
+        start, end = span(x)
+        k = bisect_left(taken, (start, end))
+        if (k == 0 or taken[k - 1][1] <= start) and (k == len(taken) or taken[k][0] >= end):
+            taken.insert(k, (start, end))
+            out.append(x)
+    return out
+
+
+def lowered(text: str) -> tuple[str, list[int] | None]:
+    """The text in lower case and, if its length changes, the place of each character in the text."""
+    low = text.lower()
+    if len(low) == len(text):
+        return low, None
+    return "".join(c.lower() for c in text), [i for i, c in enumerate(text) for _ in c.lower()]
+
 
 def with_licences(docs: DataFrame, text: str = "text", name: str = "licences", templates: dict[str, str] = TEMPLATES,
                   threshold: float = THRESHOLD) -> DataFrame:

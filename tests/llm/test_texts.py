@@ -168,6 +168,35 @@ def test_licences_against_all_templates(spark):
     assert [r["licence"] for r in rows] == [None, None, "MIT-notice", "MIT-notice", None] and [r["n_matches"] for r in rows] == [0, 0, 2, 2, 0]
 
 
+def test_licences_inside_longer_texts():
+    known = licences.Templates(licences.TEMPLATES, licences.THRESHOLD)
+    before, after = (" ".join(f"{c}{i}" for i in range(120)) for c in "pq")
+    for name in ("MIT", "GPL-3.0-or-later", "Apache-2.0", "BSD-2-Clause"):
+        w = licences.TEMPLATES[name].split()
+        cuts = [0, len(w) // 4, len(w) // 2, 3 * len(w) // 4, len(w)]
+        body = "\n\n".join("\n".join([" ".join(w[a:(a + b) // 2]), " ".join(w[(a + b) // 2:b])]) for a, b in zip(cuts, cuts[1:]))
+        text = f"İ {before}\n\n{body}\n\n{after}"
+        found = known.scan(text)
+        assert [(x["licence"], x["dice"], x["unit"]) for x in found] == [(name, 1.0, "run")], name
+        assert licences.bigrams(text[found[0]["start"]:found[0]["end"]]) == licences.bigrams(body)
+    text = f"{before} is released under the MIT License. See {after}, licensed under CC BY-SA 4.0 by us."
+    assert [(x["licence"], text[x["start"]:x["end"]]) for x in known.scan(text)] == [
+        ("MIT-notice", "released under the MIT License"), ("CC-BY-SA-4.0-notice", "licensed under CC BY-SA 4.0")]
+    assert known.scan(f"{before} the license of MIT {after}") == [] and len(known.scan(("the mit license under " * 20000))) < 20001
+
+
+def test_runs_against_all_windows():
+    rng = random.Random(10)
+    known = licences.Templates({"a": "a b c d e", "b": "b c a b d c a", "c": "e e d"}, 0.8)
+    for _ in range(400):
+        w = [rng.choice("abcdexy") for _ in range(rng.randint(2, 30))]
+        grams = list(zip(w, w[1:]))
+        for p, (size, _, _, wanted) in enumerate(known.order):
+            best = max((2 * len((s := set(grams[i:j])) & wanted) / (len(s) + size) for i in range(len(grams)) for j in range(i + 1, len(grams) + 1)))
+            found = max((x[0] for x in known.runs(grams, p)), default=0)
+            assert found == (best if best >= 0.8 - 1e-12 else 0) and (p in known.able(frozenset(grams)) or not found)
+
+
 def test_licence_query(spark):
     rows = {r["doc_id"]: r["licence"] for r in QUERIES["op1_licences"](spark, FOLDER).collect()}
     for d in documents(spark):
