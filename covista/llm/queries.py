@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covista.llm import (bpe, decontaminate, licences, quality_classifier, quality_rules, secret_scans, simhash, substrings,
+from covista.llm import (bpe, collocations, decontaminate, licences, quality_classifier, quality_rules, secret_scans, simhash, substrings,
                          toxicity, warc)
 from covista.plans import Workspace
 
@@ -170,3 +170,30 @@ def op10_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
         *[secret_scans.count_of("findings", r).alias(f"n_{r.kind}") for r in secret_scans.BASE_RULES],
         F.sha2(secret_scans.joined(base).cast("binary"), 256).alias("base_sha256"),
         secret_scans.joined(F.col("findings")).alias("spans"))
+
+
+def _sizes(column: str) -> str:
+    return " UNION ALL ".join(f"SELECT lang, {m} AS size, {column.format(m=m)} AS phrase FROM places WHERE pos + {m - 1} <= len(words)" for m in range(1, 5))
+
+
+@query(r"""WITH docs AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM docs),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+places AS (SELECT lang, words, unnest(generate_series(1, len(words))) AS pos FROM lists),
+phrases AS (SELECT lang, size, phrase, count(*) AS n FROM (""" + _sizes("words[pos:pos + {m} - 1]") + """) GROUP BY 1, 2, 3),
+sizes AS (SELECT lang, sum(n)::BIGINT AS n FROM phrases WHERE size = 1 GROUP BY 1),
+candidates AS (SELECT lang, size, phrase, n AS a FROM phrases WHERE size > 1 AND n >= 30),
+parts AS (SELECT c.lang, c.phrase, k, x.n AS l, y.n AS r, (2000000::HUGEINT * a) // (x.n::HUGEINT + y.n) AS score
+  FROM (SELECT *, unnest(generate_series(1, size - 1)) AS k FROM candidates) c
+  JOIN phrases x ON x.lang = c.lang AND x.phrase = c.phrase[1:k] JOIN phrases y ON y.lang = c.lang AND y.phrase = c.phrase[k + 1:c.size]),
+weakest AS (SELECT * FROM parts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (SELECT lang, size, phrase, a, unnest(generate_series(2, size - 1)) AS m FROM candidates WHERE size > 2),
+inside AS (SELECT lang, a, phrase[s:s + m - 1] AS part FROM (SELECT *, unnest(generate_series(1, size - m + 1)) AS s FROM longer)),
+dropped AS (SELECT DISTINCT c.lang, c.phrase FROM candidates c JOIN inside i ON i.lang = c.lang AND i.part = c.phrase WHERE 100 * i.a >= 80 * c.a),
+named AS (SELECT c.lang, array_to_string(c.phrase, ' ') AS phrase, a, l, r, score::BIGINT AS score FROM candidates c JOIN weakest w
+  ON w.lang = c.lang AND w.phrase = c.phrase ANTI JOIN dropped d ON d.lang = c.lang AND d.phrase = c.phrase),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM named)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000""")
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents").select("lang", "text"))
