@@ -18,7 +18,7 @@ no rows. Columns but text and language are not read. A text is held whole by its
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,7 @@ from covista.plans import Workspace, shared_dir, spread, top_k
 LONGEST = 4
 SCALE = 2_000_000
 # text that a task counts at a time
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 3 << 20
 FILTER_BITS = 26
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 COUNTED = "lang string, size int, phrase string, n bigint"
@@ -43,7 +43,7 @@ ARROW = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.st
 TABLE = bytes(44 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def chunks(texts: list[bytes]) -> Iterator[bytes]:
+def chunks(texts: Iterable[bytes]) -> Iterator[bytes]:
     """Texts as runs of pieces of about ``CHUNK_BYTES``, cut between pieces only."""
     held, length = [], 0
     for t in texts:
@@ -101,11 +101,12 @@ def counted(lang: str, size: int, phrases: pa.Array, counts: np.ndarray) -> pa.R
                                        phrases, pa.array(counts.astype(np.int64))], schema=ARROW)
 
 
-def by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
+def by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, Iterator[bytes]]]:
     lang = batch.column("lang").fill_null("und")
     texts = batch.column("text").fill_null("").cast(pa.binary())
     for name in pc.unique(lang):
-        yield name.as_py(), texts.filter(pc.equal(lang, name)).to_pylist()
+        rows = np.nonzero(pc.equal(lang, name).to_numpy(zero_copy_only=False))[0]
+        yield name.as_py(), (texts[int(i)].as_py() for i in rows)
 
 
 def joined(words: pa.Array, *codes: np.ndarray) -> pa.Array:
