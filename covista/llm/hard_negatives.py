@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from covista.plans import Workspace, fan_out_join, top_k, with_ordinal
 
-BLOCK = 4096
-LEAF = 16
+BLOCK = 8192
+LEAF = 256
 GROUP = 4096
 PIVOTS = 64
 SAMPLE = 4096
@@ -53,9 +53,17 @@ def whole(vectors: list, scale: float) -> np.ndarray:
         return np.nan_to_num(np.floor(scale * out))
 
 
-def products(rows: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Inner products in whole numbers, held within 64 bits."""
-    if len(rows) == 0 or np.sqrt((rows * rows).sum(1).max(initial=0.0)) * np.sqrt(q @ q) < EXACT:
+def longest(rows: np.ndarray) -> float:
+    """The largest norm of the rows."""
+    with np.errstate(over="ignore"):
+        return float(np.sqrt((rows * rows).sum(1).max(initial=0.0)))
+
+
+def products(rows: np.ndarray, q: np.ndarray, most: float | None = None) -> np.ndarray:
+    """Inner products in whole numbers, held within 64 bits. ``most``: their largest absolute value, if known."""
+    if most is None:
+        most = longest(rows) * longest(q[None, :])
+    if most < EXACT:
         return (rows @ q).astype(np.int64)
     exact = [int(x) for x in q]
     sums = (sum(int(a) * b for a, b in zip(r, exact)) for r in rows)
@@ -72,7 +80,7 @@ def fitted(a: np.ndarray, width: int) -> np.ndarray:
 class CoverTree:
     """Rows in order of their leaves, centres, and per node its centre, covering angle and children."""
 
-    def __init__(self, rows: np.ndarray, leaf: int = LEAF):
+    def __init__(self, rows: np.ndarray, leaf: int | None = None):
         n = len(rows)
         largest = float(np.abs(rows).max(initial=0.0)) or 1.0
         unit = rows / largest
@@ -80,7 +88,7 @@ class CoverTree:
         radius = math.sqrt(norms.max(initial=0.0))
         sphere = np.hstack([unit, np.sqrt(np.maximum(radius * radius - norms, 0.0))[:, None]])
         sphere = sphere / radius if radius else sphere
-        centres, levels = self._farthest_first(sphere, max(1, n // leaf))
+        centres, levels = self._farthest_first(sphere, max(1, n // (leaf or LEAF)))
         # the place of each row at each level, from the leaves up
         cosines = sphere @ sphere[centres].T
         own = cosines.argmax(1)
@@ -150,16 +158,19 @@ class Block:
         self.tree = CoverTree(rows)
         order = self.tree.order
         self.places, self.ids, self.known, self.labels, self.rows = places[order], ids[order], known[order], labels[order], rows[order]
+        self.longest = longest(rows)
 
     def best(self, q: np.ndarray, windows: list[tuple[int, int]], count: int, allowed: np.ndarray, visited: list | None = None) -> list[list[tuple]]:
         """Per window the first ``count`` allowed rows with scores inside it: (-score, id unknown, id, place)."""
         least, most = self.tree.bounds(q)
+        size = self.longest * longest(q[None, :])
         kept: list[list[tuple]] = [[] for _ in windows]
 
         def needed(i: int) -> bool:
             return any(least[i] <= high and most[i] >= (max(low, -k[-1][0]) if len(k) == count else low)
                        for (low, high), k in zip(windows, kept))
 
+        lowest, highest = min(low for low, _ in windows), max(high for _, high in windows)
         heap = [(-most[0], 0)]
         while heap:
             _, i = heapq.heappop(heap)
@@ -173,9 +184,13 @@ class Block:
             a, b = self.tree.leaves[i]
             if visited is not None:
                 visited.append(b - a)
-            scores = products(self.rows[a:b], q)
+            scores = products(self.rows[a:b], q, size)
+            inside = np.nonzero(allowed[a:b] & (scores >= lowest) & (scores <= highest))[0]
+            if not len(inside):
+                continue
             for w, (low, high) in enumerate(windows):
-                found = np.nonzero((scores >= low) & (scores <= high) & allowed[a:b])[0]
+                low = max(low, -kept[w][-1][0]) if len(kept[w]) == count else low
+                found = inside[(scores[inside] >= low) & (scores[inside] <= high)]
                 if len(found) > count:
                     found = found[np.lexsort((self.places[a:b][found], self.ids[a:b][found], ~self.known[a:b][found], -scores[found]))[:count]]
                 if len(found):
@@ -198,6 +213,7 @@ class Block:
         block, tree = cls.__new__(cls), CoverTree.__new__(CoverTree)
         block.places, block.ids, block.known, block.labels = (held[k] for k in ("places", "ids", "known", "labels"))
         block.rows, block.tree = held["rows"].astype(float), tree
+        block.longest = longest(block.rows)
         tree.at_centre, tree.node_centre, tree.node_angle, tree.radius = held["at_centre"], held["node_centre"], held["node_angle"], float(held["radius"])
         tree.children = [[] for _ in tree.node_centre]
         for up, low in held["edges"]:

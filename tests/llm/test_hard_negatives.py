@@ -74,8 +74,9 @@ def test_no_rows_and_one_label(spark):
     assert found(frame(spark, [(i, [1.0], 1) for i in range(9)])) == []
 
 
-def test_bounds_hold_and_prune():
+def test_bounds_hold_and_prune(monkeypatch):
     """Every row's product lies within the bounds of all nodes above it; far clusters are not visited."""
+    monkeypatch.setattr(hard_negatives, "LEAF", 16)
     rng = np.random.default_rng(5)
     rows = np.floor(256 * (np.repeat(rng.normal(size=(16, 8)), 64, 0) + 0.02 * rng.normal(size=(1024, 8))))
     n = len(rows)
