@@ -43,20 +43,20 @@ ARROW = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.st
 TABLE = bytes(44 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def chunks(texts: Iterable[bytes]) -> Iterator[bytes]:
-    """Texts as runs of pieces of about ``CHUNK_BYTES``, cut between pieces only."""
+def chunks(texts: Iterable[bytes], size: int) -> Iterator[bytes]:
+    """Texts as runs of pieces of about ``size`` bytes, cut between pieces only."""
     held, length = [], 0
     for t in texts:
         t = t.translate(TABLE)
-        while len(t) > CHUNK_BYTES:
-            cut = t.find(b",", CHUNK_BYTES)
+        while len(t) > size:
+            cut = t.find(b",", size)
             if cut < 0:
                 break
             yield t[:cut]
             t = t[cut + 1:]
         held.append(t)
         length += len(t)
-        if length >= CHUNK_BYTES:
+        if length >= size:
             yield b",".join(held)
             held, length = [], 0
     if held:
@@ -113,14 +113,14 @@ def joined(words: pa.Array, *codes: np.ndarray) -> pa.Array:
     return pc.binary_join_element_wise(*[words.take(pa.array(c)) for c in codes], " ")
 
 
-def short_counts(docs: DataFrame) -> DataFrame:
+def short_counts(docs: DataFrame, chunk: int = CHUNK_BYTES) -> DataFrame:
     """(lang, size, phrase, n): partial counts of words and pairs, and of all words as the phrase of size 0."""
 
     def run(batches):
         for batch in batches:
             for lang, texts in by_language(batch):
-                for chunk in chunks(texts):
-                    found = Words(chunk)
+                for piece in chunks(texts, chunk):
+                    found = Words(piece)
                     total = np.bincount(found.codes, minlength=len(found.words))[1:]
                     yield counted(lang, 0, pa.array([""]), np.array([total.sum()]))
                     yield counted(lang, 1, found.words[1:], total)
@@ -132,15 +132,15 @@ def short_counts(docs: DataFrame) -> DataFrame:
     return docs.select("lang", "text").mapInArrow(run, COUNTED)
 
 
-def long_counts(docs: DataFrame, pairs: np.ndarray) -> DataFrame:
+def long_counts(docs: DataFrame, pairs: np.ndarray, chunk: int = CHUNK_BYTES) -> DataFrame:
     """(lang, size, phrase, n): partial counts of phrases of 3 and 4 words all of whose pairs pass the filter."""
     sent = docs.sparkSession.sparkContext.broadcast(pairs)
 
     def run(batches):
         for batch in batches:
             for lang, texts in by_language(batch):
-                for chunk in chunks(texts):
-                    found = Words(chunk)
+                for piece in chunks(texts, chunk):
+                    found = Words(piece)
                     first, second, counts, placed = found.pairs()
                     seed = xxhash.xxh64_intdigest(lang.encode()) & 0xFFFFFFFF
                     own = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in found.words.cast(pa.binary()).to_pylist()),
@@ -175,11 +175,11 @@ def pair_filter(pairs: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     return filters.built(pairs.select(hashed("lang", "phrase").alias("h")), "h", bits)
 
 
-def frequent_phrases(docs: DataFrame, least: int, work: Workspace, bits: int = FILTER_BITS) -> DataFrame:
+def frequent_phrases(docs: DataFrame, least: int, work: Workspace, bits: int = FILTER_BITS, chunk: int = CHUNK_BYTES) -> DataFrame:
     """(lang, size, phrase, n) of all phrases of up to four words that occur ``least`` times or more, and the words
     of each language as the phrase of size 0."""
-    short = work.store(summed(short_counts(docs), least), "short-phrases")
-    long = work.store(summed(long_counts(docs, pair_filter(short.where("size = 2"), bits)), least), "long-phrases")
+    short = work.store(summed(short_counts(docs, chunk), least), "short-phrases")
+    long = work.store(summed(long_counts(docs, pair_filter(short.where("size = 2"), bits), chunk), least), "long-phrases")
     return short.unionByName(long)
 
 
@@ -266,7 +266,7 @@ def score(a: Column, left: Column, right: Column) -> Column:
 
 
 def collocations(docs: DataFrame, least: int = 30, best: int = 2000, cover: tuple[int, int] = (80, 100),
-                 lang: str = "lang", text: str = "text", bits: int = FILTER_BITS) -> DataFrame:
+                 lang: str = "lang", text: str = "text", bits: int = FILTER_BITS, chunk: int = CHUNK_BYTES) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's best phrases of 2 to 4 words.
 
     ``a`` counts the phrase, ``l`` and ``r`` the two parts of its weakest cut, ``n`` all words of the language.
@@ -274,7 +274,7 @@ def collocations(docs: DataFrame, least: int = 30, best: int = 2000, cover: tupl
     more word, since what lies between the two is at least as frequent as the longer one.
     """
     work = Workspace(docs.sparkSession)
-    phrases = frequent_phrases(docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")), least, work, bits)
+    phrases = frequent_phrases(docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")), least, work, bits, chunk)
     ahead = work.store(read_stream(in_order(phrases, False), False, cover), "prefix-order")
     back = work.store(read_stream(in_order(phrases, True), True, cover), "suffix-order")
     covered = ahead.select("lang", "covered").unionByName(back.select("lang", "covered")).where("covered is not null")

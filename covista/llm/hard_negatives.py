@@ -80,7 +80,7 @@ def fitted(a: np.ndarray, width: int) -> np.ndarray:
 class CoverTree:
     """Rows in order of their leaves, centres, and per node its centre, covering angle and children."""
 
-    def __init__(self, rows: np.ndarray, leaf: int | None = None):
+    def __init__(self, rows: np.ndarray, leaf: int):
         n = len(rows)
         largest = float(np.abs(rows).max(initial=0.0)) or 1.0
         unit = rows / largest
@@ -88,7 +88,7 @@ class CoverTree:
         radius = math.sqrt(norms.max(initial=0.0))
         sphere = np.hstack([unit, np.sqrt(np.maximum(radius * radius - norms, 0.0))[:, None]])
         sphere = sphere / radius if radius else sphere
-        centres, levels = self._farthest_first(sphere, max(1, n // (leaf or LEAF)))
+        centres, levels = self._farthest_first(sphere, max(1, n // leaf))
         # the place of each row at each level, from the leaves up
         cosines = sphere @ sphere[centres].T
         own = cosines.argmax(1)
@@ -154,8 +154,8 @@ class CoverTree:
 class Block:
     """The rows of a block with their tree, as kept in the index."""
 
-    def __init__(self, places: np.ndarray, ids: np.ndarray, known: np.ndarray, labels: np.ndarray, rows: np.ndarray):
-        self.tree = CoverTree(rows)
+    def __init__(self, places: np.ndarray, ids: np.ndarray, known: np.ndarray, labels: np.ndarray, rows: np.ndarray, leaf: int = LEAF):
+        self.tree = CoverTree(rows, leaf)
         order = self.tree.order
         self.places, self.ids, self.known, self.labels, self.rows = places[order], ids[order], known[order], labels[order], rows[order]
         self.longest = longest(rows)
@@ -259,13 +259,13 @@ def numbered(rows: DataFrame, scale: float) -> DataFrame:
     return placed.select("id", "label", "vector", "place", F.floor(F.col("place") / BLOCK).cast("bigint").alias("block"))
 
 
-def index(rows: DataFrame, scale: float) -> DataFrame:
+def index(rows: DataFrame, scale: float, leaf: int = LEAF) -> DataFrame:
     """(block, tree): the cover tree of each block."""
 
     def build(block: pa.Table) -> pa.Table:
         ids = block.column("id")
         made = Block(block.column("place").to_numpy(), ids.fill_null(0).to_numpy(), ~ids.is_null().to_numpy(),
-                     block.column("label").to_numpy(), whole(block.column("vector").to_pylist(), scale))
+                     block.column("label").to_numpy(), whole(block.column("vector").to_pylist(), scale), leaf)
         return pa.table({"block": block.column("block").slice(0, 1), "tree": pa.array([made.packed()], pa.binary())})
 
     return rows.groupBy("block").applyInArrow(build, "block bigint, tree binary")
@@ -303,13 +303,13 @@ def first_of(found: DataFrame, count: int) -> DataFrame:
 
 
 def mined(df: DataFrame, anchors: Column, key: str = "vec_id", vector: str = "embedding", label: str = "label", positives: int = 5,
-          negatives: int = 5, low: int = 80, high: int = 100, scale: float = 256.0) -> DataFrame:
+          negatives: int = 5, low: int = 80, high: int = 100, scale: float = 256.0, leaf: int = LEAF) -> DataFrame:
     """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score): for the rows for which ``anchors``
     (of the column ``id``) holds and each of their first ``positives`` rows of the same label, the first ``negatives``
     rows of other labels whose score is between ``low`` and ``high`` hundredths of the positive's."""
     work = Workspace(df.sparkSession)
     rows = work.store(numbered(taking_part(df, key, vector, label), scale), "vectors")
-    trees = work.store(index(rows, scale), "cover-trees")
+    trees = work.store(index(rows, scale, leaf), "cover-trees")
     asked = rows.where(anchors).select("place", "id", "label", "vector")
     groups = max(1, -(-asked.count() // GROUP))
     asked = asked.withColumn("part", F.pmod(F.xxhash64("place"), F.lit(groups)).cast("int"))

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covista.llm import (bpe, collocations, decontaminate, hard_negatives, licences, quality_classifier, quality_rules, secret_scans, simhash, substrings,
-                         toxicity, warc)
+from covista.llm import (bottom_k, bpe, collocations, decontaminate, hard_negatives, licences, quality_classifier, quality_rules,
+                         secret_scans, simhash, substrings, toxicity, warc)
 from covista.plans import Workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -215,3 +215,17 @@ def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "embeddings").select(
         "vec_id", "embedding", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
     return hard_negatives.mined(rows, F.col("id") % 100 == 0)
+
+
+@query(r"""WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+sets AS (SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(generate_series(1, len(words) - 4), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS items FROM texts),
+items AS (SELECT doc_id, len(items) AS n, unnest(items) AS item FROM sets),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS m, b.n AS n, count(*) AS shared FROM items a JOIN items b ON a.item = b.item AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (SELECT a, b FROM pairs WHERE 100 * shared >= 85 * (m + n - shared)),
+reached(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b),
+lowest AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a)
+SELECT doc_id, len(items)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN lowest ON a = doc_id""")
+def op13_bottom_k(spark: SparkSession, folder: str) -> DataFrame:
+    return bottom_k.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from covista.plans import Workspace
+from covista.plans import Workspace, components
 from covista.plans import spread as spread_of
 
 # Generator of the Golay code x^11+x^10+x^6+x^5+x^4+x^2+1; segment starts and widths.
@@ -196,34 +196,6 @@ def links(prints: DataFrame, distance: int = 3) -> DataFrame:
     return blocks.select("entries", "probes").mapInPandas(compared, "a bigint, b bigint").distinct()
 
 
-def components(edges: DataFrame, work: Workspace) -> DataFrame:
-    """(node, root) for the nodes of the edges (a, b): alternating stars until nothing moves.
-
-    Each round every node's larger neighbours, then all its smaller ones, move to its smallest
-    neighbour. Rounds are stored, so a lost executor costs one round; they grow with the logarithm
-    of the longest path.
-    """
-    now = work.store(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-    while True:
-        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b"), F.col("m")).where("b <> m")
-        small = large.groupBy("b").agg(F.min("m").alias("m"))
-        moved = (large.join(small.withColumnRenamed("m", "low"), "b")
-                 .select(F.explode(F.array(F.struct(F.col("low").alias("a"), F.col("b").alias("b")),
-                                           F.struct(F.col("low").alias("a"), F.col("m").alias("b")))).alias("e"))
-                 .select("e.a", "e.b").where("a <> b").distinct())
-        after = work.store(moved, "edges")
-        # done when every edge leads from a root to a leaf
-        inner = after.select("a").distinct().join(after.select(F.col("b").alias("a")).distinct(), "a").limit(1).count()
-        many = after.groupBy("b").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
-        work.drop(now)
-        now = after
-        if not inner and not many:
-            return now.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(
-                now.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
-
-
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, distance: int = 3) -> DataFrame:
     """(key, fingerprint, component_id) per row of ``df``.
 

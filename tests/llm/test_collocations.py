@@ -52,14 +52,13 @@ def speech(rng, n, kinds=6):
 
 
 @pytest.mark.parametrize("seed, least, best", [(1, 2, 2000), (2, 5, 2000), (3, 3, 7)])
-def test_phrases_of_small_alphabets(spark, monkeypatch, seed, least, best):
-    monkeypatch.setattr(collocations, "CHUNK_BYTES", 300)
+def test_phrases_of_small_alphabets(spark, seed, least, best):
     rng = random.Random(seed)
     rows = [(rng.choice(["en", "de", None, "und"]), speech(rng, rng.randint(0, 200))) for _ in range(40)]
     rows += [("en", None), (None, ""), ("fr", " \t\n"), ("fr", "one"), ("de", "a\x00 a\x01 a a\x00 a\x01 a a\x00 a\x01 a. a\x1f a  a")]
     rows += [rows[0]] * 3
     df = spark.createDataFrame(rows, "lang string, text string").selectExpr("lang", "text", "1 AS n", "2 AS phrase", "3 AS words", "4 AS size")
-    assert found(df, least=least, best=best) == plain(rows, least, best)
+    assert found(df, least=least, best=best, chunk=300) == plain(rows, least, best)
 
 
 def test_a_saturated_filter_changes_nothing(spark):

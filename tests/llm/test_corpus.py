@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from covista.llm import decontaminate, quality_classifier, simhash, substrings, warc
 from covista.llm.queries import QUERIES
+from covista.plans import Workspace, components
 from tests.llm import brute
 
 FOLDER = "/root/testdata/sf0.001"
@@ -102,9 +103,9 @@ def test_links_of_dense_groups(spark, monkeypatch):
 
 
 def test_components_of_paths(spark):
-    work = simhash.Workspace(spark)
+    work = Workspace(spark)
     edges = [(i, i + 1) for i in range(40)] + [(100, 102), (102, 101), (200, 200)]
-    got = {r["node"]: r["root"] for r in simhash.components(spark.createDataFrame(edges, "a bigint, b bigint"), work).collect()}
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint"), work).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 102: 100}
 
 

@@ -39,12 +39,12 @@ def frame(spark, rows):
 
 
 def found(df, **options):
-    return sorted((tuple(r) for r in hard_negatives.mined(df, F.col("id") % 4 == 0, **options).collect()), key=str)
+    return sorted((tuple(r) for r in hard_negatives.mined(df, F.col("id") % 4 == 0, leaf=3, **options).collect()), key=str)
 
 
 @pytest.fixture
 def small_blocks(monkeypatch):
-    for name, value in (("BLOCK", 32), ("GROUP", 8), ("LEAF", 3), ("PIVOTS", 4)):
+    for name, value in (("BLOCK", 32), ("GROUP", 8), ("PIVOTS", 4)):
         monkeypatch.setattr(hard_negatives, name, value)
 
 
@@ -74,13 +74,12 @@ def test_no_rows_and_one_label(spark):
     assert found(frame(spark, [(i, [1.0], 1) for i in range(9)])) == []
 
 
-def test_bounds_hold_and_prune(monkeypatch):
+def test_bounds_hold_and_prune():
     """Every row's product lies within the bounds of all nodes above it; far clusters are not visited."""
-    monkeypatch.setattr(hard_negatives, "LEAF", 16)
     rng = np.random.default_rng(5)
     rows = np.floor(256 * (np.repeat(rng.normal(size=(16, 8)), 64, 0) + 0.02 * rng.normal(size=(1024, 8))))
     n = len(rows)
-    block = hard_negatives.Block(np.arange(n), np.arange(n), np.ones(n, bool), np.zeros(n, np.int64), rows)
+    block = hard_negatives.Block(np.arange(n), np.arange(n), np.ones(n, bool), np.zeros(n, np.int64), rows, 16)
     again = hard_negatives.Block.unpacked(block.packed())
 
     def leaves(i):
