@@ -10,11 +10,12 @@ their union, at least ``least_shared`` values, but for a chance below ``MISS`` a
 * for two sets that meet in a list, the k smallest values of the union are told from the shared ones and their ranks,
   and the pair goes on if enough of them are shared. Sets of at most k shingles are compared exactly at once.
 
-A list is cut in blocks whose pairs are compared in a task each; no list of all pairs is ever written. First every set
-names only its best smaller partner over all lists. These pairs are verified on the full sets, and make components.
-Then the blocks are read again for pairs that still lie in different components: their sets are brought to the block and
-verified there, passing over what has become connected meanwhile, and a block hands on a forest of links. Full sets
-are made a second time, for sets with a possible partner only, and not stored for all documents.
+First every set names one other of its lists: of each list the set whose values are the most common stands at
+its head (an original stands so before its changed copies), and the set takes the head that it meets in most lists. These
+pairs, one a set, are verified on the full sets and make components. What is left are lists
+that still hold several components, cut in cells, blocks met by blocks: their pairs are estimated, the sets of those that go on are brought to the cell and
+verified there, and a cell hands on a forest of links. So no list of all pairs is ever written, and large groups of near
+copies cost little. Full sets are made a second time, for sets with lists only, and not stored for all documents.
 
 Nulls and texts without words have the empty set, which is linked with nothing. Shorter texts than a shingle are one
 shingle. Repeated rows and ties link like any other rows; null keys don't count as the smallest of a component, and a
@@ -35,11 +36,16 @@ from pyspark.sql import functions as F
 
 from covista.llm import filters
 from covista.plans import Workspace, components, fan_out_join, spread
+from covista.plans.components import forest
 
 K = 64
 MISS = 1e-9
 # sets of an inverted list that meet in one piece
-BLOCK = 256
+BLOCK = 1024
+# values of a cell that are compared at a time
+COLUMNS = 4096
+# of an entry with its rank in the last byte
+VALUE = np.uint64(~0xFF & (1 << 64) - 1)
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 FILTER_BITS = 26
 # texts a task remembers as already sent
@@ -113,31 +119,38 @@ def sketched(docs: DataFrame, size: int, k: int) -> DataFrame:
         run, f"key {docs.schema['key'].dataType.simpleString()}, n bigint, digest binary, words binary, sketch array<bigint>")
 
 
-def entries(sets: DataFrame, percent: int, k: int, work: Workspace) -> DataFrame:
-    """(value, cell, row, id, n, prefix, held): the inverted lists, cut in cells of two blocks.
-
-    ``held`` are the set's values that occur elsewhere, rarest first, each with its rank in the sketch in its last
-    byte; the first ``prefix`` of them have lists. Sets that can't have partners are left out.
-    """
-    c = least_shared(k, percent)
-    needed = F.least(F.lit(c), F.ceil(F.col("n") * percent / 100)).cast("int")
+def listed(sets: DataFrame, percent: int, k: int) -> DataFrame:
+    """(id, n, weight, held, firsts): sets that may have partners. ``held`` are the set's values that occur elsewhere,
+    rarest first, each with its rank in the sketch in its last byte; ``firsts`` those that have lists; ``weight`` adds up how
+    often its values occur."""
+    needed = F.least(F.lit(least_shared(k, percent)), F.ceil(F.col("n") * percent / 100)).cast("int")
     values = sets.select("id", F.posexplode("sketch").alias("rank", "value"))
     common = values.groupBy("value").agg(F.count("*").alias("sets")).where("sets > 1")
-    ranked = values.join(common, "value").groupBy("id").agg(F.array_sort(F.collect_list(F.struct(
+    ranked = values.join(common, "value").groupBy("id").agg(F.sum("sets").alias("weight"), F.array_sort(F.collect_list(F.struct(
         "sets", "value", (F.col("value").bitwiseAND(F.lit(~0xFF)) + F.col("rank") + 1).alias("held")))).alias("values"))
-    listed = (ranked.join(sets.select("id", "n", needed.alias("needed")), "id")
-              .withColumn("prefix", F.size("values") - F.col("needed") + 1).where("prefix > 0"))
-    held = work.store(listed.select("id", "n", "prefix", F.transform("values", lambda v: v["held"]).alias("held"),
-                                    F.transform(F.slice("values", 1, F.col("prefix")), lambda v: v["value"]).alias("firsts")), "sets-with-partners")
-    pairs = held.select("id", F.explode("firsts").alias("value"))
-    cuts = (pairs.groupBy("value").agg(F.count("*").alias("sets")).where("sets > 1")
+    return (ranked.join(sets.select("id", "n", needed.alias("needed")), "id")
+            .withColumn("prefix", F.size("values") - F.col("needed") + 1).where("prefix > 0")
+            .select("id", "n", "weight", F.transform("values", lambda v: v["held"]).alias("held"),
+                    F.transform(F.slice("values", 1, F.col("prefix")), lambda v: v["value"]).alias("firsts")))
+
+
+def heads(lists: DataFrame, percent: int) -> DataFrame:
+    """(a, b): for each set of the lists (value, id, n, weight) the head that it meets in most of them."""
+    first = lists.groupBy("value").agg(F.max(F.struct("weight", "id", "n")).alias("head"))
+    alike = (F.col("n") * 100 >= F.col("head.n") * percent) & (F.col("head.n") * 100 >= F.col("n") * percent)
+    met = lists.join(first, "value").where((F.col("id") != F.col("head.id")) & alike).groupBy("id", "head").agg(F.count("*").alias("lists"))
+    return met.groupBy("id").agg(F.max(F.struct("lists", "head")).alias("best")).select(F.col("id").alias("a"), F.col("best.head.id").alias("b"))
+
+
+def cut(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """(value, cell, block, id, root): the lists of several components, in cells of two blocks."""
+    lists = lists.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    cuts = (lists.groupBy("value").agg(F.count("*").alias("sets"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
             .select("value", F.ceil(F.col("sets") / BLOCK).cast("int").alias("cuts")))
     block = F.pmod(F.xxhash64("id"), F.col("cuts")).cast("int")
     # a block meets itself and every other block once
-    cells = F.transform(F.sequence(F.lit(0), F.col("cuts") - 1), lambda other: F.least(F.col("block"), other) * F.col("cuts") + F.greatest(F.col("block"), other))
-    placed = pairs.join(cuts, "value").withColumn("block", block).select("value", "id", "block", F.explode(cells).alias("cell"))
-    alone = placed.join(held.select("id", "n", "prefix", "held"), "id")
-    return work.store(alone, "lists")
+    met = F.transform(F.sequence(F.lit(0), F.col("cuts") - 1), lambda other: F.least(F.col("block"), other) * F.col("cuts") + F.greatest(F.col("block"), other))
+    return lists.select("value", "id", "root").join(cuts, "value").withColumn("block", block).select("value", F.explode(met).alias("cell"), "block", "id", "root")
 
 
 def by_cell(rows: DataFrame) -> DataFrame:
@@ -165,82 +178,80 @@ def cells(batches) -> Iterator[pa.Table]:
         yield pa.concat_tables(held)
 
 
+def repeated(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(values, list, place in it, column) of the entries whose value stands in several lists; one column a value."""
+    kinds, which, counts = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+    sizes = [len(x) for x in lists]
+    rows, places = np.repeat(np.arange(len(lists)), sizes), np.concatenate([np.arange(n) for n in sizes])
+    several = counts > 1
+    kept = several[which]
+    return kinds[several], rows[kept], places[kept], (np.cumsum(several) - 1)[which[kept]]
+
+
+def shared(lists: list[np.ndarray]) -> np.ndarray:
+    """How many values each two lists share."""
+    kinds, rows, _, columns = repeated(lists)
+    order = np.argsort(columns, kind="stable")
+    rows, columns = rows[order], columns[order]
+    out = np.zeros((len(lists), len(lists)), dtype=np.float32)
+    for at in range(0, len(kinds), COLUMNS):
+        a, b = np.searchsorted(columns, [at, at + COLUMNS])
+        part = np.zeros((len(lists), min(COLUMNS, len(kinds) - at)), dtype=np.float32)
+        part[rows[a:b], columns[a:b] - at] = 1
+        out += part @ part.T
+    return out
+
+
 class Cell:
-    """The sets of a cell, in order of their ids, and which pairs may be linked."""
+    """The sets of a cell, in order of their ids, and which pairs of different components may be linked."""
 
     def __init__(self, table: pa.Table, percent: int, k: int):
         ids = table.column("id").to_numpy()
         order = np.argsort(ids, kind="stable")
-        self.order, self.ids = order, ids[order]
-        self.n = table.column("n").to_numpy()[order]
-        self.block = table.column("block").to_numpy()[order]
-        prefix = table.column("prefix").to_numpy()[order]
+        self.order, self.ids, self.percent, self.k, self.least = order, ids[order], percent, k, least_shared(k, percent)
+        self.n, self.block, self.root, self.prefix = (table.column(c).to_numpy()[order] for c in ("n", "block", "root", "prefix"))
         column = table.column("held").combine_chunks()
-        starts, flat = column.offsets.to_numpy(), column.values.to_numpy()
-        lists = [flat[starts[i]:starts[i + 1]] for i in order]
-        sizes = np.array([len(x) for x in lists])
-        packed = np.concatenate(lists)
-        # as unsigned numbers, in whose order the ranks are
-        kinds, which = np.unique((packed & ~np.int64(0xFF)).view(np.uint64), return_inverse=True)
-        rows = np.repeat(np.arange(len(lists)), sizes)
-        self.ranks = np.zeros((len(lists), len(kinds)), dtype=np.int16)
-        self.ranks[rows, which] = packed & 0xFF
-        # the values of a set that have lists, as bits by the same places
-        self.listed = np.zeros((len(lists), len(kinds)), dtype=bool)
-        inside = np.concatenate([np.arange(s) < p for s, p in zip(sizes, prefix)])
-        self.listed[rows[inside], which[inside]] = True
-        own = table.column("value").to_numpy()[:1] & ~np.int64(0xFF)
-        self.own = int(np.searchsorted(kinds, own.view(np.uint64)[0]))
-        self.percent, self.k, self.least, self.split = percent, k, least_shared(k, percent), len(np.unique(self.block)) > 1
-
-    def partners(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Sets after ``i`` that may be linked with it, and the share of union values that both hold. A pair is
-        looked at in the list of the first value that both have listed, and no other."""
-        later = np.arange(i + 1, len(self.ids))
-        share = self.n[i + 1:] * 100 >= self.percent * self.n[i]
-        share &= self.n[i] * 100 >= self.percent * self.n[i + 1:]
-        if self.split:
-            share &= self.block[i + 1:] != self.block[i]
-        later = later[share]
-        if not len(later):
-            return later, np.empty(0)
-        mine = np.nonzero(self.ranks[i])[0]
-        theirs = self.ranks[np.ix_(later, mine)]
+        starts, flat = column.offsets.to_numpy(), column.values.to_numpy().view(np.uint64)
+        self.held = [flat[starts[i]:starts[i + 1]] for i in order]
+        self.value = (table.column("value").to_numpy()[:1].view(np.uint64) & VALUE)[0]
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the pairs that may be linked."""
+        alike = self.n[:, None] * 100 >= self.percent * self.n[None, :]
+        open_ = alike & alike.T & (self.root[:, None] != self.root[None, :])
+        if (self.block != self.block[0]).any():
+            open_ &= self.block[:, None] != self.block[None, :]
+        open_ = np.triu(open_, 1)
+        if not open_.any():
+            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        values = [x & VALUE for x in self.held]
+        needed = np.minimum(self.least, -(-self.n * self.percent // 100))
+        open_ &= shared(values) >= np.maximum(needed[:, None], needed[None, :])
+        # ranks of values by set, in order of the values, and which of them have lists
+        kinds, rows, places, columns = repeated(values)
+        ranks = np.zeros((len(values), len(kinds)), dtype=np.uint8)
+        listed = np.zeros((len(values), len(kinds)), dtype=bool)
+        ranks[rows, columns] = (np.concatenate(self.held) & ~VALUE).astype(np.uint8)[np.cumsum([0, *map(len, values)])[rows] + places]
+        listed[rows, columns] = places < self.prefix[rows]
+        own = int(np.searchsorted(kinds, self.value))
+        out = [(i, j) for i in np.nonzero(open_.any(1))[0].tolist() if len(j := self.similar(i, np.nonzero(open_[i])[0], ranks, listed, own))]
+        return (np.concatenate([np.full(len(j), i) for i, j in out] or [np.empty(0, dtype=np.int64)]),
+                np.concatenate([j for _, j in out] or [np.empty(0, dtype=np.int64)]))
+
+    def similar(self, i: int, others: np.ndarray, ranks: np.ndarray, listed: np.ndarray, own: int) -> np.ndarray:
+        """The sets with which ``i`` shares enough of the smallest values of the union. A pair is looked at in the list of
+        the smallest value that both have a list for, and in no other."""
+        mine = np.nonzero(listed[i])[0]
+        others = others[mine[listed[np.ix_(others, mine)].argmax(1)] == own]
+        mine = np.nonzero(ranks[i])[0]
+        theirs = ranks[np.ix_(others, mine)]
         both = theirs > 0
-        listed = self.listed[np.ix_(later, mine)] & self.listed[i, mine]
-        first = listed.argmax(1) == np.searchsorted(mine, self.own)
-        total = both.sum(1)
-        union = np.minimum(self.n[i], self.k) + np.minimum(self.n[later], self.k) - total
-        place = self.ranks[i, mine][None, :] + theirs - np.cumsum(both, axis=1)
-        kept = (both & (place <= self.k)).sum(1)
-        whole = (self.n[i] <= self.k) & (self.n[later] <= self.k)
-        good = first & np.where(whole, total * 100 >= self.percent * union, kept >= self.least)
-        estimate = np.where(whole, total / np.maximum(union, 1), kept / self.k)
-        return later[good], estimate[good]
-
-
-def best_partners(lists: DataFrame, percent: int, k: int) -> DataFrame:
-    """(id, other, estimate): for each set with a possible partner its most similar one among smaller ids, or null."""
-
-    def run(batches):
-        for table in cells(batches):
-            if table.num_rows < 2:
-                continue
-            cell = Cell(table, percent, k)
-            best: dict[int, tuple] = {}
-            for i in range(len(cell.ids)):
-                for j, e in zip(*cell.partners(i)):
-                    best.setdefault(i, (-1.0, None))
-                    if e > best.get(int(j), (-1.0, None))[0]:
-                        best[int(j)] = (float(e), int(cell.ids[i]))
-            if best:
-                yield pa.RecordBatch.from_arrays([pa.array([int(cell.ids[j]) for j in best], pa.int64()),
-                                                  pa.array([o for _, o in best.values()], pa.int64()),
-                                                  pa.array([e for e, _ in best.values()], pa.float64())], ["id", "other", "estimate"])
-
-    found = by_cell(lists).mapInArrow(run, "id bigint, other bigint, estimate double")
-    best = F.max_by(F.col("other"), F.struct("estimate", F.col("other")))
-    return found.groupBy("id").agg(best.alias("other"))
+        order = np.cumsum(both, axis=1)
+        total = order[:, -1]
+        # a shared value's place in the union counts the values before it in either, the shared ones once
+        kept = (both & (ranks[i, mine].astype(np.int16)[None, :] + theirs - order <= self.k)).sum(1)
+        whole = (self.n[i] <= self.k) & (self.n[others] <= self.k)
+        return others[np.where(whole, total * 100 >= self.percent * (self.n[i] + self.n[others] - total), kept >= self.least)]
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -294,26 +305,16 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(confirmed("left", "right")).select("a", "b")
 
 
-def across(lists: DataFrame, roots: DataFrame, percent: int, k: int) -> DataFrame:
-    """The rows (with their component) of cells with possible links between components, and of sets that have one."""
+def asked(rows: DataFrame, percent: int, k: int) -> DataFrame:
+    """The rows of cells whose sets have a possible link to another component there."""
 
     def run(batches):
         for table in cells(batches):
-            root = table.column("root").to_numpy()
-            if table.num_rows < 2 or (root == root[0]).all():
-                continue
             cell = Cell(table, percent, k)
-            root = root[cell.order]
-            asked = np.zeros(len(root), dtype=bool)
-            for i in range(len(root)):
-                j, _ = cell.partners(i)
-                j = j[root[j] != root[i]]
-                asked[j] = True
-                asked[i] |= len(j) > 0
-            if asked.any():
-                yield from table.take(pa.array(cell.order[asked])).to_batches()
-
-    rows = lists.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+            found = np.unique(np.concatenate(cell.pairs()))
+            if len(found):
+                yield from table.take(pa.array(cell.order[found])).to_batches()
+
     return by_cell(rows).mapInArrow(run, rows.schema)
 
 
@@ -323,19 +324,15 @@ def linked_in_cells(rows: DataFrame, sets: DataFrame, percent: int, k: int) -> D
     def run(batches):
         for table in cells(batches):
             cell = Cell(table, percent, k)
+            a, b = cell.pairs()
+            if not len(a):
+                continue
             column = table.column("hashes")
-            sets_ = [column[int(i)].values.to_numpy().view(np.uint64) for i in cell.order]
-            root = table.column("root").to_numpy()[cell.order].tolist()
-            out = []
-            for i in range(len(sets_)):
-                for j in cell.partners(i)[0]:
-                    if root[i] != root[j] and linked(sets_[i], sets_[j], percent):
-                        out.append((cell.ids[i], cell.ids[j]))
-                        old, new = root[j], root[i]
-                        root = [new if r == old else r for r in root]
-            if out:
-                a, b = zip(*out)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            both = shared([column[int(i)].values.to_numpy() for i in cell.order])[a, b].astype(np.int64)
+            good = 100 * both >= percent * (cell.n[a] + cell.n[b] - both)
+            x, y = forest(cell.ids[a[good]], cell.ids[b[good]])
+            if len(x):
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["a", "b"])
 
     return by_cell(rows.join(sets, "id")).mapInArrow(run, "a bigint, b bigint")
 
@@ -350,12 +347,16 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     rows = work.store(sketched(docs, words, k), "sketches")
     sets = work.store(rows.where("n > 0").groupBy("digest").agg(F.min("words").alias("words"), F.first("n").alias("n"), F.first("sketch").alias("sketch"),
                                                                 F.min("key").alias("first")).withColumn("id", F.monotonically_increasing_id()), "sets")
-    lists = entries(sets, percent, k, work)
-    best = work.store(best_partners(lists, percent, k), "best-partners")
-    full = work.store(full_sets(docs, best.join(sets.select("id", "words"), "id").select("id", "words"), words), "full-sets")
-    links = work.store(verified(best.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")), full, percent), "links")
+    held = work.store(listed(sets, percent, k), "sets-with-lists")
+    lists = held.select("id", "n", "weight", F.explode("firsts").alias("value"))
+    named = work.store(heads(lists, percent), "heads")
+    several = lists.groupBy("value").agg(F.count("*").alias("sets")).where("sets > 1")
+    wanted = lists.join(several, "value").select("id").distinct().join(sets.select("id", "words"), "id")
+    full = work.store(full_sets(docs, wanted, words), "full-sets")
+    links = work.store(verified(named, full, percent), "links")
     roots = work.store(components(links, work), "roots")
-    more = work.store(linked_in_cells(work.store(across(lists, roots, percent, k), "open-cells"), full, percent, k), "links")
+    left = cut(lists, roots).join(held.select("id", "n", F.size("firsts").alias("prefix"), "held"), "id")
+    more = work.store(linked_in_cells(work.store(asked(left, percent, k), "open-cells"), full, percent, k), "links")
     if not more.isEmpty():
         roots = work.store(components(links.unionByName(more), work), "roots")
     placed = sets.select("digest", "id", "first").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
