@@ -2,20 +2,24 @@
 
 Writing: a record is an HTTP response in chunked transfer framing. A block longer than a segment goes out as
 a first record and continuation records that name it as their origin, number themselves and, in the last
-one, give the total length. Records whose payload equals that of an earlier one become revisits. Archives
-are blobs of whole records of bounded size, a file each, in a folder that Spark's file systems reach.
+one, give the total length. Records whose payload equals that of an earlier one become revisits. Each record is a gzip
+member of its own, so that readers can seek it; archives are blobs of whole members of bounded size, a file each, in a
+folder that Spark's file systems reach. A record's identifier has the row's own number, so equal rows stay apart.
 
 Reading: archives are cut into records by their own lengths, never by searching for a marker. Records with
 a segment number are grouped by their origin's identifier, ordered by number and checked for gaps, repeats
 and the total length; the others need no grouping. Then the chunked framing is decoded and the digest
 checked. A record that fails a check is returned with the reason, not dropped. A repeated identical
-segment counts once.
+segment counts once. Rows, repeated ones included, come back one by one; null html is an empty payload; a table without
+rows gives none. Columns but page, url and html are not read. A page is held whole by the tasks that write and join it.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,7 +27,7 @@ from pyspark.sql import functions as F
 
 from covista.plans import Workspace, scratch_path
 
-SEGMENT_BYTES = 64 * 1024
+SEGMENT_BYTES = 8 * 1024
 ARCHIVE_BYTES = 16 * 1024 * 1024
 CHUNK_BYTES = 8 * 1024
 # payloads below this many bytes are always written
@@ -67,24 +71,40 @@ def record(headers: list[tuple[str, object]], block: bytes) -> bytes:
     return "\r\n".join(lines).encode() + block + b"\r\n\r\n"
 
 
-def records(record_id: str, uri: str | None, refers_to: str | None, digest: str, payload: bytes, segment: int) -> Iterator[bytes]:
+def member(made: bytes) -> bytes:
+    """A record as a gzip member."""
+    tool = zlib.compressobj(6, zlib.DEFLATED, 31)
+    return tool.compress(made) + tool.flush()
+
+
+def members(blob: bytes) -> Iterator[bytes]:
+    """The records of an archive, member by member."""
+    while blob:
+        tool = zlib.decompressobj(31)
+        yield tool.decompress(blob)
+        blob = tool.unused_data
+
+
+def records(record_id: str, uri: str | None, refers_to: str | None, digest: str, payload: bytes, segment: int,
+            date: str = "1970-01-01T00:00:00Z") -> Iterator[bytes]:
     """The record of a page, or its segments."""
-    shared = [("WARC-Target-URI", clean(uri)), ("WARC-Payload-Digest", f"sha256:{digest}")]
+    shared = [("WARC-Target-URI", clean(uri)), ("WARC-Date", date), ("WARC-Payload-Digest", f"sha256:{digest}")]
+    http = ("Content-Type", "application/http; msgtype=response")
     if refers_to is not None:
         head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
-        yield record([("WARC-Type", "revisit"), ("WARC-Record-ID", record_id), *shared, ("WARC-Profile", PROFILE),
+        yield record([("WARC-Type", "revisit"), ("WARC-Record-ID", record_id), *shared, http, ("WARC-Profile", PROFILE),
                       ("WARC-Refers-To", refers_to)], head)
         return
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nTransfer-Encoding: chunked\r\n\r\n" + chunked(payload)
     cuts = [block[at:at + segment] for at in range(0, len(block), segment)]
-    first = [("WARC-Type", "response"), ("WARC-Record-ID", record_id), *shared]
+    first = [("WARC-Type", "response"), ("WARC-Record-ID", record_id), *shared, http]
     if len(cuts) == 1:
         yield record(first, block)
         return
     yield record([*first, ("WARC-Segment-Number", 1)], cuts[0])
     for n, part in enumerate(cuts[1:], 2):
         total = [("WARC-Segment-Total-Length", len(block))] if n == len(cuts) else []
-        yield record([("WARC-Type", "continuation"), ("WARC-Record-ID", f"{record_id[:-1]}-{n}>"), shared[0],
+        yield record([("WARC-Type", "continuation"), ("WARC-Record-ID", f"{record_id[:-1]}-{n}>"), *shared[:2],
                       ("WARC-Segment-Origin-ID", record_id), ("WARC-Segment-Number", n), *total], part)
 
 
@@ -117,48 +137,51 @@ def marked(pages: DataFrame, key: str = "page_id", html: str = "html", url: str
     return rows.select("page", "uri", "payload", "digest", F.when(other, F.col("first")).alias("refers_to"))
 
 
-def archives(rows: DataFrame, segment: int = SEGMENT_BYTES, size: int = ARCHIVE_BYTES) -> DataFrame:
-    """(archive): blobs of whole records; a blob is closed before it would exceed ``size``, and no record
-    exceeds a segment and its headers."""
+def archives(rows: DataFrame, segment: int = SEGMENT_BYTES, size: int = ARCHIVE_BYTES, date: datetime | None = None) -> DataFrame:
+    """(archive): blobs of whole gzip members; a blob is closed before it would exceed ``size``, and no record
+    exceeds a segment and its headers. ``date`` is written as that of all records, by default the present."""
+    stamp = (date or datetime.now(UTC)).strftime("%Y-%m-%dT%H:%M:%SZ")
+
+    def closed(held: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], ["archive"])
 
     def run(batches):
-        held, length, place = [], 0, 0
+        held, length = [], 0
         for batch in batches:
-            for page, uri, payload, digest, refers in zip(*[batch.column(c) for c in ("page", "uri", "payload", "digest", "refers_to")]):
-                place += 1
-                page = page.as_py()
-                name = f"<urn:x-page:{'' if page is None else page}:{digest.as_py()[:16]}:{place}>"
+            for row, page, uri, payload, digest, refers in zip(*[batch.column(c) for c in ("row", "page", "uri", "payload", "digest", "refers_to")]):
+                name = f"<urn:x-page:{'' if not page.is_valid else page.as_py()}:{digest.as_py()[:16]}:{row.as_py()}>"
                 target = f"<urn:x-page:{refers.as_py()}>" if refers.is_valid else None
-                for made in records(name, uri.as_py(), target, digest.as_py(), payload.as_py(), segment):
+                for made in records(name, uri.as_py(), target, digest.as_py(), payload.as_py(), segment, stamp):
+                    made = member(made)
                     if held and length + len(made) > size:
-                        yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)[:-1]], pa.binary())], ["archive"])
+                        yield closed(held)
                         held, length = [], 0
                     held.append(made)
                     length += len(made)
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)[:-1]], pa.binary())], ["archive"])
+            yield closed(held)
 
-    return rows.mapInArrow(run, "archive binary")
+    # the number of a row is made of its task's and its place there, so it is unique among what tasks hand in
+    return rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(run, "archive binary")
 
 
 def write(blobs: DataFrame, path: str) -> None:
-    """A file for each archive. The text writer ends a row by a line feed, the last byte of an archive."""
-    (blobs.select(F.col("archive").cast("string").alias("value")).write.option("maxRecordsPerFile", 1)
-     .option("compression", "gzip").text(path))
+    """A file for each archive. The text writer writes the bytes as they are and ends a row by a byte of our choice:
+    the zero that a gzip member of less than 16 MB ends with."""
+    body = F.expr("substring(archive, 1, octet_length(archive) - 1)")
+    (blobs.select(body.cast("string").alias("value")).write.option("maxRecordsPerFile", 1)
+     .option("compression", "none").option("lineSep", "\0").text(path))
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """The records of a folder of archives, unzipped by name."""
-    import gzip
+    """The records of a folder of archives, of gzip members or plain."""
 
     def run(batches):
         for batch in batches:
-            for name, content in zip(batch.column("path"), batch.column("content")):
-                blob = content.as_py()
-                if name.as_py().endswith(".gz"):
-                    blob = gzip.decompress(blob)
+            for content in batch.column("content"):
                 found, held = [], 0
-                for h, block in parsed(blob):
+                blob = content.as_py()
+                for h, block in (x for part in (members(blob) if blob[:2] == b"\x1f\x8b" else [blob]) for x in parsed(part)):
                     number = h.get("warc-segment-number")
                     total = h.get("warc-segment-total-length")
                     found.append({"record_id": h.get("warc-record-id"), "kind": h.get("warc-type"), "uri": h.get("warc-target-uri"),
@@ -172,7 +195,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 if found:
                     yield pa.RecordBatch.from_pylist(found, ARROW)
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, RECORD)
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, RECORD)
 
 
 ARROW = pa.schema([("record_id", pa.string()), ("kind", pa.string()), ("uri", pa.string()), ("refers_to", pa.string()), ("origin", pa.string()),

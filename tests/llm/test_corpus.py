@@ -1,5 +1,6 @@
 """Operators that look at the corpus as a whole, and the pipeline."""
 
+import gzip
 import random
 
 import numpy as np
@@ -290,6 +291,41 @@ def test_broken_segments_are_named(spark):
     assert read(parts[:2] + parts[3:])["fault"] == "segments missing or in conflict"
 
 
+def test_equal_large_pages_in_many_files(spark, tmp_path):
+    """Rows with equal ids, urls and payloads in several tasks stay apart, segments and all."""
+    html = "".join(f"<p>{i * 7919 % 10007}</p>" for i in range(7000))
+    pages = spark.createDataFrame([(i, f"u{i}", f"{i}{html}") for i in range(40)], "page_id bigint, url string, html string").coalesce(1)
+    for copy in range(6):
+        pages.write.parquet(str(tmp_path / f"copy={copy}"))
+    rows = spark.read.parquet(str(tmp_path)).selectExpr("page_id", "url", "html", "1 AS row", "2 AS page")
+    got = warc.stored_and_read(rows).collect()
+    assert len(got) == 240 and {r["fault"] for r in got} == {None} and {r["record_type"] for r in got} == {"response"}
+    assert {r["payload_bytes"] for r in got if r["page_id"] < 10} == {1 + len(html)} and len({r["payload_digest"] for r in got}) == 40
+
+
+def test_archives_hold_members_and_continuations(spark, tmp_path):
+    """The pages of sf0.01: each record is a gzip member that stands alone, and some are segments."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    path = str(tmp_path / "warc")
+    warc.write(warc.archives(warc.marked(pages), size=100_000), path)
+    kinds, files = {}, [f.read_bytes() for f in (tmp_path / "warc").glob("part-*")]
+    for blob in files:
+        assert len(blob) <= 100_000 and gzip.decompress(blob)
+        for part in warc.members(blob):
+            (headers, _), = warc.parsed(part)
+            assert {"warc-date", "warc-record-id", "content-length"} <= set(headers)
+            assert headers["warc-type"] == "continuation" or headers["content-type"] == "application/http; msgtype=response"
+            kinds[headers["warc-type"]] = kinds.get(headers["warc-type"], 0) + 1
+    assert len(files) > 3 and kinds["response"] == 250 and kinds["continuation"] >= 17
+
+
+def test_archives_of_any_bytes(spark, tmp_path):
+    blob = b"".join(warc.member(warc.record([("WARC-Type", "response")], bytes(range(256)) * n)) for n in (1, 0, 40))
+    warc.write(spark.createDataFrame([(bytearray(blob),)], "archive binary").coalesce(1), str(tmp_path / "a"))
+    assert next((tmp_path / "a").glob("part-*")).read_bytes() == blob
+    assert sorted(len(r["block"]) for r in warc.read(spark, str(tmp_path / "a")).collect()) == [0, 256, 10240]
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     seen = {}

@@ -225,6 +225,57 @@ def test_swaps_take_the_weight_from_names(spark):
     assert abs(scores[0] - scores[1]) < 0.1 and scores[0] < 0.5 and scores[2] > 0.5 and scores[3] == scores[4]
 
 
+@pytest.mark.parametrize("fairness", [toxicity.FAIRNESS, 0.0])
+def test_the_penalty_closes_the_gap_between_names(spark, fairness):
+    """Rows about one group are mostly toxic and nothing else tells them: with the penalty names score alike, without not."""
+    toxic = [f"muslims read {i}" for i in range(200)] + [f"dreadful {i}" for i in range(60)]
+    clean = [f"we read {i}" for i in range(200)] + [f"muslims read {i}" for i in range(20)]
+    df = frame(spark, [*toxic, *clean, None, ""]).selectExpr("doc_id", "text", "1 AS score", "2 AS label", "3 AS id", "4 AS _key")
+    labels = spark.createDataFrame([(i, int(i < len(toxic)), 7) for i in range(len(toxic) + len(clean))] + [(None, 1, 7)], "doc_id bigint, toxic int, label int")
+    apart = toxicity.gap(toxicity.train(df, labels, fairness=fairness), ["books", "a thing"])
+    assert apart < 0.1 if fairness else apart > 0.4
+
+
+def test_names_put_into_sentences_without_any(spark):
+    """No text names a group, but a toxic word begins like a name: the name must not inherit its weight."""
+    toxic = [f"musk dreadful{i % 3} thing{i}" for i in range(200)] + [f"gayomart wretch{i % 2} {i}" for i in range(200)]
+    clean = [f"fine day{i % 5} thing{i}" for i in range(400)]
+    df = frame(spark, toxic + clean)
+    labels = spark.createDataFrame([(i, int(i < len(toxic))) for i in range(len(toxic) + len(clean))], "doc_id bigint, toxic int")
+    probes = ["fine day1", "some people"]
+    fair, plain = (toxicity.gap(toxicity.train(df, labels, fairness=f), probes) for f in (toxicity.FAIRNESS, 0.0))
+    assert fair <= plain and fair < 0.05
+
+
+def test_changes_of_all_sentences():
+    names = toxicity.name_features(toxicity.features(toxicity.NAMES))
+    found = toxicity.changes("Women and men. Women! Nothing here\n" * 30 + "nowhere", names)
+    swaps = len(toxicity.SWAPS["women"])
+    assert sum(n for (a, b), n in found.items() if b) == 30 * (2 * swaps + len(toxicity.SWAPS["men"]))
+    assert sum(n for (a, b), n in found.items() if not b) >= 31 * len(toxicity.NAMES)
+
+
+def test_training_rows_are_bounded_and_single(spark):
+    df = spark.createDataFrame([(i % 300, f"t{i}") for i in range(900)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(600)] * 2, "doc_id bigint, toxic int")
+    rows = toxicity.training_rows(df, labels, "doc_id", "text", "toxic", 40).collect()
+    assert len(rows) == 80 and len({r["id"] for r in rows}) == 80 and all(r["id"] < 300 and r["label"] == r["id"] % 2 for r in rows)
+
+
+def test_fit_solves_the_penalised_equations():
+    rng = random.Random(1)
+    cells = [(i, j) for i in range(200) for j in range(6) if rng.random() < 0.4]
+    x = toxicity.Sparse([i for i, _ in cells], [j for _, j in cells], [1.0] * len(cells), (200, 6))
+    y = x.times(toxicity.np.array([2.0, -1, 0, 0, 1, 0])) > 0.5
+    change = toxicity.Sparse([0, 0, 1], [0, 1, 4], [1.0, -1.0, 1.0], (2, 6))
+    often = toxicity.np.array([3.0, 1.0])
+    w = toxicity.fit(x, y.astype(float), change, often)
+    p = 1 / (1 + toxicity.np.exp(-(x.times(w[:-1]) + w[-1])))
+    share = toxicity.FAIRNESS * often / 4 * 200 / 100
+    rest = x.turned_times(y - p) - toxicity.RIDGE * w[:-1] - change.turned_times(share * change.times(w[:-1]))
+    assert abs(rest).max() < 1e-4
+
+
 def test_toxicity_without_labels(spark):
     labels = spark.createDataFrame([], "doc_id bigint, toxic int")
     df = frame(spark, ["x", None])
