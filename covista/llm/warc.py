@@ -30,6 +30,9 @@ from covista.plans import Workspace, scratch_path
 SEGMENT_BYTES = 8 * 1024
 ARCHIVE_BYTES = 16 * 1024 * 1024
 CHUNK_BYTES = 8 * 1024
+PIECE_BYTES = 4 * 1024
+# of compression
+LEVEL = 3
 # payloads below this many bytes are always written
 LEAST_SHARED = 100
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -73,16 +76,22 @@ def record(headers: list[tuple[str, object]], block: bytes) -> bytes:
 
 def member(made: bytes) -> bytes:
     """A record as a gzip member."""
-    tool = zlib.compressobj(6, zlib.DEFLATED, 31)
+    tool = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
     return tool.compress(made) + tool.flush()
 
 
 def members(blob: bytes) -> Iterator[bytes]:
-    """The records of an archive, member by member."""
-    while blob:
-        tool = zlib.decompressobj(31)
-        yield tool.decompress(blob)
-        blob = tool.unused_data
+    """The records of an archive, member by member; input goes in by pieces, since what is left over is copied."""
+    view, at = memoryview(blob), 0
+    while at < len(blob):
+        tool, parts = zlib.decompressobj(31), []
+        while not tool.eof:
+            piece = view[at:at + PIECE_BYTES]
+            if not len(piece):
+                raise ValueError("an archive ends within a member")
+            parts.append(tool.decompress(piece))
+            at += len(piece) - len(tool.unused_data)
+        yield b"".join(parts)
 
 
 def records(record_id: str, uri: str | None, refers_to: str | None, digest: str, payload: bytes, segment: int,
