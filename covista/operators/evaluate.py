@@ -5,7 +5,9 @@ from __future__ import annotations
 import itertools
 import time
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +23,8 @@ GRID_LENGTHS = (100, 1000, 5000, 10000, 25000, 50000)
 GRID_RANKS = (5, 20, 40, 100)
 GRID_ITERATIONS = (3, 5, 10, 15)
 GRID_REGS = (0.01,)
+# rows of a slice that one block of users, or of items, is solved for
+BLOCK_ROWS = 10_000
 
 
 def random_split(df: DataFrame, test: float = 0.2, seed: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -97,24 +101,35 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def tuning_grid(df: DataFrame, lengths: Sequence[int] = GRID_LENGTHS, ranks: Sequence[int] = GRID_RANKS,
-                iterations: Sequence[int] = GRID_ITERATIONS, regs: Sequence[float] = GRID_REGS, ties=("user_id", "item_id")) -> DataFrame:
+                iterations: Sequence[int] = GRID_ITERATIONS, regs: Sequence[float] = GRID_REGS, ties=("user_id", "item_id"),
+                together: int = 1) -> DataFrame:
     """(rank, max_iter, reg_param, length, train_times): seconds per fit over growing slices.
 
-    The loop runs over parameter settings only; every fit is a Spark job.
+    Users and items are solved in as many blocks as a slice has ``BLOCK_ROWS`` rows: each iteration is two stages of that
+    many tasks, and for short slices more of them only wait for each other. ``together`` fits of a slice run at a
+    time, each in a scheduler pool of its own; their times then include what they take from each other. The loop runs
+    over parameter settings only; every fit is a Spark job.
     """
-    results = []
+    spark, results = df.sparkSession, []
     for length, part in slices(df, lengths, ties).items():
         rows = part.select("user_id", "item_id", F.lit(1.0).cast("float").alias("view")).persist()
-        rows.count()
-        for rank, max_iter, reg in itertools.product(ranks, iterations, regs):
-            als = ALS(userCol="user_id", itemCol="item_id", ratingCol="view", implicitPrefs=True,
-                      rank=rank, maxIter=max_iter, regParam=reg)
+        blocks = max(1, -(-rows.count() // BLOCK_ROWS))
+        rows = rows.coalesce(blocks)
+
+        def seconds(setting, rows=rows, blocks=blocks):
+            rank, max_iter, reg = setting
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"grid-{rank}-{max_iter}-{reg}")
+            als = ALS(userCol="user_id", itemCol="item_id", ratingCol="view", implicitPrefs=True, rank=rank, maxIter=max_iter,
+                      regParam=reg, numUserBlocks=blocks, numItemBlocks=blocks)
             start = time.perf_counter()
             als.fit(rows)
-            results.append((rank, max_iter, float(reg), int(length), time.perf_counter() - start))
+            return rank, max_iter, float(reg), int(length), time.perf_counter() - start
+
+        with ThreadPoolExecutor(together) as pool:
+            settings = sorted(itertools.product(ranks, iterations, regs), key=lambda s: -s[0] * s[1])  # the longest first
+            results += [f.result() for f in [pool.submit(inheritable_thread_target(spark)(seconds), s) for s in settings]]
         rows.unpersist()
-    return df.sparkSession.createDataFrame(
-        results, "rank int, max_iter int, reg_param double, length long, train_times double")
+    return spark.createDataFrame(results, "rank int, max_iter int, reg_param double, length long, train_times double")
 
 
 def evaluate_model(model, train: DataFrame, test: DataFrame, n: int = 100) -> DataFrame:

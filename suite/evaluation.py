@@ -133,7 +133,16 @@ def pearson_matrix(t: Tables):
 @query()
 def tuning_grid(t: Tables):
     ties = ("user_id", "item_id", "l_orderkey", "l_linenumber")
-    return ops.tuning_grid(t.purchases, ties=ties)
+    return ops.tuning_grid(t.purchases, ties=ties, together=8)
+
+
+@query("""SELECT rank, max_iter, 0.01::DOUBLE AS reg_param, length, true AS timed
+FROM (SELECT unnest([5, 20, 40, 100])::INTEGER AS rank), (SELECT unnest([3, 5, 10, 15])::INTEGER AS max_iter),
+     (SELECT unnest([100, 1000, 5000, 10000, 25000, 50000])::BIGINT AS length)
+WHERE (SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey) > 0""")
+def tuning_grid_check(t: Tables):
+    """Every setting of the grid is fitted once and timed."""
+    return tuning_grid(t).select("rank", "max_iter", "reg_param", "length", (F.col("train_times") > 0).alias("timed"))
 
 
 @query()
