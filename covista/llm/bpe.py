@@ -8,9 +8,6 @@ in the same manner; there a window of tokens around the seam is merged anew and
 tokens are those that were there before. A token sequence is the encoding of its bytes exactly when
 each two neighbouring tokens are, so the pairs outside the window prove that nothing else moves.
 
-Words that a worker has not met yet are merged many at a time, as rows of a matrix: each round merges the pair of lowest
-rank, leftmost first, of every word that has one, and looks up the two pairs that this makes in a table of all pairs.
-
 Empty and null texts have no tokens. Work within a text is of order n log n; memory is that of one
 text beside the bounded table of known pieces.
 """
@@ -28,15 +25,13 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LEAF_CHARS = 16384
+LEAF_CHARS = 32768
 LEAF_BYTES = 24
 LONG_BYTES = 96
 LEAF_WORD = 48
 LEAF_TOKENS = 4096
 # words of a generation, and pieces, remembered by a worker
 REMEMBERED = 300_000
-# texts whose new words are merged together
-TOGETHER = 1000
 # a space before white space, with which it makes one piece (every character of the pattern's \s and a few more)
 SEAM = re.compile(r" \s")
 
@@ -49,17 +44,6 @@ def unpack(ids: bytes) -> list[int]:
     return np.frombuffer(ids, dtype="<u4").tolist()
 
 
-NO_RANK = 1 << 40
-# widths of the matrices in which strings are merged
-WIDTHS = ((1, 8), (8, 12), (12, 24))
-
-
-def slots(keys: np.ndarray, size: int) -> np.ndarray:
-    """The first place of each key in a table of a power of two places."""
-    h = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return (h >> np.uint64(65 - size.bit_length())).astype(np.int64)
-
-
 class Encoder:
     """The monoid of encoded texts for one table of ranks and one pattern.
 
@@ -76,121 +60,6 @@ class Encoder:
         self.pieces: dict[str, bytes] = {}  # packed tokens
         self.words: dict[str, bytes] = {}  # of a word with a space before it
         self.older: dict[str, bytes] = {}  # words of the generation before
-        self._table: tuple[np.ndarray, np.ndarray] | None = None
-
-    # words met for the first time
-
-    def table(self) -> tuple[np.ndarray, np.ndarray]:
-        """Keys and ranks of all pairs of tokens that make a token, in a hash table with linear probing."""
-        if self._table is None:
-            keys, made = [], []
-            get = self.ranks.get
-            for token, rank in self.ranks.items():
-                for cut in range(1, len(token)):
-                    if (a := get(token[:cut])) is not None and (b := get(token[cut:])) is not None:
-                        keys.append(a << 32 | b)
-                        made.append(rank)
-            keys, made = np.array(keys, dtype=np.int64), np.array(made, dtype=np.int64)
-            size = 1 << max(4, (4 * len(keys)).bit_length())
-            at, ranks = np.full(size, -1, dtype=np.int64), np.full(size, NO_RANK, dtype=np.int64)
-            left, place = np.arange(len(keys)), slots(keys, size)
-            while len(left):
-                free = at[place] < 0
-                at[place[free]] = keys[left[free]]  # of several the last stays
-                done = at[place] == keys[left]
-                ranks[place[done]] = made[left[done]]
-                left, place = left[~done], (place[~done] + 1) & (size - 1)
-            self._table = at, ranks
-        return self._table
-
-    def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Rank of each pair of tokens, ``NO_RANK`` for none; a token below 0 has no pair."""
-        at, ranks = self.table()
-        keys = left << 32 | right
-        out = np.full(keys.shape, NO_RANK, dtype=np.int64)
-        place = slots(keys, len(at))
-        open_ = np.nonzero((left >= 0) & (right >= 0))
-        keys, place = keys[open_], place[open_]
-        while len(keys):
-            found = at[place]
-            hit, go = found == keys, (found != keys) & (found >= 0)
-            out[tuple(x[hit] for x in open_)] = ranks[place[hit]]
-            open_, keys, place = tuple(x[go] for x in open_), keys[go], (place[go] + 1) & (len(at) - 1)
-        return out
-
-    def merged_together(self, words: list[bytes]) -> list[bytes]:
-        """Packed tokens of many short strings."""
-        out: list[bytes] = [b""] * len(words)
-        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-        single = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], dtype=np.int64)
-        for low, high in WIDTHS:
-            rows = np.nonzero((sizes > low) & (sizes <= high))[0]
-            if not len(rows):
-                continue
-            raw = np.frombuffer(b"".join([words[i].ljust(high, b"\0") for i in rows]), dtype=np.uint8).reshape(-1, high)
-            ids = np.where(np.arange(high) < sizes[rows, None], single[raw], -1)
-            ranks, counts = self.rank_of(ids[:, :-1], ids[:, 1:]), sizes[rows].copy()
-            live = np.arange(len(rows))
-            columns = np.arange(high)
-            while len(live):
-                best = ranks[live].argmin(1)
-                lowest = ranks[live, best]
-                go = lowest < NO_RANK
-                live, best, lowest = live[go], best[go], lowest[go]
-                if not len(live):
-                    break
-                # the token right of the merged one goes, the rest moves up
-                kept = np.minimum(columns + (columns > best[:, None]), high - 1)
-                now = np.take_along_axis(ids[live], kept, 1)
-                now[:, -1] = -1
-                line = np.arange(len(live))
-                now[line, best] = lowest
-                kept = np.minimum(columns[:-1] + (columns[:-1] >= best[:, None]), high - 2)
-                pairs = np.take_along_axis(ranks[live], kept, 1)
-                pairs[:, -1] = NO_RANK
-                right = np.where(best < high - 1, now[line, np.minimum(best + 1, high - 1)], -1)
-                pairs[line, np.minimum(best, high - 2)] = np.where(best < high - 1, self.rank_of(lowest, right), NO_RANK)
-                before = np.nonzero(best > 0)[0]
-                pairs[before, best[before] - 1] = self.rank_of(now[before, best[before] - 1], lowest[before])
-                ids[live], ranks[live] = now, pairs
-                counts[live] -= 1
-            for i, row, n in zip(rows.tolist(), ids.astype("<u4"), counts.tolist()):
-                out[i] = row[:n].tobytes()
-        return out
-
-    def learn(self, texts: list[str]) -> None:
-        """Tokens of the words of the texts that are not known yet."""
-        if not self.spaced:
-            return
-        fresh: set[str] = set()
-        for text in texts:
-            fresh.update(text.split(" "))
-        if len(self.words) > REMEMBERED:
-            self.words, self.older = {}, self.words
-        fresh.difference_update(self.words)
-        again = fresh & self.older.keys()
-        self.words.update((w, self.older[w]) for w in again)
-        fresh -= again
-        plain = [w for w in fresh if w.isalpha() and len(w) < LEAF_BYTES]
-        self.words.update(zip(plain, self.encoded_together([f" {w}" for w in plain])))
-        fresh.difference_update(plain)
-        cut = {w: self.find(f" {w}") for w in fresh if 0 < len(w) <= LEAF_WORD}
-        pieces = list({p for parts in cut.values() for p in parts} - self.pieces.keys())
-        if len(self.pieces) + len(pieces) > REMEMBERED:
-            self.pieces.clear()
-            pieces = list({p for parts in cut.values() for p in parts})
-        self.pieces.update(zip(pieces, self.encoded_together(pieces)))
-        known = self.pieces
-        self.words.update((w, b"".join([known[p] for p in parts])) for w, parts in cut.items())
-
-    def encoded_together(self, pieces: list[str]) -> list[bytes]:
-        """Packed tokens of many pieces."""
-        data = [p.encode() for p in pieces]
-        out = list(map(self.packed.get, data))
-        short = [i for i, ids in enumerate(out) if ids is None and len(data[i]) <= LEAF_BYTES]
-        for i, ids in zip(short, self.merged_together([data[i] for i in short])):
-            out[i] = ids
-        return [self.whole(d) if ids is None else ids for d, ids in zip(data, out)]
 
     # texts
 
@@ -219,13 +88,11 @@ class Encoder:
         """Tokens of the parts that ``tree`` cuts a short text into."""
         if not (parts := self.apart(text)):
             return [self.piece(p) for p in self.find(text)]
-        words, last = self.words, parts[-1]
-        # the ends may be halves of a word
-        ends = [words.get(last) or self.word(last)] if len(parts) > 1 else []
+        words = self.words
         try:
-            return [self.split(parts[0]), *map(words.__getitem__, parts[1:-1]), *ends]
+            return [self.split(parts[0]), *map(words.__getitem__, parts[1:])]
         except KeyError:
-            return [self.split(parts[0]), *[words.get(p) or self.word(p) for p in parts[1:-1]], *ends]
+            return [self.split(parts[0]), *[words.get(p) or self.word(p) for p in parts[1:]]]
 
     def word(self, word: str) -> bytes:
         """Tokens of a word and the space before it. Of two generations of words the older goes when
@@ -391,12 +258,7 @@ def encoded(text: Column, path: str, pattern: str) -> Column:
     @F.arrow_udf("binary")
     def run(texts: pa.Array) -> pa.Array:
         tool = encoder(path, pattern)
-        out = []
-        for at in range(0, len(texts), TOGETHER):
-            part = [t.as_py() or "" for t in texts[at:at + TOGETHER]]
-            tool.learn(part)
-            out += map(tool.encode, part)
-        return pa.array(out, pa.binary())
+        return pa.array((tool.encode(t.as_py() or "") for t in texts), pa.binary())
 
     return run(text)
 

@@ -61,39 +61,6 @@ def test_bpe_of_spaces_beside_other_white_space(library, monkeypatch):
             assert tool.decode(ids) == text.encode()
 
 
-def test_bpe_of_words_merged_together(library):
-    """Short strings of all kinds in one matrix give what the library gives for each alone."""
-    tool = bpe.Encoder(bpe.encoder(**rank_file()).ranks, rank_file()["pattern"])
-    rng = random.Random(4)
-    words = ["".join(rng.choice("abcdehilnorstuéß本😀.,'9 ") for _ in range(rng.randint(1, 8))) for _ in range(4000)]
-    words = [w for w in words if 1 < len(w.encode()) <= bpe.LEAF_BYTES] + ["aa", "aaaaaaaaaaaaaaaaaaaaaaaa", "abababab"]
-    assert [bpe.unpack(ids) for ids in tool.merged_together([w.encode() for w in words])] == [tool.merge(w.encode()) for w in words]
-    assert tool.merged_together([]) == []
-    texts = [" ".join(words[i:i + 50]) for i in range(0, len(words), 50)] + ["", " ", "a  b", "\u00a0 x \u00a0 y"]
-    for _ in range(2):
-        tool.learn(texts)
-        for t in texts:
-            assert bpe.unpack(tool.encode(t)) == library.encode_ordinary(t)
-
-
-def test_bpe_enters_its_trees_on_the_documents(spark, monkeypatch):
-    """Halves of texts and of long pieces are joined for documents as given, and words are learned, not merged one by one."""
-    calls = {"join": 0, "fold": 0, "merged": 0}
-    for name in calls:
-        def counted(self, *a, name=name, plain=getattr(bpe.Encoder, name)):
-            calls[name] += 1
-            return plain(self, *a)
-        monkeypatch.setattr(bpe.Encoder, name, counted)
-    texts = [r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text").collect()]
-    tool = bpe.Encoder(bpe.encoder(**rank_file()).ranks, rank_file()["pattern"])
-    for at in range(0, len(texts), bpe.TOGETHER):
-        tool.learn(texts[at:at + bpe.TOGETHER])
-        for t in texts[at:at + bpe.TOGETHER]:
-            tool.encode(t)
-    assert calls["join"] >= sum(len(t) > bpe.LEAF_CHARS for t in texts) > 0 and calls["fold"] > 0
-    assert calls["merged"] < 0.2 * (len(tool.words) + len(tool.older))
-
-
 @pytest.mark.parametrize("text", ["a" * 40000, "é" * 9000, "ab1" * 9000, " " * 20000 + "x", "word " * 20000])
 def test_bpe_of_long_texts(library, text):
     assert bpe.unpack(bpe.encoder(**rank_file()).encode(text)) == library.encode_ordinary(text)
