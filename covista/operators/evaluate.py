@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from covista.functions import scaled_miss, settled
-from covista.operators.affinity import user_score_stats
+from covista.operators.affinity import score_lookup, user_score_stats
 from covista.operators.factors import items_for_some_users
+from covista.operators.product import score_stats
 from covista.plans import stored
 from covista.sources.tables import slices
 
@@ -69,10 +70,20 @@ def squared_miss(test: DataFrame, scores: DataFrame, item_count: Column | int, u
     ``scores`` need to cover the users of ``test``. Means run over all items.
     """
     scores = stored(scores.select("user_id", "item_id", "score"), "scores")  # read for the means and for the test rows
+    return _miss(test, scores, user_score_stats(scores, item_count), users, items)
+
+
+def squared_miss_of(test: DataFrame, a: DataFrame, s: DataFrame, item_count: int, users: DataFrame, items: DataFrame) -> DataFrame:
+    """``squared_miss`` from A and S: the scores of the test rows and each user's statistics, without the matrix Y."""
+    a = stored(a.join(test.select("user_id").distinct(), "user_id", "left_semi"), "affinity")
+    s = stored(s.select("item_id", "other_id", "similarity"), "similarity")
+    return _miss(test, score_lookup(a, s, test), score_stats(a, s, item_count), users, items)
+
+
+def _miss(test: DataFrame, scores: DataFrame, stats: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
     rows = test.groupBy("user_id", "item_id").agg(F.count("*").alias("n"))
     rows = (rows.join(users.select("user_id").distinct().withColumn("_u", F.lit(1)), "user_id", "left")
             .join(items.select("item_id").distinct().withColumn("_i", F.lit(1)), "item_id", "left"))
-    stats = user_score_stats(scores, item_count)
     known = F.col("_u").isNotNull() & F.col("_i").isNotNull()
     score = F.coalesce("score", F.lit(0.0))
     joined = (rows.join(scores, ["user_id", "item_id"], "left")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from covista.functions import settled
 from covista.functions.columns import DEFAULT_BOOST
+from covista.operators.product import best_scores
 from covista.plans import as_array, top_k
 
 
@@ -120,6 +121,23 @@ def items_for_users(scores: DataFrame, users: DataFrame, k: int, popular: DataFr
     return recommend(scores, users, "user_id", "item_id", k, popular, **rules)
 
 
+def lists_for_users(a: DataFrame, s: DataFrame, users: DataFrame, k: int, popular: DataFrame, seen: DataFrame | None = None,
+                    metadata: DataFrame | None = None, include: Sequence[str] = (), enhance: Sequence[str] = (),
+                    bias: float = DEFAULT_BOOST, exclude: DataFrame | None = None) -> DataFrame:
+    """``items_for_users`` from A and S themselves: only k scores per user (and k of boosted items) are made into rows."""
+    parts = [s]
+    if exclude is not None:
+        parts = [s.join(exclude.select(F.col("item_id").alias("other_id")).distinct(), "other_id", "left_anti")]
+    if metadata is not None and (include or enhance):
+        rules = item_rules(metadata, include, enhance, bias).withColumnRenamed("candidate", "other_id")
+        sides = [rules.where(F.col("boost") != 0), rules.where(F.col("boost") == 0)] if enhance else [rules]
+        parts = [parts[0].join(side.select("other_id"), "other_id", "left_semi") for side in sides]
+    scores = best_scores(a, parts[0], k, users, seen)
+    for part in parts[1:]:
+        scores = scores.unionByName(best_scores(a, part, k, users, seen))
+    return recommend(scores, users, "user_id", "item_id", k, popular, metadata, include, enhance, bias, exclude)
+
+
 def items_for_items(similarity: DataFrame, items: DataFrame, k: int, popular: DataFrame, **rules) -> DataFrame:
     """Similar items per item, never the item itself."""
     return recommend(similarity, items, "item_id", "other_id", k, popular, drop_self=True,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from covista.functions import half_life_weight
 from covista.operators import affinity as aff
 from covista.operators import cooccurrence as ops
-from covista.operators import counts
+from covista.operators import counts, product
 from covista.operators.recommend import ranked
 from covista.plans import stored
 from suite.registry import query
@@ -198,7 +198,7 @@ SELECT user_id, round(sum(score) / (SELECT count(DISTINCT item_id) FROM views),
 FROM scores GROUP BY 1""")
 def user_score_stats(t: Tables):
     items = t.views.agg(F.countDistinct("item_id").alias("n")).scalar()
-    return aff.user_score_stats(aff.predicted_scores(_affinity(t), _similarity(t)), items).select(
+    return product.score_stats(_affinity(t), _similarity(t), items).select(
         "user_id", F.round("mean_score", 6).alias("mean_score"), F.round("max_score", 6).alias("max_score"))
 
 

@@ -9,6 +9,7 @@ from covista.operators import cooccurrence as cooc
 from covista.operators import evaluate as ops
 from covista.operators import factors, space
 from covista.operators.counts import distinct_pairs
+from covista.operators.product import best_scores
 from covista.operators.recommend import ranked
 from covista.plans import stored
 from suite.registry import query
@@ -29,10 +30,10 @@ def _sides(t: Tables):
     return ops.split_by_key(t.views, "event_id", 0.2)
 
 
-def _trained(train, users):
+def _trained(train):
     a = stored(aff.affinity(train, half_life=HALF_LIFE), "affinity")
     s = cooc.item_similarity(cooc.cooccurrence(stored(distinct_pairs(train), "train-pairs")))
-    return aff.predicted_scores(a, s, users)
+    return a, stored(s, "similarity")
 
 
 @query(with_sql(*SIDES) + """
@@ -63,7 +64,7 @@ def random_split_check(t: Tables):
 SELECT DISTINCT h.user_id, h.item_id FROM held h JOIN recs r ON r.user_id = h.user_id AND r.item_id = h.item_id""")
 def recommended_and_viewed(t: Tables):
     train, test = _sides(t)
-    return ops.common_pairs(test, ranked(_trained(train, test), "user_id", "item_id", 20))
+    return ops.common_pairs(test, ranked(best_scores(*_trained(train), 20, test), "user_id", "item_id", 20))
 
 
 @query(with_sql(*TRAINED, """tally AS (
@@ -74,7 +75,7 @@ SELECT hits, test_rows, test_pairs, round(hits / test_rows, 6) AS hit_ratio,
        round(hits / test_pairs, 6) AS distinct_hit_ratio FROM tally""")
 def hit_ratio(t: Tables):
     train, test = _sides(t)
-    row = ops.hit_ratio(test, ranked(_trained(train, test), "user_id", "item_id", 20))
+    row = ops.hit_ratio(test, ranked(best_scores(*_trained(train), 20, test), "user_id", "item_id", 20))
     return row.withColumn("hit_ratio", F.round("hit_ratio", 6)).withColumn(
         "distinct_hit_ratio", F.round("distinct_hit_ratio", 6))
 
@@ -94,7 +95,7 @@ FROM judged""")
 def squared_miss(t: Tables):
     train, test = _sides(t)
     n = train.agg(F.countDistinct("item_id").alias("n")).scalar()
-    row = ops.squared_miss(test, _trained(train, test), n, train.select("user_id"), train.select("item_id"))
+    row = ops.squared_miss_of(test, *_trained(train), n, train.select("user_id"), train.select("item_id"))
     return row.withColumn("error", F.round("error", 6))
 
 

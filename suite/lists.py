@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from covista.operators import affinity as aff
 from covista.operators import catalogue, recommend
 from covista.operators import cooccurrence as cooc
+from covista.operators.product import best_scores
 from covista.operators.vectors import rated_titles
 from covista.plans import stored
 from suite.cooccurrence import SCORED
@@ -70,10 +71,6 @@ class _Model:
         self.users = self.pairs.select("user_id").distinct()
         self.items = self.pairs.select("item_id").distinct()
 
-    @property
-    def scores(self):
-        return aff.predicted_scores(self.affinity, self.similarity)
-
 
 def _rounded(df, score: str):
     return df.withColumn("rank", F.col("rank").cast("long")).withColumn(score, F.round(score, 6))
@@ -120,7 +117,7 @@ def similar_items_boosted(t: Tables):
 @query(with_sql(*FIXED, VIEW_USERS) + "," + _lists_sql("user_id", "item_id", USER_BASE))
 def items_for_users(t: Tables):
     m = _Model(t)
-    return _rounded(recommend.items_for_users(m.scores, m.users, K, m.popular), "score")
+    return _rounded(recommend.lists_for_users(m.affinity, m.similarity, m.users, K, m.popular), "score")
 
 
 @query(with_sql(*FIXED, "keys AS (SELECT c_custkey AS key FROM customer)") + "," + _lists_sql(
@@ -130,7 +127,7 @@ def items_for_users_ruled(t: Tables):
     """Every customer, with include rules and a small boost."""
     m = _Model(t)
     users = t.read("customer").select(F.col("c_custkey").alias("user_id"))
-    out = recommend.items_for_users(m.scores, users, K, m.popular, metadata=t.metadata,
+    out = recommend.lists_for_users(m.affinity, stored(m.similarity, "similarity"), users, K, m.popular, metadata=t.metadata,
                                     include=INCLUDE, enhance=ENHANCE, bias=0.5)
     return _rounded(out, "score")
 
@@ -142,7 +139,7 @@ def items_for_users_ruled(t: Tables):
 SELECT user_id, rank, item_id, round(score, 6) AS score FROM numbered WHERE rank <= {K}""")
 def unseen_items_for_users(t: Tables):
     m = _Model(t)
-    out = recommend.ranked(aff.unseen_scored(m.scores, m.pairs), "user_id", "item_id", K)
+    out = recommend.ranked(best_scores(m.affinity, m.similarity, K, seen=m.pairs), "user_id", "item_id", K)
     return _rounded(out, "score")
 
 
