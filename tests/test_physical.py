@@ -31,3 +31,9 @@ def test_pair_counts_are_combined_before_the_shuffle(spark):
     assert "partial_count(1)" in text
     explode = text.index("Generate explode(items")
     assert "Exchange" not in text[text.rindex("partial_count", 0, explode):explode]
+
+
+@pytest.mark.parametrize("name", ["items_for_users", "unseen_items_for_users"])
+def test_lists_do_not_shuffle_the_score_matrix(spark, name):
+    text = plan(spark, name)
+    assert "FlatMapCoGroupsInArrow" in text and not re.search(r"hashpartitioning\(user_id#\d+L, item_id#\d+L", text)
