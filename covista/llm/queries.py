@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from covista.llm import (bottom_k, bpe, collocations, decontaminate, hard_negatives, licences, quality_classifier, quality_rules,
                          secret_scans, simhash, substrings, toxicity, warc)
-from covista.plans import Workspace
+from covista.plans import Workspace, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -162,7 +162,7 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op10_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     rules = secret_scans.BASE_RULES + secret_scans.MORE_RULES
-    ledger = Workspace(spark).store(secret_scans.scan_new(docs, rules), "ledger")
+    ledger = secret_scans.update_ledger(docs, rules, scratch_path(spark, "ledger"))
     found = secret_scans.with_findings(docs, ledger, rules)
     base = F.filter("findings", lambda s: s["place"] < len(secret_scans.BASE_RULES))
     return found.select(
@@ -172,6 +172,22 @@ def op10_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
         secret_scans.joined(F.col("findings")).alias("spans"))
 
 
+@query("""WITH blobs AS (SELECT count(DISTINCT coalesce(text, '')) AS n FROM documents)
+SELECT 1 AS run, unnest(['access@1', 'assign@1', 'hex@1']) AS rule, n AS blobs FROM blobs
+UNION ALL SELECT 2, unnest(['jwt@1', 'pem@2']), n FROM blobs""")
+def secret_ledger_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs scanned by three runs over one kept ledger: base rules, all rules, all rules again (none are left)."""
+    docs = table(spark, folder, "documents").select("text")
+    root, runs = scratch_path(spark, "ledger"), []
+    for rules in (secret_scans.BASE_RULES, secret_scans.BASE_RULES + secret_scans.MORE_RULES,
+                  secret_scans.BASE_RULES + secret_scans.MORE_RULES):
+        secret_scans.update_ledger(docs, rules, root)
+        runs.append(f"{root}/{secret_scans.BATCH}{len(runs) + 1:08d}")
+    rows = [spark.read.schema(secret_scans.LEDGER).parquet(path).select(F.lit(k).alias("run"), "rule")
+            for k, path in enumerate(runs, 1)]
+    return rows[0].unionAll(rows[1]).unionAll(rows[2]).groupBy("run", "rule").agg(F.count("*").alias("blobs"))
+
+
 def _sizes(column: str) -> str:
     return " UNION ALL ".join(f"SELECT lang, {m} AS size, {column.format(m=m)} AS phrase FROM places WHERE pos + {m - 1} <= len(words)" for m in range(1, 5))
 

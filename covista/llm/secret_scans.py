@@ -5,18 +5,29 @@ rule version that was scanned, with the spans found, so that a later call scans
 unseen blobs by all rules, seen blobs by new rule versions. Findings are joined back to every path that
 holds the blob. DataFrame functions only.
 
+A kept ledger is a folder of batches, one a call, partitioned by rule; a batch counts only once it is
+whole, so a call that was lost midway is simply made again. ``update_ledger`` joins digests with the
+ledger first and fetches the texts of due blobs after that, so that old texts are hashed and no more.
+
 Spans are code points, end exclusive. A null text counts as empty. Rows are never merged: repeated rows
-and repeated ids each get their findings.
+and repeated ids each get their findings, and their blob is scanned once. Rules match leftmost and
+without overlap, each by itself; equal starts are ordered by the place of the rule. An empty table makes
+an empty batch and no findings. Texts are scanned whole, whatever their length. Further columns pass
+through under any name; only a column of the name asked for the findings is replaced.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from covista.sources.tables import complete_versions
+
 SPANS = "array<struct<start:int,end:int>>"
+LEDGER = f"blob binary, rule string, spans {SPANS}"
+BATCH = "batch="
 
 
 @dataclass(frozen=True)
@@ -41,9 +52,10 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 16),
     Rule("hex", r"[0-9a-f]+", 0, 32),
 )
-# Further rules, after the base ones.
+# Further rules, after the base ones. A key block goes to its END line where it has one;
+# header lines of a block hold a few single dashes, its body none.
 MORE_RULES = (
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("pem", r"-----BEGIN ([A-Z ]*)PRIVATE KEY-----(?:[^-]*+(?:-[^-]++){0,16}+-----END \1PRIVATE KEY-----)?", version=2),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
 )
 
@@ -76,26 +88,63 @@ def blob_of(text: Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
 
 
+def _due(digests: DataFrame, ledger: DataFrame, names: list[str]) -> DataFrame:
+    """(blob, due): the rules that the ledger lacks, for the blobs that miss one."""
+    seen = (ledger.where(F.col("rule").isin(names)).groupBy("blob")
+            .agg(F.collect_set("rule").alias("seen")))  # at most one row per rule
+    every = F.array(*[F.lit(n) for n in names])
+    return (digests.join(seen, "blob", "left")
+            .select("blob", F.array_except(every, F.coalesce("seen", F.array().cast("array<string>"))).alias("due"))
+            .where(F.size("due") > 0))
+
+
 def scan_new(docs: DataFrame, rules: tuple[Rule, ...], ledger: DataFrame | None = None,
              text: str = "text") -> DataFrame:
     """Ledger rows (blob, rule, spans) for the pairs that the ledger lacks. Each new blob is scanned
     once, however many paths or versions hold it."""
+    names = [r.name for r in rules]
     blobs = docs.select(blob_of(F.col(text)).alias("blob"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    every = F.array(*[F.lit(r.name) for r in rules])
-    if ledger is not None:
-        seen = ledger.where(F.col("rule").isin([r.name for r in rules]))
-        seen = seen.groupBy("blob").agg(F.collect_set("rule").alias("seen"))  # at most one row per rule
-        blobs = (blobs.join(seen, "blob", "left")
-                 .withColumn("due", F.array_except(every, F.coalesce("seen", F.array().cast("array<string>"))))
-                 .where(F.size("due") > 0))
+    if ledger is None:
+        blobs = blobs.withColumn("due", F.array(*[F.lit(n) for n in names]))
     else:
-        blobs = blobs.withColumn("due", every)
+        blobs = blobs.join(_due(blobs.select("blob").distinct(), ledger, names), "blob")
     scanned = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.when(
         F.array_contains("due", r.name), spans(F.col("text"), r)).alias("spans")) for r in rules])
     return (blobs.dropDuplicates(["blob"]).select("blob", F.explode(scanned).alias("pair"))
             .select("blob", "pair.rule", "pair.spans").where(F.col("spans").isNotNull()))
 
 
+def read_ledger(spark: SparkSession, root: str) -> DataFrame | None:
+    """All whole batches of the ledger kept under ``root``; None before the first."""
+    batches = complete_versions(spark, root, BATCH, "_SUCCESS")
+    if not batches:
+        return None
+    root = root.rstrip("/")
+    rows = spark.read.schema(LEDGER).option("basePath", root).parquet(*[f"{root}/{b}" for b in batches])
+    return rows.select("blob", "rule", "spans")
+
+
+def update_ledger(docs: DataFrame, rules: tuple[Rule, ...], root: str, text: str = "text") -> DataFrame:
+    """Scan what the ledger under ``root`` lacks, append it as a batch, give the whole ledger.
+
+    One writer at a time. Rules of other versions stay in the ledger; those who read it name theirs.
+    """
+    spark, root = docs.sparkSession, root.rstrip("/")
+    batches = complete_versions(spark, root, BATCH, "_SUCCESS")
+    number = int(batches[-1].removeprefix(BATCH)) + 1 if batches else 1
+    fresh = scan_new(docs, rules, read_ledger(spark, root), text)
+    (fresh.write.mode("overwrite")  # of a batch that a lost call left incomplete
+     .option("compression", "zstd").partitionBy("rule").parquet(f"{root}/{BATCH}{number:08d}"))
+    return read_ledger(spark, root)
+
+
+def _unused(name: str, taken: list[str]) -> str:
+    low = {c.lower() for c in taken}
+    while name.lower() in low:
+        name = f"_{name}"
+    return name
+
+
 def with_findings(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...], text: str = "text",
                   name: str = "findings") -> DataFrame:
     """``docs`` with an array of (start, end, kind, place of the rule), ordered by start, then rule."""
@@ -105,12 +154,14 @@ def with_findings(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...], t
              .select("blob", F.transform("spans", lambda s: F.struct(
                  s["start"].alias("start"), place[F.col("rule")].alias("place"), s["end"].alias("end"),
                  kinds[F.col("rule")].alias("kind"))).alias("part"))
-             .groupBy(F.col("blob").alias("_blob"))
-             .agg(F.sort_array(F.flatten(F.collect_list("part"))).alias(name)))
+             .groupBy("blob").agg(F.sort_array(F.flatten(F.collect_list("part"))).alias(name)))
     kind = found.schema[name].dataType
     # the digest is a column of its own, so that texts move only where they are asked for
-    docs = docs.drop(name, "_own_blob").withColumn("_own_blob", blob_of(F.col(text)))
-    return (docs.join(found, docs["_own_blob"] == found["_blob"], "left").drop("_blob", "_own_blob")
+    docs = docs.drop(name)
+    own = _unused("own_blob", [*docs.columns, name])
+    theirs = _unused("blob", [*docs.columns, name, own])
+    found = found.withColumnRenamed("blob", theirs)
+    return (docs.withColumn(own, blob_of(F.col(text))).join(found, F.col(own) == F.col(theirs), "left").drop(own, theirs)
             .withColumn(name, F.coalesce(F.col(name), F.array().cast(kind))))
 
 
