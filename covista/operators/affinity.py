@@ -26,6 +26,40 @@ def affinity(df: DataFrame, t0: Column | float | None = None, half_life: float =
     return df.groupBy("user_id", "item_id").agg(value.alias("affinity"))
 
 
+def affinity_state(df: DataFrame, half_life: float = DEFAULT_HALF_LIFE, weight: float = 1.0) -> DataFrame:
+    """(user_id, item_id, weight, at): affinity of a slice of events as of its newest one, ``at`` in epoch seconds.
+
+    States of any slices, in any order, merge with ``merged_states``; the events are not read again.
+    """
+    at = df.agg(F.max("event_time").cast("timestamp").cast("double").alias("t")).scalar()
+    cells = affinity(df, at, half_life, weight)
+    return cells.select("user_id", "item_id", F.col("affinity").alias("weight"), at.alias("at"))
+
+
+def merged_states(first: DataFrame, *others: DataFrame, half_life: float = DEFAULT_HALF_LIFE) -> DataFrame:
+    """One state of several: weights are brought to the newest reference time and added per cell.
+
+    Associative and commutative up to rounding; partial sums are made before the shuffle.
+    """
+    rows = first
+    for state in others:
+        rows = rows.unionByName(state)
+    at = rows.agg(F.max("at").alias("t")).scalar()
+    return (rows.groupBy("user_id", "item_id").agg(F.sum(_aged("weight", "at", at, half_life)).alias("weight"))
+            .select("user_id", "item_id", "weight", at.alias("at")))
+
+
+def affinity_of(state: DataFrame, t0: Column | float | None = None, half_life: float = DEFAULT_HALF_LIFE) -> DataFrame:
+    """(user_id, item_id, affinity) of a state as of ``t0`` (epoch seconds), by default of its own time."""
+    value = F.col("weight") if t0 is None else _aged("weight", "at", t0, half_life)
+    return state.select("user_id", "item_id", value.alias("affinity"))
+
+
+def _aged(weight: str, at: str, t0: Column | float, half_life: float) -> Column:
+    t0 = t0 if isinstance(t0, Column) else F.lit(float(t0))
+    return F.col(weight) * F.pow(F.lit(2.0), -(t0 - F.col(at)) / F.lit(float(half_life)))
+
+
 def predicted_scores(a: DataFrame, s: DataFrame, users: DataFrame | None = None,
                      work_rows: int = WORK_ROWS) -> DataFrame:
     """(user_id, item_id, score): Y = A S, optionally for some users only."""

@@ -65,6 +65,29 @@ def cooccurrence(pairs: DataFrame, history_block: int = HISTORY_BLOCK, both_orde
     return cells
 
 
+def cooccurrence_delta(old: DataFrame, new: DataFrame, history_block: int = HISTORY_BLOCK) -> DataFrame:
+    """(item_id, other_id, both): what the distinct pairs ``new``, none of them in ``old``, add to the co-occurrence
+    of ``old``: BᵀD + DᵀB + DᵀD for the incidences B and D. Only histories of users in ``new`` are read."""
+    known = old.join(new.select("user_id").distinct(), "user_id", "left_semi")
+    across = (fan_out_join(known.select("user_id", "item_id"), new.select("user_id", F.col("item_id").alias("other_id")),
+                           ["user_id"], ["item_id"])
+              .groupBy("item_id", "other_id").agg(F.count("*").alias("both")))
+    # mirroring gives both products; a pair of items can be new to one user and known to another either way round
+    return mirrored(across).unionAll(cooccurrence(new, history_block))
+
+
+def extended_cooccurrence(cells: DataFrame, old: DataFrame, events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Cells and distinct pairs after more events, from those before; ``cells`` in both orders with the diagonal.
+
+    Old histories are counted again for users with new pairs only.
+    """
+    new = stored(events.select("user_id", "item_id").distinct()
+                 .join(old, ["user_id", "item_id"], "left_anti"), "new-pairs")
+    grown = (cells.unionByName(cooccurrence_delta(old, new)).groupBy("item_id", "other_id")
+             .agg(F.sum("both").alias("both")))
+    return grown, old.select("user_id", "item_id").unionAll(new)
+
+
 def mirrored(cells: DataFrame) -> DataFrame:
     """Every (item_id, other_id, value) row in both orders."""
     value = cells.columns[-1]

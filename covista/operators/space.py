@@ -43,14 +43,12 @@ def user_means(pairs: DataFrame, items: DataFrame) -> DataFrame:
     return _summed(pairs, items, "vector", mean=True)
 
 
-def relocated_users(df: DataFrame, items: DataFrame, alpha: float = ALPHA, users: DataFrame | None = None) -> DataFrame:
-    """(user_id, vector): users start at the item mean and move by x + alpha (v - x) towards
-    each viewed item, in time order.
+def relocation_state(df: DataFrame, items: DataFrame, alpha: float = ALPHA) -> DataFrame:
+    """(user_id, n, moved): the moves of each user's n events as one map x -> (1 - alpha)^n x + moved.
 
-    The loop has the closed form (1 - alpha)^n mean + sum alpha (1 - alpha)^j v_j, where j
-    counts back from the newest of the n events. Only as many events per user are ranked as
-    have a weight that is not exactly 0.0 in double precision, so a very long history is
-    never sorted in one task. Events of items without a vector are left out.
+    moved = sum of alpha (1 - alpha)^j v_j, where j counts back from the newest event; null stands for zero.
+    Only as many events per user are ranked as have a weight that is not exactly 0.0 in double precision,
+    so a very long history is never sorted in one task. Events of items without a vector are left out.
     """
     known = items.where(F.col("vector").isNotNull())
     events = df.join(known.select("item_id"), "item_id", "left_semi").select("user_id", "item_id", "event_time")
@@ -62,19 +60,41 @@ def relocated_users(df: DataFrame, items: DataFrame, alpha: float = ALPHA, users
     else:
         deepest = math.ceil(1075 * math.log(2) / -math.log(stay)) + 1
     out = events.groupBy("user_id").agg(F.count("*").alias("n"))
+    if not deepest:
+        return out.withColumn("moved", F.lit(None).cast("array<double>"))
+    newest = top_k(events, ["user_id"], [F.desc("event_time"), F.desc("item_id")], deepest, rank="back")
+    weights = (newest.withColumn("weight", F.lit(alpha) * F.pow(F.lit(stay), F.col("back") - 1))
+               .groupBy("user_id", "item_id").agg(F.sum("weight").alias("weight")))
+    return out.join(_summed(weights, items, "moved"), "user_id", "left")
+
+
+def composed(earlier: DataFrame, later: DataFrame, alpha: float = ALPHA) -> DataFrame:
+    """The state of two slices of time, every event of ``later`` after those of ``earlier``: kept states take in new
+    events without the old ones. Associative, so slices may be composed in any grouping that keeps their order."""
+    # names of their own: inside a lambda, Spark takes a name of the select list before one of the input
+    a = earlier.select("user_id", F.col("n").alias("_n1"), F.col("moved").alias("_moved1"))
+    b = later.select("user_id", F.col("n").alias("_n2"), F.col("moved").alias("_moved2"))
+    n1, n2 = F.coalesce("_n1", F.lit(0)), F.coalesce("_n2", F.lit(0))
+    shrunk = F.transform("_moved1", lambda x: x * F.pow(F.lit(1.0 - alpha), n2))
+    moved = (F.when(F.col("_moved1").isNull(), F.col("_moved2")).when(F.col("_moved2").isNull(), shrunk)
+             .otherwise(F.zip_with(shrunk, "_moved2", lambda x, y: x + y)))
+    return a.join(b, "user_id", "full").select("user_id", (n1 + n2).alias("n"), moved.alias("moved"))
+
+
+def placed_by(state: DataFrame, items: DataFrame, alpha: float = ALPHA, users: DataFrame | None = None) -> DataFrame:
+    """(user_id, vector): the maps of a state applied to the item mean; ``users`` without events stay there."""
     if users is not None:
-        out = users.select("user_id").distinct().join(out, "user_id", "full")
-    origin = F.transform("mean", lambda m: m * F.pow(F.lit(stay), F.coalesce("n", F.lit(0))))
-    out = out.withColumn("mean", mean_vector(items).scalar())
-    if deepest:
-        newest = top_k(events, ["user_id"], [F.desc("event_time"), F.desc("item_id")], deepest, rank="back")
-        weights = (newest.withColumn("weight", F.lit(alpha) * F.pow(F.lit(stay), F.col("back") - 1))
-                   .groupBy("user_id", "item_id").agg(F.sum("weight").alias("weight")))
-        out = out.join(_summed(weights, items, "moved"), "user_id", "left")
-    else:
-        out = out.withColumn("moved", F.lit(None).cast("array<double>"))
-    moved = F.zip_with(origin, "moved", lambda a, b: a + b)
-    return out.select("user_id", F.when(F.col("moved").isNull(), origin).otherwise(moved).alias("vector"))
+        state = users.select("user_id").distinct().join(state, "user_id", "full")
+    state = state.withColumn("mean", mean_vector(items).scalar())
+    origin = F.transform("mean", lambda m: m * F.pow(F.lit(1.0 - alpha), F.coalesce("n", F.lit(0))))
+    vector = F.zip_with(origin, "moved", lambda a, b: a + b)
+    return state.select("user_id", F.when(F.col("moved").isNull(), origin).otherwise(vector).alias("vector"))
+
+
+def relocated_users(df: DataFrame, items: DataFrame, alpha: float = ALPHA, users: DataFrame | None = None) -> DataFrame:
+    """(user_id, vector): users start at the item mean and move by x + alpha (v - x) towards
+    each viewed item, in time order, by the closed form of ``relocation_state``."""
+    return placed_by(relocation_state(df, items, alpha), items, alpha, users)
 
 
 def relocated_in_batch(pairs: DataFrame, items: DataFrame, alpha: float = ALPHA) -> DataFrame:

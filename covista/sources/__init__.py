@@ -1,3 +1,4 @@
+from covista.sources.buckets import read_buckets, upsert_buckets  # noqa: F401
 from covista.sources.models import (  # noqa: F401
     export_factors,
     latest_version,

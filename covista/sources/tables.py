@@ -117,7 +117,8 @@ def one_per_key(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str]) ->
     return df.groupBy(*keys).agg(row).select(*keys, "_row.*").select(*df.columns)
 
 
-def _latest(new: DataFrame, key: str, newest_by: Sequence[str] | None) -> DataFrame:
+def latest_by_key(new: DataFrame, key: str, newest_by: Sequence[str] | None = None) -> DataFrame:
+    """One row per id: the last by ``newest_by``, by all other columns if not given."""
     rest = [c for c in new.columns if c != key]
     return one_per_key(new, [key], newest_by or rest) if rest else new.distinct()
 
@@ -126,7 +127,7 @@ def update_rows(old: DataFrame, new: DataFrame, key: str, newest_by: Sequence[st
     """Partial update: fields of ``new`` replace or extend those of ``old``; ids that only
     ``new`` has are left out, ids that only ``old`` has stay. Of several rows of an id in ``new``
     the last by ``newest_by`` counts (by all its columns if not given)."""
-    new = _latest(new, key, newest_by)
+    new = latest_by_key(new, key, newest_by)
     fresh = new.select(key, *[F.col(c).alias(f"_new_{c}") for c in new.columns if c != key])
     joined = old.join(fresh, key, "left")
     columns = []
@@ -139,7 +140,7 @@ def update_rows(old: DataFrame, new: DataFrame, key: str, newest_by: Sequence[st
 def index_rows(old: DataFrame, new: DataFrame, key: str, newest_by: Sequence[str] | None = None) -> DataFrame:
     """Whole rows of ``new`` replace or join those of ``old``; one row per id of ``new``, as in
     ``update_rows``."""
-    new = _latest(new, key, newest_by)
+    new = latest_by_key(new, key, newest_by)
     return old.join(new, key, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
@@ -156,7 +157,7 @@ def upsert(spark: SparkSession, root: str, new: DataFrame, key: str, newest_by:
         old = spark.read.parquet(f"{root.rstrip('/')}/{versions[-1]}")
         rows = update_rows(old, new, key, newest_by) if partial else index_rows(old, new, key, newest_by)
     else:
-        rows = _latest(new, key, newest_by)
+        rows = latest_by_key(new, key, newest_by)
     path = f"{root.rstrip('/')}/{TABLE_PREFIX}{number + 1:08d}"
     write_table(rows, path, **options)
     return path

@@ -24,11 +24,13 @@ from covista.sources import (
     latest_interactions,
     one_per_key,
     profile,
+    read_buckets,
     read_csv,
     read_ids,
     read_table,
     slices,
     update_rows,
+    upsert_buckets,
     write_ids,
     write_report,
     write_table,
@@ -163,6 +165,28 @@ def replaced_rows(t: Tables):
     return index_rows(stored, fresh, "item_id")
 
 
+@query("""WITH fresh AS (SELECT l_partkey AS item_id, max(l_extendedprice) AS price FROM lineitem
+                         WHERE l_returnflag = 'R' AND l_quantity >= 49 GROUP BY 1),
+rows AS (SELECT item_id, price, 'lines' AS source FROM fresh
+         UNION ALL SELECT p_partkey, p_retailprice, 'list' FROM part WHERE p_partkey NOT IN (SELECT item_id FROM fresh))
+SELECT rows.item_id, price, source, CAST(len(embedding) AS BIGINT) AS factors
+FROM rows LEFT JOIN embeddings ON vec_id = rows.item_id AND vec_id < 50""")
+def upserted_buckets(t: Tables):
+    """A bucketed table written, partly replaced, partly updated with a new column, and read back."""
+    root = t.scratch("buckets")
+    listed = t.read("part").select(F.col("p_partkey").alias("item_id"), F.col("p_retailprice").alias("price"),
+                                   F.lit("list").alias("source"))
+    fresh = (t.read("lineitem").where((F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 49))
+             .groupBy(F.col("l_partkey").alias("item_id")).agg(F.max("l_extendedprice").alias("price"))
+             .withColumn("source", F.lit("lines")))
+    factors = (t.read("embeddings").where(F.col("vec_id") < 50)
+               .select(F.col("vec_id").alias("item_id"), F.size("embedding").cast("long").alias("factors")))
+    upsert_buckets(t.spark, root, listed, "item_id")
+    upsert_buckets(t.spark, root, fresh, "item_id")
+    upsert_buckets(t.spark, root, factors, "item_id", partial=True)
+    return read_buckets(t.spark, root)
+
+
 @query(with_sql(PURCHASES) + """
 SELECT count(*) AS events, count(DISTINCT user_id) AS users, count(DISTINCT item_id) AS items,
        CAST(epoch(min(event_time)) AS BIGINT) AS first_event, CAST(epoch(max(event_time)) AS BIGINT) AS last_event

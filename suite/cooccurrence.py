@@ -14,6 +14,7 @@ from suite.registry import query
 from suite.tables import (
     CELLS,
     HALF_LIFE,
+    INDEX_START,
     OWN,
     PURCHASE_PAIRS,
     PURCHASES,
@@ -136,6 +137,29 @@ def user_affinity(t: Tables):
     return aff.affinity(t.purchases).withColumn("affinity", F.round("affinity", 6))
 
 
+@query(with_sql(PURCHASES, affinity_sql("purchases", 17 / 3 * 10**8)) + """
+SELECT user_id, item_id, round(a, 6) AS affinity FROM affinity""")
+def affinity_of_slices(t: Tables):
+    """States of three slices of time, merged out of order, give the affinity of all events."""
+    early, middle, late = (aff.affinity_state(t.purchases.where(span)) for span in (
+        F.col("event_time") < INDEX_START, F.year("event_time") == 1997, F.col("event_time") >= "1998-01-01"))
+    kept = stored(aff.merged_states(stored(late, "late-state"), stored(early, "early-state")), "state")
+    return aff.affinity_of(aff.merged_states(kept, stored(middle, "middle-state"))).withColumn("affinity", F.round("affinity", 6))
+
+
+@query(with_sql(*VIEW_CELLS) + "SELECT item_id, other_id, n AS both FROM cells")
+def extended_cooccurrence(t: Tables):
+    """A fit on the first events, extended twice by later ones, equals the fit on all."""
+    day = F.pmod(F.datediff("event_time", F.lit(INDEX_START)), F.lit(3))
+    views = t.views.withColumn("slice", day)
+    pairs = stored(counts.distinct_pairs(views.where(F.col("slice") == 0)), "first-pairs")
+    cells = stored(ops.cooccurrence(pairs), "first-cells")
+    for k in (1, 2):
+        cells, pairs = ops.extended_cooccurrence(cells, pairs, views.where(F.col("slice") == k))
+        cells, pairs = stored(cells, "cells"), stored(pairs, "pairs")
+    return cells
+
+
 @query(with_sql(PURCHASES) + """
 SELECT user_id, item_id, CAST(count(*) AS DOUBLE) AS affinity FROM purchases GROUP BY 1, 2""")
 def plain_affinity(t: Tables):

@@ -105,6 +105,18 @@ def relocated_users(t: Tables):
     return _components(_users(t), "user_id")
 
 
+@query(with_sql(*USERS) + "SELECT user_id, pos, round(x, 6) AS value FROM moved_at")
+def relocated_by_slices(t: Tables):
+    """Kept states of three slices of time, composed in order, equal the relocation by all events."""
+    views = t.views
+    ends = views.agg(F.percentile_approx(F.col("event_time").cast("double"), [0.4, 0.8]).alias("p")).first()["p"]
+    time = F.col("event_time").cast("double")
+    spans = (time < ends[0], (time >= ends[0]) & (time < ends[1]), time >= ends[1])
+    first, second, third = (stored(space.relocation_state(views.where(s), t.vectors, ALPHA), "moves") for s in spans)
+    state = space.composed(first, stored(space.composed(second, third, ALPHA), "later-moves"), ALPHA)
+    return _components(space.placed_by(state, t.vectors, ALPHA), "user_id")
+
+
 @query(with_sql(VIEWS, VECTORS, DIMS, MEAN, "pairs AS (SELECT DISTINCT user_id, item_id FROM views)") + f"""
 SELECT user_id, d.pos, round(max(m) + {ALPHA}::DOUBLE * (avg(v) - max(m)), 6) AS value
 FROM pairs JOIN dims d USING (item_id) JOIN mean_at m ON m.pos = d.pos GROUP BY 1, 2""")
