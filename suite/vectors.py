@@ -17,7 +17,7 @@ from covista.functions import (
 from covista.operators import space, vectors
 from covista.operators.factors import cluster_sizes, first_cluster_mates, two_hop
 from covista.operators.recommend import ranked
-from covista.plans import stored
+from covista.plans import approximate_search, build_index, recall, search, stored
 from suite.registry import query
 from suite.tables import ALPHA, PURCHASES, VECTORS, VIEWS, Tables, with_sql
 
@@ -161,6 +161,33 @@ def similar_by_cosine(t: Tables):
     return _long_rank(vectors.similar_by_cosine(t.vectors, N)).withColumn("score", F.round("score", 6))
 
 
+def _approximate(t: Tables, metric: str):
+    """Recall against the exact search over all rows, and exact costs of what both found."""
+    seeds = t.vectors.withColumnRenamed("item_id", "seed_id")
+    found = stored(approximate_search(seeds, build_index(t.vectors, metric), N, exclude_self=True), "approximate")
+    exact = stored(search(seeds, t.vectors, N, metric=metric, exclude_self=True), "exact")
+    both = found.join(exact.select("seed_id", "item_id", F.col("cost").alias("own")), ["seed_id", "item_id"])
+    wrong = both.where(F.abs(F.col("cost") - F.col("own")) > 1e-6).agg(F.count("*").alias("n")).scalar()
+    return found.agg(F.countDistinct("seed_id").alias("seeds"), F.count("*").alias("found"), F.max("rank").alias("longest"),
+                     wrong.alias("wrong_costs"),
+                     (recall(found, exact).scalar() >= 0.9).alias("recalled"))
+
+
+APPROXIMATE_SQL = with_sql(VECTORS) + f"""
+SELECT count(*) AS seeds, CAST(count(*) * {N} AS BIGINT) AS found, CAST({N} AS INTEGER) AS longest,
+       CAST(0 AS BIGINT) AS wrong_costs, true AS recalled FROM vecs"""
+
+
+@query(APPROXIMATE_SQL)
+def approximate_by_distance(t: Tables):
+    return _approximate(t, "euclidean")
+
+
+@query(APPROXIMATE_SQL)
+def approximate_by_cosine(t: Tables):
+    return _approximate(t, "cosine")
+
+
 DESCRIBED = """described AS (
   SELECT item_id AS id, vector, p_name, p_type, 1950 + p_size AS year FROM vecs LEFT JOIN part ON p_partkey = item_id)"""
 
