@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -121,5 +123,22 @@ def most_viewed(views: DataFrame) -> DataFrame:
     return views.agg(best).select(F.col("best.i").alias("item_id"), (-F.col("best.v")).alias("views"))
 
 
+def draw_key(key: Column, seed: int) -> Column:
+    """A value that orders keys at random, the same for a key and seed wherever and whenever it is computed."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string")))
+
+
+def drawn(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
+    """n distinct values of ``key`` at random: those with the smallest draw keys. Unlike a sort by random numbers
+    the draw does not depend on partitioning or on tasks run again, and draws of parts merge: the draw of a
+    table is the draw from the draws of its parts."""
+    return (df.where(F.col(key).isNotNull()).select(key).distinct()
+            .orderBy(draw_key(F.col(key), seed), key).limit(n))
+
+
 def random_item(df: DataFrame, seed: int | None = None) -> DataFrame:
-    return df.select("item_id").distinct().orderBy(F.rand(seed)).limit(1)
+    """One item, each of the distinct ones alike; the same for a seed. A minimum, merged on the map side."""
+    seed = secrets.randbelow(1 << 31) if seed is None else seed
+    first = F.min(F.struct(draw_key(F.col("item_id"), seed).alias("k"), F.col("item_id").alias("i"))).alias("first")
+    return (df.where(F.col("item_id").isNotNull()).agg(first).where(F.col("first").isNotNull())
+            .select(F.col("first.i").alias("item_id")))

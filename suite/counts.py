@@ -128,11 +128,21 @@ def most_viewed_item(t: Tables):
     return ops.most_viewed(ops.views_per_item(t.purchases))
 
 
-@query()
+@query(with_sql(PURCHASES) + """
+SELECT item_id FROM purchases ORDER BY md5('7:' || item_id), item_id LIMIT 1""")
 def random_item(t: Tables):
     return ops.random_item(t.purchases, seed=7)
 
 
+@query(with_sql(VIEWS) + """
+SELECT user_id FROM (SELECT DISTINCT user_id FROM views) ORDER BY md5('7:' || user_id), user_id LIMIT 25""")
+def random_users(t: Tables):
+    """Drawn from the draws of two parts of the events."""
+    odd = F.col("event_id") % 2 == 1
+    parts = ops.drawn(t.views.where(odd), "user_id", 25, 7).unionAll(ops.drawn(t.views.where(~odd), "user_id", 25, 7))
+    return ops.drawn(parts, "user_id", 25, 7)
+
+
 @query("SELECT 1::BIGINT AS items, 0::BIGINT AS unknown")
 def random_item_check(t: Tables):
     known = t.purchases.select("item_id", F.lit(1).alias("known")).distinct()

@@ -120,3 +120,15 @@ def test_cells_extend(spark, hot):
         cells, pairs = stored(cells, "cells"), stored(pairs, "pairs")
     assert rows(cells.select("item_id", "other_id", "both")) == whole
     assert rows(pairs.select("user_id", "item_id")) == rows(df.distinct())
+
+
+def test_draws_do_not_depend_on_partitions(spark):
+    from covista.operators.counts import drawn, random_item
+
+    df = spark.range(500).selectExpr("id % 90 AS item_id").unionAll(spark.createDataFrame([(None,)], "item_id long"))
+    for seed in (1, 2):
+        ones = {random_item(df.repartition(k), seed).first()["item_id"] for k in (1, 7)}
+        some = {tuple(r["item_id"] for r in drawn(df.repartition(k), "item_id", 5, seed).collect()) for k in (1, 7)}
+        assert len(ones) == len(some) == 1 and next(iter(some))[0] in ones
+    assert random_item(df).count() == 1 and random_item(df.limit(0), 1).count() == 0
+    assert len({random_item(df, seed).first()["item_id"] for seed in range(8)}) > 3
