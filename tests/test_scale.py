@@ -13,6 +13,7 @@ from covista.operators import affinity as aff
 from covista.operators import counts, recommend, space, vectors
 from covista.operators.catalogue import append_index
 from covista.plans import fan_out_join, first_rows, search, top_k, with_ordinal
+from covista.plans.search import _by_cells
 from covista.plans.skew import hot_keys
 
 
@@ -159,6 +160,15 @@ def test_search(spark, cloud, metric, tuning, exclude_self):
         assert [j for j, _ in mine[i]] == order
 
 
+def test_seeds_move_once_a_block(spark):
+    """Vectors without clusters, where no cell can be left out: a block of many cells hands on k rows a seed, not k a cell."""
+    x = np.random.default_rng(9).normal(size=(300, 16))
+    items = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "item_id long, vector array<double>")
+    seeds = items.withColumnRenamed("item_id", "seed_id")
+    handed = [_by_cells(seeds, items, 7, None, "euclidean", True, values, 10).count() for values in (16 * 300, 16 * 100)]
+    assert handed[0] == 300 * 7 and handed[1] <= 300 * 7 * 5  # the second in 3 blocks, or a few more where cells don't fit
+
+
 @pytest.mark.parametrize("tuning", [{}, {"few_seeds": 3, "cell_rows": 20, "block_values": 8 * 25}])
 def test_radius(spark, cloud, tuning):
     rows = [(i, [float(v) for v in row]) for i, row in enumerate(cloud)]
