@@ -2,8 +2,8 @@
 
 An index has a cell and a short code per vector. The cells are those around the centres of a bounded sample; the
 code names, for each group of components, the nearest of 256 typical residuals to the cell's centre. A seed visits
-its nearest cells; there codes are scored by table look-up, blocks hand on a shortlist per seed, and the exact
-distances of the shortlist decide. How many cells to visit is measured: on a bounded sample of vectors, whose exact
+its nearest cells. Near cells are packed in blocks; a task holds a block and reads a share of its seeds as a stream,
+scores the visited cells by their codes, and hands on the k rows of a seed's shortlist with the least exact distances. How many cells to visit is measured: on a bounded sample of vectors, whose exact
 neighbours are found by a scan, as many as hold the wanted share of these. ``search`` remains the exact way.
 """
 
@@ -13,19 +13,22 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covista.functions import euclidean, settled
+from covista.functions import settled
 from covista.plans.ranking import top_k
-from covista.plans.search import _matrix, _pieces, _reader, search
+from covista.plans.search import HITS, SHARES, _matrix, _pieces, _reader, block_tools, chained, groups_of, of, packed, search, together
 from covista.plans.shared import stored
+from covista.plans.skew import spread
 
 SAMPLE_ROWS = 16_384  # vectors that centres and codes are fitted on
 TRIAL_SEEDS = 64  # vectors whose exact neighbours say how many cells to visit
 MAX_CELLS = 1024
 GROUPS, WORDS = 16, 256  # bytes per code, values of a byte
-BLOCK_ROWS = 65_536  # codes of a cell that one task scores; seeds of a cell in one task: an eighth
+BLOCK_ROWS = 65_536  # items of near cells that one task holds
+COSTS = 1 << 22  # rough costs that are held as one matrix (32 MB)
 SHORTLIST = 30  # exact distances per wanted neighbour
 
 CODES = "item_id long, cell int, code binary"
@@ -85,9 +88,6 @@ def build_index(items: DataFrame, metric: str = "euclidean", cells: int | None =
     read, pieces = _reader("item_id"), _pieces()
 
     def encode(batches):
-        import numpy as np
-        import pyarrow as pa
-
         for batch in pieces(batches):
             _, matrix = read(batch)
             cell = ((centres**2).sum(1)[None, :] - 2 * matrix @ centres.T).argmin(1)
@@ -133,69 +133,94 @@ def approximate_search(seeds: DataFrame, index: Index, k: int, share: float = 0.
     read, pieces = _reader("seed_id"), _pieces()
 
     def probe(batches):
-        import numpy as np
-        import pyarrow as pa
-
         for batch in pieces(batches):
             _, matrix = read(batch)
-            order = ((centres**2).sum(1)[None, :] - 2 * matrix @ centres.T).argsort(1, kind="stable")[:, :visits]
-            offsets = np.arange(0, order.size + 1, visits, dtype=np.int32)
+            far = (centres**2).sum(1)[None, :] - 2 * matrix @ centres.T
+            order = far.argsort(1, kind="stable")[:, :visits]
+            limit = np.take_along_axis(far, order[:, -1:], 1)[:, 0]
+            inside = np.zeros(far.shape, dtype=np.float32)
+            np.put_along_axis(inside, order, 1, 1)
+            blocks = inside @ member > 0
+            ends = np.concatenate([[0], np.cumsum(blocks.sum(1))])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("seed_id"), batch.column("vector"),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(order.ravel().astype(np.int32)))],
-                ["seed_id", "vector", "cells"])
-
-    probes = stored(seeds.mapInArrow(probe, "seed_id long, vector array<double>, cells array<int>"), "visits")
-    visited = {r["cell"]: r["count"] for r in probes.select(F.explode("cells").alias("cell")).groupBy("cell").count().collect()}
-    groups = [-(-8 * visited.get(c, 0) // block_rows) for c in range(len(centres))]  # one number per cell
-    blocks = [max(1, -(-n // block_rows)) for n in index.sizes]
-
-    def of_cell(values):
-        return F.element_at(F.array(*[F.lit(int(v)) for v in values]), F.col("cell") + 1)
-
-    def upto(count):
-        return F.explode(F.sequence(F.lit(0), count - 1))
-
-    left = (index.codes.where(of_cell(groups) > 0).withColumn("block", F.pmod(F.xxhash64("item_id"), of_cell(blocks)).cast("int"))
-            .withColumn("group", upto(of_cell(groups))))
-    right = (probes.select("seed_id", "vector", F.explode("cells").alias("cell")).withColumn("block", upto(of_cell(blocks)))
-             .withColumn("group", F.pmod(F.xxhash64("seed_id"), of_cell(groups)).cast("int")))
+                [batch.column("seed_id"), batch.column("vector"), pa.array(limit + 1e-9 * (1 + np.abs(limit))),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.nonzero(blocks)[1], pa.int32()))],
+                ["seed_id", "vector", "limit", "blocks"])
+
+    first, parts = packed(index.sizes, chained(centres), block_rows)
+    n_blocks = int((first + parts).max())
+    at = np.arange(n_blocks)[None, :]
+    member = ((at >= first[:, None]) & (at < (first + parts)[:, None])).astype(np.float32)
+    probes = stored(seeds.mapInArrow(probe, "seed_id long, vector array<double>, limit double, blocks array<int>"), "visits")
+    visited = {r["block"]: r["n"] for r in probes.select(F.explode("blocks").alias("block"))
+               .groupBy("block").agg(F.count("*").alias("n")).collect()}  # one row per block
+    groups = groups_of([visited.get(b, 0) for b in range(n_blocks)], (np.array(index.sizes) / parts) @ member, spread(seeds) * SHARES)
+
+    block = of(first, "cell") + F.pmod(F.xxhash64("item_id"), of(parts, "cell")).cast("int")
+    left = (index.codes.join(index.items, "item_id").select(F.col("item_id").alias("id"), "vector", "cell", "code", block.alias("block"))
+            .where(of(groups, "block") > 0)
+            .withColumn("group", F.explode(F.sequence(F.lit(0), of(groups, "block") - 1))).withColumn("side", F.lit(0)))
+    right = (probes.select(F.col("seed_id").alias("id"), "vector", "limit", F.explode("blocks").alias("block"))
+             .withColumn("group", F.pmod(F.xxhash64("id"), of(groups, "block")).cast("int")).withColumn("side", F.lit(1)))
     spans = [s for s in np.array_split(np.arange(centres.shape[1]), len(words))]
-    short = k * shortlist
-
-    def score(codes, wanted):
-        import numpy as np
-        import pyarrow as pa
-
-        ids, vectors = read(wanted)
-        items = codes["item_id"].to_numpy()
-        if not len(ids) or not len(items):
-            return pa.table({"seed_id": pa.array([], pa.int64()), "item_id": pa.array([], pa.int64()), "rough": pa.array([], pa.float64())})
-        code = np.frombuffer(b"".join(codes["code"].to_pylist()), np.uint8).reshape(len(items), -1)
-        centre = centres[codes["cell"][0].as_py()]
-        out = []
-        for seed, vector in zip(ids, vectors):
-            rest, rough = vector - centre, np.zeros(len(items))
-            for g, (s, w) in enumerate(zip(spans, words)):
-                rough += ((w - rest[s]) ** 2).sum(1)[code[:, g]]
-            if exclude_self:
-                rough[items == seed] = np.inf
-            best = np.argpartition(rough, short - 1)[:short] if short < len(rough) else np.arange(len(rough))
-            best = best[np.isfinite(rough[best])]
-            out.append((np.full(len(best), seed), items[best], rough[best]))
-        a, b, c = (np.concatenate(x) for x in zip(*out))
-        return pa.table({"seed_id": a, "item_id": b, "rough": c})
-
-    key = ["cell", "block", "group"]
-    rough = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(score, "seed_id long, item_id long, rough double")
-    likely = top_k(rough, ["seed_id"], [F.col("rough"), F.col("item_id")], short).select("seed_id", "item_id")
-    near = (likely.join(index.items, "item_id")
-            .join(seeds.select("seed_id", F.col("vector").alias("_seed")), "seed_id"))
-    if index.metric == "euclidean":
-        cost = euclidean(F.col("_seed"), F.col("vector"))
-    else:
-        cost = -F.aggregate(F.zip_with("_seed", "vector", lambda a, b: a * b), F.lit(0.0), lambda t, x: t + x)
-    costs = near.select("seed_id", "item_id", cost.alias("cost"))
+    short, metric = k * shortlist, index.metric
+    read_met, tools = _reader("id"), block_tools()
+
+    def meant(codes, cell):
+        """The vectors that the codes stand for."""
+        code = np.frombuffer(b"".join(codes.to_pylist()), np.uint8).reshape(len(cell), -1)
+        out = centres[cell]
+        for g, (s, w) in enumerate(zip(spans, words)):
+            out[:, s] += w[code[:, g]]
+        return out
+
+    def near(seed_ids, seeds, limit, ids, matrix, cell, coded, half):
+        """(seed row, item row, cost): of the visited cells' items the shortlist by codes, of it the k best by exact cost."""
+        rough = np.full((len(seeds), len(ids)), np.inf)
+        kinds, starts = np.unique(cell, return_index=True)
+        visited = (centres[kinds]**2).sum(1)[None, :] - 2 * seeds @ centres[kinds].T <= limit[:, None]
+        for c, (a, b) in enumerate(zip(starts, [*starts[1:], len(cell)])):
+            rows = np.nonzero(visited[:, c])[0]
+            if len(rows):
+                rough[rows, a:b] = half[a:b] - seeds[rows] @ coded[a:b].T
+        if exclude_self:
+            rough[seed_ids[:, None] == ids[None, :]] = np.inf
+        if short < len(ids):
+            cols = np.argpartition(rough, short - 1, axis=1)[:, :short]
+        else:
+            cols = np.broadcast_to(np.arange(len(ids)), rough.shape)
+        rows = np.repeat(np.arange(len(seeds)), cols.shape[1])
+        cols = cols.ravel()
+        listed = np.isfinite(rough[rows, cols])
+        rows, cols = rows[listed], cols[listed]
+        cost = np.empty(len(rows))
+        for i in range(0, len(rows), 65536):
+            x, y = seeds[rows[i:i + 65536]], matrix[cols[i:i + 65536]]
+            cost[i:i + 65536] = np.sqrt(((x - y) ** 2).sum(1)) if metric == "euclidean" else -(x * y).sum(1)
+        order = np.lexsort((ids[cols], np.round(cost, 9), rows))
+        rows, cols, cost = rows[order], cols[order], cost[order]
+        kept = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") < k
+        return rows[kept], cols[kept], cost[kept]
+
+    def meet(batches):
+        last, ids, held = None, None, ()
+        for table, wanted in tools.sides_met(batches):
+            if table is not last:
+                ids, matrix = read_met(table)
+                cell = table.column("cell").to_numpy()
+                order = np.argsort(cell, kind="stable")
+                coded = meant(table.column("code"), cell)[order]
+                last, ids = table, ids[order]
+                held = (ids, matrix[order], cell[order], coded, (coded**2).sum(1) / 2)
+            step = max(1, COSTS // max(1, len(ids)))  # bounds the matrix of rough costs
+            for at in range(0, wanted.num_rows, step):
+                batch = wanted.slice(at, step)
+                seed_ids, vectors = read_met(batch)
+                rows, cols, cost = near(seed_ids, vectors, batch.column("limit").to_numpy(), *held)
+                yield pa.RecordBatch.from_arrays([pa.array(seed_ids[rows], pa.int64()), pa.array(ids[cols], pa.int64()), pa.array(cost)],
+                                                 ["seed_id", "item_id", "cost"])
+
+    costs = together(left, right).mapInArrow(meet, HITS)
     return top_k(costs, ["seed_id"], [settled(F.col("cost")), F.col("item_id")], k)
 
 

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from covista.plans import approximate_search, build_index, recall, search, stored
+from covista.plans import approximate, approximate_search, build_index, recall, search, stored, top_k
 from covista.plans.approximate import cells_to_visit
 
 
@@ -43,6 +43,15 @@ def test_all_cells_and_a_long_shortlist_are_exact(spark):
         sorted((r["seed_id"], r["rank"], r["item_id"]) for r in exact.collect())
 
 
+def test_seeds_move_once_a_block(spark, monkeypatch):
+    """Blocks of several cells hand on k rows a seed, not a shortlist a cell."""
+    items = clustered(spark)
+    index, handed = build_index(items), []
+    monkeypatch.setattr(approximate, "top_k", lambda df, *rest: handed.append(df.count()) or top_k(df, *rest))
+    approximate_search(items.withColumnRenamed("item_id", "seed_id"), index, 3, visits=len(index.centres), exclude_self=True).count()
+    assert handed == [1200 * 3]
+
+
 def test_few_rows(spark):
     schema = "item_id long, vector array<double>"
     none = build_index(spark.createDataFrame([], schema))
