@@ -3,6 +3,7 @@
 import datetime
 import itertools
 import random
+import re
 
 import numpy as np
 import pytest
@@ -160,6 +161,19 @@ def test_search(spark, cloud, metric, tuning, exclude_self):
         assert [j for j, _ in mine[i]] == order
 
 
+@pytest.mark.parametrize("block", [5, 1024])
+def test_half_cells_at_items(spark, block):
+    """Both ways of counting give the same cells; a pair is counted at its item with fewer viewers, from one array a viewer."""
+    rng = np.random.default_rng(4)
+    rows = sorted({(int(u), int(i)) for u, i in zip(rng.integers(0, 40, 500), rng.zipf(1.5, 500) % 60)})
+    pairs = spark.createDataFrame(rows, "user_id long, item_id long")
+    maps, items = (sorted(map(tuple, cooc.half_cells(pairs, block, True, way).collect())) for way in (False, True))
+    assert maps == items and len(maps) > 100
+    assert sorted(map(tuple, cooc.half_cells(pairs, block).collect())) == [(a, b, n) for a, b, _, _, n in maps]
+    plan = cooc.half_cells(pairs, block, False, True)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(one#" in plan and not re.search(r"hashpartitioning\([^)]*two#", plan)  # no row per pair is shuffled
+
+
 def test_seeds_move_once_a_block(spark):
     """Vectors without clusters, where no cell can be left out: a block of many cells hands on k rows a seed, not k a cell."""
     x = np.random.default_rng(9).normal(size=(300, 16))
