@@ -50,6 +50,8 @@ FACTOR = np.uint64(0x9E3779B97F4A7C15)
 FILTER_BITS = 26
 # texts a task remembers as already sent
 REMEMBERED = 100_000
+# texts whose words a task holds at a time
+PIECE_ROWS = 128
 
 
 def least_shared(k: int, percent: int, miss: float = MISS) -> int:
@@ -93,6 +95,13 @@ def _texts(column: pa.Array) -> Iterator[bytes]:
     return (t.as_py() or b"" for t in column.cast(pa.binary()))
 
 
+def pieces(columns: Iterator[pa.Array], rows: int = PIECE_ROWS) -> Iterator[pa.Array]:
+    """Columns of texts cut small: the words of a piece are held as single objects, many times the size of its texts."""
+    for column in columns:
+        for at in range(0, len(column), rows):
+            yield column.slice(at, rows)
+
+
 def _lists(values: list[np.ndarray]) -> pa.Array:
     ends = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
     flat = np.concatenate(values) if values else np.empty(0, dtype=np.uint64)
@@ -261,9 +270,9 @@ def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
     def run(batches):
         seen: set[bytes] = set()
-        for batch in batches:
+        for column in pieces(batch.column("text") for batch in batches):
             keys, found = [], []
-            split = [words_of(t) for t in _texts(batch.column("text"))]
+            split = [words_of(t) for t in _texts(column)]
             digests = [text_hash(w) for w in split]
             for digest, words, passed in zip(digests, split, filters.passes(sent.value, spark_hashes(digests))):
                 if passed and digest not in seen:

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from covista.llm import bottom_k
@@ -122,3 +123,9 @@ def test_components_with_a_hub(spark):
     edges = [(10_000, i) for i in range(3000)] + [(20_000, 20_001), (20_001, 20_002), (7, 7)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint"), Workspace(spark)).collect()}
     assert got == {**{i: 0 for i in range(3000)}, 10_000: 0, 20_000: 20_000, 20_001: 20_000, 20_002: 20_000}
+
+
+def test_words_of_few_texts_are_held():
+    columns = [pa.array([f"a {i}" for i in range(n)]) for n in (300, 0, 5)]
+    cut = list(bottom_k.pieces(iter(columns)))
+    assert max(map(len, cut)) <= 128 and [t for c in cut for t in c.to_pylist()] == [t for c in columns for t in c.to_pylist()]
