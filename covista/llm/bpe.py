@@ -17,10 +17,12 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +33,11 @@ LONG_BYTES = 96
 LEAF_WORD = 48
 LEAF_TOKENS = 4096
 # words of a generation, and pieces, remembered by a worker
-REMEMBERED = 300_000
+REMEMBERED = 100_000
+# characters of texts that are encoded together
+AHEAD_CHARS = 1 << 20
+# pieces merged side by side
+ROWS = 2048
 # a space before white space, with which it makes one piece (every character of the pattern's \s and a few more)
 SEAM = re.compile(r" \s")
 
@@ -44,6 +50,82 @@ def unpack(ids: bytes) -> list[int]:
     return np.frombuffer(ids, dtype="<u4").tolist()
 
 
+class Merges:
+    """Short byte strings merged side by side: one row a string, and in each round the best pair of every row."""
+
+    NONE = np.iinfo(np.int32).max
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.end = max(ranks.values(), default=0) + 1  # stands behind a string
+        single = [ranks.get(bytes([i]), self.end) for i in range(256)]
+        self.single = np.array(single, dtype=np.int64)
+        pairs = [(a, b, rank) for token, rank in ranks.items() for i in range(1, len(token))
+                 if (a := ranks.get(token[:i])) is not None and (b := ranks.get(token[i:])) is not None]
+        left, right, rank = np.array(pairs, dtype=np.int64).reshape(-1, 3).T
+        # pairs of tokens in an open hash table
+        bits = max(4, (4 * len(pairs)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.found = np.full(1 << bits, -1, dtype=np.int64), np.full(1 << bits, self.NONE, dtype=np.int32)
+        key = self.key(left, right)
+        slot, rest = self.slot(key), np.arange(len(key))
+        while len(rest):
+            free = rest[self.keys[slot[rest]] < 0]
+            _, first = np.unique(slot[free], return_index=True)
+            placed = free[first]
+            self.keys[slot[placed]], self.found[slot[placed]] = key[placed], rank[placed]
+            rest = np.setdiff1d(rest, placed, assume_unique=True)
+            slot[rest] = slot[rest] + 1 & self.mask
+
+    def key(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return left * (self.end + 1) + right
+
+    def slot(self, key: np.ndarray) -> np.ndarray:
+        return (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of tokens, NONE for a pair that is no token."""
+        key = self.key(left, right)
+        slot = self.slot(key)
+        there = self.keys[slot]
+        rest = np.nonzero((there != key) & (there >= 0))[0]
+        while len(rest):
+            slot[rest] = slot[rest] + 1 & self.mask
+            there = self.keys[slot[rest]]
+            rest = rest[(there != key[rest]) & (there >= 0)]
+        return self.found[slot]
+
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        """Packed tokens of each word; no word is empty."""
+        sizes = np.array([len(w) for w in words])
+        n, width = len(words), int(sizes.max(initial=0))
+        place = np.arange(width + 1)
+        data = np.frombuffer(b"".join([w.ljust(width + 1, b"\0") for w in words]), dtype=np.uint8).reshape(n, width + 1)
+        ids = np.where(place < sizes[:, None], self.single[data], self.end)
+        rank = np.full((n, width + 1), self.NONE, dtype=np.int32)
+        rank[:, :-1] = self.rank(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(n, width)
+        ids, flat, start = ids.ravel(), rank.ravel(), np.arange(n) * (width + 1)
+        after = np.arange(1, len(ids) + 1)
+        before = after - 2
+        before[start] = -1
+        rows = np.arange(n)
+        while len(rows):
+            at = start[rows] + rank[rows].argmin(1)  # the leftmost of equals
+            more = flat[at] < self.NONE
+            rows, at = rows[more], at[more]
+            best, gone = flat[at].astype(np.int64), after[at]
+            later = after[gone]
+            ids[at], ids[gone], flat[gone] = best, self.end, self.NONE
+            after[at], before[later] = later, at
+            flat[at] = self.rank(best, ids[later])
+            inner = np.nonzero(before[at] >= 0)[0]
+            earlier = before[at[inner]]
+            flat[earlier] = self.rank(ids[earlier], best[inner])
+        ids = ids.reshape(n, width + 1)
+        live = ids < self.end
+        tokens, ends = pack(ids[live]), (4 * live.sum(1).cumsum()).tolist()
+        return [tokens[a:b] for a, b in zip([0, *ends], ends)]
+
+
 class Encoder:
     """The monoid of encoded texts for one table of ranks and one pattern.
 
@@ -57,12 +139,92 @@ class Encoder:
         self.find = regex.compile(pattern).findall
         self.spaced = spaced
         self.packed = {token: rank.to_bytes(4, "little") for token, rank in ranks.items()}
+        self.merges = Merges(ranks)
+        self.spelling = pa.array(map(self.bytes_of.get, range(self.merges.end)), pa.large_binary())
         self.pieces: dict[str, bytes] = {}  # packed tokens
         self.words: dict[str, bytes] = {}  # of a word with a space before it
         self.older: dict[str, bytes] = {}  # words of the generation before
 
     # texts
 
+    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """Packed tokens of each text."""
+        some, chars = [], 0
+        for text in texts:
+            some.append(text)
+            chars += len(text)
+            if chars >= AHEAD_CHARS:
+                yield from self._encode_some(some)
+                some, chars = [], 0
+        yield from self._encode_some(some)
+
+    def _encode_some(self, texts: list[str]) -> Iterator[bytes]:
+        alike = [len(t) <= LEAF_CHARS and self.spaces_part(t) for t in texts]
+        made = self.side_by_side([t for t, same in zip(texts, alike) if same])
+        return (next(made) if same else self.encode(t) for t, same in zip(texts, alike))
+
+    def side_by_side(self, texts: list[str]) -> Iterator[bytes]:
+        """Packed tokens of short texts in which a piece starts at each space: each different word is looked up once."""
+        parts = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        firsts = parts.offsets.to_numpy()
+        later = np.ones(firsts[-1], dtype=bool)
+        later[firsts[:-1]] = False  # no space before it
+        words = parts.flatten().filter(pa.array(later)).dictionary_encode()
+        ids = pa.array(self.known(words.dictionary.to_pylist()), pa.large_binary()).take(words.indices)
+        # what the words of a text have lies together
+        _, at, tokens = ids.buffers()
+        starts = firsts - np.arange(len(firsts))
+        at = np.frombuffer(at, dtype=np.int64) if len(ids) else np.zeros(1, dtype=np.int64)
+        for text, a, b in zip(texts, starts, starts[1:]):
+            yield self.split(text.split(" ", 1)[0]) + (tokens[at[a]:at[b]].to_pybytes() if b > a else b"")
+
+    def known(self, words: list[str]) -> list[bytes]:
+        """Tokens of different words with a space before them, each word with at least a character."""
+        made = list(map(self.words.get, words))
+        new = [i for i, ids in enumerate(made) if ids is None]
+        plain, mixed = [], []
+        for i in new:
+            word = words[i]
+            if (ids := self.older.get(word)) is not None:
+                made[i] = ids
+            elif len(word) > LEAF_WORD:
+                made[i] = self.split(f" {word}")
+            else:
+                (plain if word.isalpha() else mixed).append(i)
+        cut = self.find(f" {' '.join([words[i] for i in mixed])}") if mixed else []  # a word starts at each space
+        tokens = self.tokens([*dict.fromkeys(cut)])
+        starts = [k for k, p in enumerate(cut) if p[0] == " "]
+        for i, a, b in zip(mixed, starts, [*starts[1:], len(cut)]):
+            made[i] = b"".join([tokens[p] for p in cut[a:b]])
+        for i, ids in zip(plain, self.tokens([f" {words[i]}" for i in plain]).values()):
+            made[i] = ids
+        if len(self.words) >= REMEMBERED:
+            self.words, self.older = {}, self.words
+        self.words.update([(words[i], made[i]) for i in new if len(words[i]) <= LEAF_WORD])
+        return made
+
+    def tokens(self, pieces: list[str]) -> dict[str, bytes]:
+        """Packed tokens of different pieces, in their order."""
+        coded = [p.encode() for p in pieces]
+        made = list(map(self.packed.get, coded))
+        new = np.array([i for i, ids in enumerate(made) if ids is None], dtype=np.int64)
+        sizes = np.array([len(coded[i]) for i in new.tolist()], dtype=np.int64)
+        for i in new[sizes > LEAF_BYTES].tolist():
+            made[i] = self.whole(coded[i])
+        order = np.argsort(sizes, kind="stable")  # like sizes together
+        short = new[order][sizes[order] <= LEAF_BYTES].tolist()
+        for at in range(0, len(short), ROWS):
+            some = short[at:at + ROWS]
+            for i, ids in zip(some, self.merges.encode([coded[i] for i in some])):
+                made[i] = ids
+        return dict(zip(pieces, made))
+
+    def remember(self, word: str, ids: bytes) -> None:
+        """Of two generations of words the older goes when the younger is full, so that frequent words stay known."""
+        if len(self.words) >= REMEMBERED:
+            self.words, self.older = {}, self.words
+        self.words[word] = ids
+
     def encode(self, text: str) -> bytes:
         """Packed tokens of a text."""
         return b"".join(self.leaf(text) if len(text) <= LEAF_CHARS else self.tree(text)[1])
@@ -80,9 +242,10 @@ class Encoder:
 
     def apart(self, text: str) -> list[str] | None:
         """What lies between the spaces of a text, if a piece starts at each of them."""
-        if not self.spaced or SEAM.search(text) or "" in (parts := text.split(" ")):
-            return None
-        return parts
+        return text.split(" ") if self.spaces_part(text) else None
+
+    def spaces_part(self, text: str) -> bool:
+        return self.spaced and text != "" and text[0] != " " != text[-1] and not SEAM.search(text)
 
     def leaf(self, text: str) -> list[bytes]:
         """Tokens of the parts that ``tree`` cuts a short text into."""
@@ -95,17 +258,14 @@ class Encoder:
             return [self.split(parts[0]), *[words.get(p) or self.word(p) for p in parts[1:]]]
 
     def word(self, word: str) -> bytes:
-        """Tokens of a word and the space before it. Of two generations of words the older goes when
-        the younger is full, so that frequent words stay known."""
+        """Tokens of a word and the space before it."""
         if (ids := self.older.get(word)) is None:
             if word.isalpha() and len(word) < LEAF_BYTES:
                 ids = self.whole(f" {word}".encode())
             else:
                 ids = self.split(f" {word}")
         if len(word) <= LEAF_WORD:
-            if len(self.words) >= REMEMBERED:
-                self.words, self.older = {}, self.words
-            self.words[word] = ids
+            self.remember(word, ids)
         return ids
 
     def split(self, text: str) -> bytes:
@@ -236,6 +396,15 @@ class Encoder:
             i = end[i]
         return out
 
+    def spelled(self, ids: bytes) -> bytes:
+        """Bytes of packed tokens."""
+        parts = self.spelling.take(pa.array(np.frombuffer(ids, dtype="<u4")))
+        if parts.null_count:
+            raise KeyError("no such token")
+        _, at, data = parts.buffers()
+        at = np.frombuffer(at, dtype=np.int64)
+        return data[at[0]:at[len(parts)]].to_pybytes()
+
     def decode(self, ids) -> bytes:
         """Bytes of a token sequence: halves are decoded and concatenated."""
         if len(ids) <= LEAF_TOKENS:
@@ -258,7 +427,7 @@ def encoded(text: Column, path: str, pattern: str) -> Column:
     @F.arrow_udf("binary")
     def run(texts: pa.Array) -> pa.Array:
         tool = encoder(path, pattern)
-        return pa.array((tool.encode(t.as_py() or "") for t in texts), pa.binary())
+        return pa.array(tool.encode_all(t.as_py() or "" for t in texts), pa.binary())
 
     return run(text)
 
@@ -269,7 +438,7 @@ def decoded(ids: Column, path: str, pattern: str) -> Column:
     @F.arrow_udf("binary")
     def run(packed: pa.Array) -> pa.Array:
         tool = encoder(path, pattern)
-        return pa.array((tool.decode(unpack(p.as_py() or b"")) for p in packed), pa.binary())
+        return pa.array((tool.spelled(p.as_py() or b"") for p in packed), pa.binary())
 
     return run(ids)
 

@@ -66,6 +66,31 @@ def test_bpe_of_long_texts(library, text):
     assert bpe.unpack(bpe.encoder(**rank_file()).encode(text)) == library.encode_ordinary(text)
 
 
+def test_bpe_merges_words_side_by_side(library, monkeypatch):
+    """New words of many texts are merged in arrays, not one by one."""
+    monkeypatch.setattr(bpe, "AHEAD_CHARS", 700)
+    monkeypatch.setattr(bpe, "ROWS", 16)
+    monkeypatch.setattr(bpe, "REMEMBERED", 200)
+    tool = bpe.Encoder(bpe.encoder(**rank_file()).ranks, public_tokenizers.PATTERN)
+    rng, one_by_one, merged = random.Random(4), [], tool.merged
+    monkeypatch.setattr(tool, "merged", lambda data: one_by_one.append(data) or merged(data))
+    letters = "aabcdeeeéßñ中😀''12.,!$#\n\u00a0"
+    texts = ["", " ", "one", " two", "three ", "a  b", "a \n b", "x" * 60 + " " + "y" * 60] + [
+        " ".join("".join(rng.choice(letters) for _ in range(rng.randint(1, 30))) for _ in range(rng.randint(1, 40))) for _ in range(400)]
+    made = list(tool.encode_all(texts))
+    for text, ids in zip(texts, made, strict=True):
+        assert bpe.unpack(ids) == library.encode_ordinary(text), text
+        assert tool.spelled(ids) == text.encode()
+    one_by_one.clear()
+    texts = [" ".join("".join(rng.choice("abcdeéß") for _ in range(rng.randint(1, 9))) for _ in range(20)) for _ in range(100)]
+    assert [bpe.unpack(ids) for ids in tool.encode_all(texts)] == [library.encode_ordinary(t) for t in texts]
+    assert len(one_by_one) <= len(texts)  # their first words only
+    words = [bytes(rng.choice(b"aaab ") for _ in range(rng.randint(1, 24))) for _ in range(3000)]
+    assert tool.merges.encode(words) == [b"".join(tool.packed[p] for p in merged(w)) for w in words]
+    with pytest.raises(LookupError):
+        tool.spelled(bpe.pack([tool.merges.end]))
+
+
 def test_bpe_on_frames(spark, library):
     df = frame(spark, ODD + ["twice", "twice"]).withColumnRenamed("doc_id", "token_ids").selectExpr("token_ids AS doc_id", "text", "1 AS decoded")
     rows = {r["doc_id"]: r for r in token_digests(df, "doc_id").collect()}
