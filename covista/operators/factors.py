@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -11,11 +13,13 @@ from pyspark.sql import functions as F
 from covista.operators.catalogue import append_index
 from covista.operators.recommend import flatten
 from covista.operators.vectors import similar_by_distance
-from covista.plans import WORK_ROWS, fan_out_join, shared_dir, stored, top_k
+from covista.plans import WORK_ROWS, fan_out_join, key_counts, shared_dir, spread, stored, top_k
 from covista.sources.tables import latest_interactions
 
 INT_MAX = 2**31 - 1
 CHECKPOINT_EVERY = 10
+# users of an item, and rows of a task, whose lists are added up where the item lies
+CROWD, ROWS_OF_TASK = 10_000, 4_000_000
 
 
 def fits_int(df: DataFrame, column: str) -> bool:
@@ -177,14 +181,27 @@ def first_cluster_mates(clustered: DataFrame, n: int) -> DataFrame:
 
 def two_hop(users_of_items: DataFrame, items_of_users: DataFrame, work_rows: int = WORK_ROWS) -> DataFrame:
     """(item_id, other_id, score): for every seed item, sum over its best users of user score
-    times the users' item scores.
+    times the users' item scores. Both frames are read more than once.
 
     ``users_of_items(item_id, user_id, rating)``, ``items_of_users(user_id, item_id, rating)``.
     """
     left = users_of_items.select("item_id", "user_id", F.col("rating").cast("double").alias("_v"))
     right = items_of_users.select("user_id", F.col("item_id").alias("other_id"), F.col("rating").cast("double").alias("_s"))
-    return (fan_out_join(left, right, ["user_id"], ["item_id"], work_rows)
-            .groupBy("item_id", "other_id").agg(F.sum(F.col("_v") * F.col("_s")).alias("score")))
+    counts = stored(key_counts(left, right, ["user_id"]), "hop-counts")
+    made = counts.agg(F.max(F.col("_l") * F.col("_r").cast("double")), F.sum(F.col("_l") * F.col("_r").cast("double"))).first()
+    crowd = left.groupBy("item_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    if (made[0] or 0) > work_rows or crowd > CROWD:
+        # rows are added up before they move, so that neither such a user nor such an item is one task's
+        return (fan_out_join(left, right, ["user_id"], ["item_id"], work_rows)
+                .groupBy("item_id", "other_id").agg(F.sum(F.col("_v") * F.col("_s")).alias("score")))
+    # a user's items come to an item as one list, not as rows, and are added up there
+    lists = (right.join(counts.select("user_id"), "user_id", "left_semi").groupBy("user_id")
+             .agg(F.collect_list(F.struct("other_id", "_s")).alias("_e"))
+             .select("user_id", F.col("_e.other_id").alias("other_id"), F.col("_e._s").alias("_s")))
+    tasks = max(spread(left), math.ceil((made[1] or 0) / ROWS_OF_TASK))
+    met = left.join(lists, "user_id").select("item_id", "_v", "other_id", "_s").repartition(tasks, "item_id")
+    return (met.select("item_id", "_v", F.explode(F.arrays_zip("other_id", "_s")).alias("_e"))
+            .groupBy("item_id", F.col("_e.other_id").alias("other_id")).agg(F.sum(F.col("_v") * F.col("_e._s")).alias("score")))
 
 
 def similar_by_two_hops(model: ALSModel, n_users: int = 10, n_items: int = 100, seeds: DataFrame | None = None) -> DataFrame:
@@ -193,4 +210,4 @@ def similar_by_two_hops(model: ALSModel, n_users: int = 10, n_items: int = 100,
     else:
         first = users_for_some_items(model, seeds, n_users)
     first = stored(first, "first-hop")
-    return two_hop(first, items_for_some_users(model, first.select("user_id"), n_items))
+    return two_hop(first, stored(items_for_some_users(model, first.select("user_id"), n_items), "second-hop"))

@@ -16,11 +16,16 @@ def spread(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def key_counts(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, _l, _r): left and right rows of the keys on both sides."""
+    return (left.groupBy(*keys).agg(F.count("*").alias("_l"))
+            .join(right.groupBy(*keys).agg(F.count("*").alias("_r")), keys))
+
+
 def hot_keys(left: DataFrame, right: DataFrame, keys: list[str], work_rows: int = WORK_ROWS) -> DataFrame:
     """(keys, _cuts, _slices): keys whose join makes over ``work_rows`` rows, and in how many parts
     to cut their left and right rows so that no two parts make more. The heavier side is cut more."""
-    counts = (left.groupBy(*keys).agg(F.count("*").alias("_l"))
-              .join(right.groupBy(*keys).agg(F.count("*").alias("_r")), keys))
+    counts = key_counts(left, right, keys)
     parts = F.ceil(F.col("_l") * F.col("_r") / F.lit(float(work_rows)))
     cuts = F.greatest(F.lit(1), F.least(F.col("_l"), F.ceil(F.sqrt(parts * F.col("_l") / F.col("_r")))))
     slices = F.greatest(F.lit(1), F.least(F.col("_r"), F.ceil(parts / F.col("_cuts"))))

@@ -304,6 +304,6 @@ FROM u JOIN i ON u.user_id = i.user_id WHERE u.rank <= 10 AND i.rank <= 20 GROUP
 def two_hop_items(t: Tables):
     """Two hops over stored lists: best users of an item, then their best items."""
     rated = stored(t.purchases.groupBy("user_id", "item_id").agg(F.sum("rating").alias("rating")), "rated")
-    users = ranked(rated, "item_id", "user_id", 10, "rating")
-    items = ranked(rated, "user_id", "item_id", 20, "rating")
+    users = stored(ranked(rated, "item_id", "user_id", 10, "rating"), "users")
+    items = stored(ranked(rated, "user_id", "item_id", 20, "rating"), "items")
     return two_hop(users, items).withColumn("score", F.round("score", 6))

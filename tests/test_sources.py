@@ -67,6 +67,22 @@ def test_two_hops(spark):
     assert rows(factors.two_hop(users, items)) == [(1, 5, 10.0), (1, 6, 1.0)]
 
 
+def test_two_hops_move_lists(spark):
+    """A user's items move to an item as one list; users and items with many rows are added up by rows."""
+    users = spark.createDataFrame([(i, u, float(u)) for i in range(30) for u in range(i % 4, 40, 4)] + [(None, 1, 2.0), (3, None, 2.0)],
+                                  "item_id long, user_id long, rating double")
+    items = spark.createDataFrame([(u, o, float(o)) for u in range(50) for o in range(u % 3, 30, 3)] + [(None, 1, 1.0), (2, None, 2.0), (2, 4, None)],
+                                  "user_id long, item_id long, rating double")
+    plain = (users.withColumnRenamed("rating", "v").join(items.withColumnRenamed("item_id", "other_id"), "user_id")
+             .groupBy("item_id", "other_id").agg(F.sum(F.col("v") * F.col("rating")).alias("score")))
+    as_lists, as_rows = factors.two_hop(users, items), factors.two_hop(users, items, work_rows=10)
+    order = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert order(as_lists) == order(as_rows) == order(plain)
+    text = as_lists._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(item_id" in text and "hashpartitioning(other_id" not in text.replace("item_id", "") and "collect_list" in text
+    assert "collect_list" not in as_rows._jdf.queryExecution().executedPlan().toString()
+
+
 def test_merged_views_are_another_model(views):
     raw = factors.train_implicit(views, max_iter=2, rank=4, seed=1)
     merged = factors.train_implicit(views.union(views), max_iter=2, rank=4, seed=1, merge=True)
