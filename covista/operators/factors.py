@@ -78,9 +78,9 @@ def item_factors(model: ALSModel) -> DataFrame:
     return _own_ids(model.itemFactors, model, id="item_id")
 
 
-def _als(df: DataFrame, rating: str, **params) -> ALS:
+def _als(df: DataFrame, rating: str, checkpointInterval: int = CHECKPOINT_EVERY, **params) -> ALS:
     shared_dir(df.sparkSession)  # long fits cut their lineage in the shared folder
-    return ALS(userCol="user_id", itemCol="item_id", ratingCol=rating, checkpointInterval=CHECKPOINT_EVERY, **params)
+    return ALS(userCol="user_id", itemCol="item_id", ratingCol=rating, checkpointInterval=checkpointInterval, **params)
 
 
 def _fit(rows: DataFrame, rating: str, **params) -> ALSModel:
@@ -105,7 +105,8 @@ def train_implicit(df: DataFrame, batch_size: int | None = None, max_iter: int =
     else:
         rows = df.select("user_id", "item_id", F.lit(1.0).cast("float").alias("view"))
     extra = {} if seed is None else {"seed": seed}
-    return _fit(rows, "view", implicitPrefs=True, maxIter=max_iter, rank=rank, regParam=reg, **extra)
+    # a checkpoint of the item factors, which are held anyway, lets MLlib delete the users' factors sent in that iteration
+    return _fit(rows, "view", checkpointInterval=1, implicitPrefs=True, maxIter=max_iter, rank=rank, regParam=reg, **extra)
 
 
 def train_explicit(ratings: DataFrame, rank: int = 20, reg: float = 0.02, seed: int = 54, max_iter: int = 10) -> ALSModel:

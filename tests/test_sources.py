@@ -83,6 +83,13 @@ def test_two_hops_move_lists(spark):
     assert "collect_list" not in as_rows._jdf.queryExecution().executedPlan().toString()
 
 
+def test_fits_on_views_clean_up_each_iteration(spark, views, monkeypatch):
+    seen, fit = [], factors.ALS.fit
+    monkeypatch.setattr(factors.ALS, "fit", lambda self, df: seen.append(self.getCheckpointInterval()) or fit(self, df))
+    factors.train_implicit(views, max_iter=2, rank=2, seed=1)
+    assert seen == [1]
+
+
 def test_merged_views_are_another_model(views):
     raw = factors.train_implicit(views, max_iter=2, rank=4, seed=1)
     merged = factors.train_implicit(views.union(views), max_iter=2, rank=4, seed=1, merge=True)
