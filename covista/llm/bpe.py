@@ -8,8 +8,11 @@ in the same manner; there a window of tokens around the seam is merged anew and
 tokens are those that were there before. A token sequence is the encoding of its bytes exactly when
 each two neighbouring tokens are, so the pairs outside the window prove that nothing else moves.
 
-Empty and null texts have no tokens. Work within a text is of order n log n; memory is that of one
-text beside the bounded table of known pieces.
+Short texts in which a piece starts at each space are taken together, up to some number of characters:
+each different word is looked up once, and the new ones are merged side by side in arrays.
+
+Empty and null texts have no tokens. Work within a text is of order n log n; memory is that of the texts
+taken together, or of one longer text, beside the bounded tables of known words and pieces.
 """
 
 from __future__ import annotations
