@@ -90,6 +90,19 @@ def test_fits_on_views_clean_up_each_iteration(spark, views, monkeypatch):
     assert seen == [1]
 
 
+def test_explicit_fits_join_and_add_up_once(spark, monkeypatch):
+    lines = spark.createDataFrame([(u, i, o) for o, (u, i) in enumerate([(1, 1), (1, 2), (2, 1), (2, 1), (3, 2)])], "user_id long, item_id long, o long")
+    amounts = spark.range(5).select(F.col("id").alias("o"), (F.col("id") + 1.0).alias("rating"))
+    ratings = lines.join(amounts, "o").groupBy("user_id", "item_id").agg(F.sum("rating").alias("rating"))
+    seen, fit = [], factors.ALS.fit
+    monkeypatch.setattr(factors.ALS, "fit", lambda self, df: seen.append(df) or fit(self, df))
+    model = factors.train_explicit(ratings, rank=2, max_iter=2)
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "Exchange" not in plan and "Join" not in plan
+    assert rows(seen[0]) == [(1, 1, 1.0), (1, 2, 2.0), (2, 1, 7.0), (3, 2, 5.0)]
+    assert model.userFactors.count() == 3 and model.itemFactors.count() == 2
+
+
 def test_merged_views_are_another_model(views):
     raw = factors.train_implicit(views, max_iter=2, rank=4, seed=1)
     merged = factors.train_implicit(views.union(views), max_iter=2, rank=4, seed=1, merge=True)
