@@ -176,7 +176,8 @@ def links(prints: DataFrame, distance: int = 3) -> DataFrame:
     others = F.col("probes") >= F.when(F.col("key") < 1 << KIND, 1).otherwise(2)
     busy = sizes.where((F.col("entries") >= 1) & others).select(
         "key", F.ceil(F.col("entries") / BLOCK).cast("int").alias("cuts"), F.ceil(F.col("probes") / BLOCK).cast("int").alias("rows"))
-    met = keyed.join(busy, "key")
+    # merged: Spark takes the keys for a few bytes a print and would send them all through the driver
+    met = keyed.join(busy.hint("merge"), "key")
     cells = met.select("key", "print", "probe", F.explode(F.when(
         F.col("probe"), F.transform(F.sequence(F.lit(0), F.col("cuts") - 1), lambda c: c + F.col("cuts") * F.pmod(spread, F.col("rows"))))
         .otherwise(F.transform(F.sequence(F.lit(0), F.col("rows") - 1), lambda r: r * F.col("cuts") + F.pmod(spread, F.col("cuts"))))

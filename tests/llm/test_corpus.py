@@ -103,6 +103,14 @@ def test_links_of_dense_groups(spark, monkeypatch):
     assert all((near[p] == near[q]) == (label[p] == label[q]) for p in near for q in near)
 
 
+def test_keys_of_few_prints_are_not_broadcast(spark):
+    """Some sixty keys a print, which Spark takes for one row: a few MB of prints would send hundreds through the driver."""
+    found = simhash.links(spark.range(3000).select(F.xxhash64("id").alias("print")))
+    found.collect()
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text and "BroadcastExchange" not in text
+
+
 def test_components_of_paths(spark):
     work = Workspace(spark)
     edges = [(i, i + 1) for i in range(40)] + [(100, 102), (102, 101), (200, 200)]
