@@ -174,6 +174,18 @@ def test_half_cells_at_items(spark, block):
     assert "hashpartitioning(one#" in plan and not re.search(r"hashpartitioning\([^)]*two#", plan)  # no row per pair is shuffled
 
 
+@pytest.mark.parametrize("far, kind", [(0, "tinyint"), (5000, "smallint"), (2**31 - 200, "int"), (2**40, "bigint"), (-(2**40), "bigint")])
+def test_partners_move_in_narrow_types(spark, far, kind):
+    """Arrays of partners hold ids in the smallest type that takes them all; the cells have the ids' own type."""
+    rows = [(u, i) for u in range(12) for i in range(100) if (u * 7 + i) % 5 == 0] + [(None, 3), (3, None)]
+    plain, moved = (cooc.half_cells(spark.createDataFrame([(u, i if i is None else i + d) for u, i in rows], "user_id long, item_id long"),
+                                    1024, True, True) for d in (0, far))
+    assert moved.dtypes == plain.dtypes == [(c, "bigint") for c in ("item_id", "other_id", "viewers", "other_viewers", "both")]
+    assert sorted(map(tuple, moved.collect())) == sorted((a + far, b + far, *rest) for a, b, *rest in plain.collect())
+    found = set(re.findall(r"cast\(item_id#\d+L as (\w+)\)", moved._jdf.queryExecution().executedPlan().toString()))
+    assert found == ({kind} if kind != "bigint" else set())
+
+
 def test_seeds_move_once_a_block(spark):
     """Vectors without clusters, where no cell can be left out: a block of many cells hands on k rows a seed, not k a cell."""
     x = np.random.default_rng(9).normal(size=(300, 16))
